@@ -29,26 +29,24 @@ MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct",
 
 
 def month_number(c: Column | str) -> Column:
-    """Two-digit month of a name or number; anything else stays as it is."""
+    """Two digits for a month name (its first three letters decide); anything else stays as it is."""
     s = strip(c)
     named = F.create_map(*[x for i, m in enumerate(MONTHS, 1) for x in (F.lit(m), F.lit(f"{i:02d}"))])
-    return (
-        F.when(s.rlike("^[0-9]{1,2}$"), F.lpad(s, 2, "0"))
-        .when(s.rlike("^[A-Za-z]{3,}$"), F.coalesce(F.try_element_at(named, F.lower(F.substring(s, 1, 3))), s))
-        .otherwise(s)
-    )
+    return F.coalesce(F.try_element_at(named, F.lower(F.substring(s, 1, 3))), s)
 
 
 def partial_date(year: Column, month: Column, day: Column, season: Column, free_text: Column) -> Column:
-    """Year[-Month[-Day]], or "Year Season", or the free text, or "" where nothing is given."""
-    y, s, d = text_or_empty(year), text_or_empty(season), text_or_empty(day)
-    m = text_or_empty(month)
+    """Year[-Month[-Day]]; "Year Month[ Day]" where the month is no number; "Year Season"; the free text without a year."""
+    y, d, s = text_or_empty(year), text_or_empty(day), text_or_empty(season)
+    m = month_number(text_or_empty(month))
+    numeric, tail = m.rlike("^[0-9]+$"), F.when(d != "", F.concat(F.lit(" "), d)).otherwise("")
     return (
-        F.when((y != "") & (m != "") & (d != ""), F.concat_ws("-", y, month_number(m), F.lpad(d, 2, "0")))
-        .when((y != "") & (m != ""), F.concat_ws("-", y, month_number(m)))
-        .when((y != "") & (s != ""), F.concat_ws(" ", y, s))
-        .when(y != "", y)
-        .otherwise(text_or_empty(free_text))
+        F.when(y == "", text_or_empty(free_text))
+        .when((m != "") & numeric & d.rlike("^[0-9]+$"), F.concat_ws("-", y, m, F.lpad(d.try_cast("int").cast("string"), 2, "0")))
+        .when((m != "") & numeric, F.concat_ws("-", y, m))
+        .when(m != "", F.concat(y, F.lit(" "), m, tail))
+        .when(s != "", F.concat_ws(" ", y, s))
+        .otherwise(y)
     )
 
 

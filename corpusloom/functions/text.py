@@ -89,22 +89,22 @@ def section_title(c: Column | str) -> Column:
 
 # Section titles with a category of their own.
 SECTION_CATEGORIES = {
-    "abstract": "abstract",
-    "summary": "abstract",
     "introduction": "introduction",
-    "background": "introduction",
+    "background": "background",
     "methods": "methods",
     "materials and methods": "methods",
     "methodology": "methods",
     "results": "results",
-    "findings": "results",
     "discussion": "discussion",
     "conclusion": "conclusion",
     "conclusions": "conclusion",
-    "case presentation": "case_presentation",
-    "case report": "case_presentation",
     "diagnosis": "diagnosis",
     "treatment": "treatment",
+    "management": "management",
+    "prognosis": "prognosis",
+    "clinical presentation": "clinical_presentation",
+    "differential diagnosis": "differential_diagnosis",
+    "pathophysiology": "pathophysiology",
 }
 
 
