@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def numeric_then_text(c: str) -> list[Column]:
     """Sort keys: numbers first and ascending, then other strings as such."""
-    n = F.col(c).try_cast("bigint")
+    n = F.when(F.col(c).rlike(r"^\s*[0-9]+\s*$"), F.col(c).try_cast("bigint"))
     return [n.asc_nulls_last(), F.col(c).asc()]
 
 

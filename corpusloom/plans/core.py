@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from . import training
+from collections.abc import Callable
 
+from pyspark.sql import DataFrame, SparkSession
 
-def flagship(spark, folder):
+from . import relational, training  # noqa: F401 - importing a module registers its queries
+from .registry import QUERIES, SQL
+
+
+def flagship(spark: SparkSession, folder: str) -> DataFrame:
     return training.p1_found(spark, folder)
 
 
-def queries():
-    return training.queries()
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return training.queries() | QUERIES
 
 
-def oracle_sql():
-    return {}
+def oracle_sql() -> dict[str, str]:
+    return dict(SQL) | training.oracle_sql()

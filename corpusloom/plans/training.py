@@ -78,3 +78,7 @@ def p3_by_month(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (p1_found, p1_value_counts, p2_found, p2_parts, p2_articles, p2_body_claims, p3_found, p3_by_month)}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {}
