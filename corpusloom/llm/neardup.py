@@ -32,6 +32,7 @@ from ..session import cut_lineage
 from . import kernels as K
 
 WIDTH, BANDS, ROWS = 3, 28, 3
+TOUCHED_BITS = 1 << 25
 _FIRST, _MORE = 2.3, 3.0  # horizon beyond ln m: at first one text in ten has an empty component
 
 
@@ -185,10 +186,11 @@ def near_duplicates(
     sk = cut_lineage(_sketches(rows_in, width, bands, rows, bag))
     classes = sk.groupBy("src", "fp").agg(F.min("id").alias("rep"), F.first("keys").alias("keys"))
     members = sk.select("src", "id", "fp").join(classes.select("src", "fp", "rep"), ["src", "fp"]).select("src", "id", "rep")
-    banded = classes.select("src", F.col("rep").alias("id"), F.explode("keys").alias("key"))
-    left, right = banded.select("src", "key", F.col("id").alias("a")), banded.select("src", "key", F.col("id").alias("b"))
-    candidates = left.join(right, ["src", "key"]).where("a < b").select("src", "a", "b").distinct()
-    texts = rows_in
+    banded = classes.select("src", F.explode("keys").alias("key"), F.col("rep").alias("id"))
+    # both sides are one and the same plan, so the exchange by band is written once and read twice
+    same = banded.alias("l").join(banded.alias("r"), ["src", "key"]).where("l.id < r.id")
+    candidates = cut_lineage(same.select("src", F.col("l.id").alias("a"), F.col("r.id").alias("b")).distinct())
+    texts = _only_touched(rows_in, candidates)
     schema = "src string, a bigint, b bigint, similarity double"
     links = (
         candidates.join(texts.select("src", F.col("id").alias("a"), F.col("text").alias("ta")), ["src", "a"])
@@ -201,6 +203,24 @@ def near_duplicates(
     return members, cut_lineage(links)
 
 
+def _only_touched(texts: DataFrame, pairs: DataFrame, bits: int = TOUCHED_BITS) -> DataFrame:
+    """Texts that occur in the pairs, and a few others: a bitmap of hashed ids tells most of the rest before any shuffle.
+
+    The bitmap has a fixed size (bits / 8 bytes, 4 MB), however many pairs there are; if it fills up, more texts pass.
+    """
+
+    def slot(src: str, key: str):
+        return F.pmod(F.xxhash64(F.col(src), F.col(key)), F.lit(bits)) + 1
+
+    ids = pairs.select("src", F.explode(F.array("a", "b")).alias("id")).select(slot("src", "id").alias("slot"))
+    bitmap = ids.groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("map"))
+    t = texts.withColumn("slot", slot("src", "id"))
+    t = t.withColumn("bucket", F.bitmap_bucket_number("slot")).withColumn("at", F.bitmap_bit_position("slot").cast("int"))
+    octet = F.conv(F.hex(F.substring("map", F.floor(F.col("at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    t = t.join(F.broadcast(bitmap), "bucket").where(F.getbit(octet, F.col("at") % 8) == 1)
+    return t.select("src", "id", "text")
+
+
 def pairs_of_rows(members: DataFrame, links: DataFrame) -> DataFrame:
     """(src, id_a, id_b): every pair of rows that the links and the classes of equal texts stand for."""
     m = members.select("src", "rep", "id").distinct()
