@@ -34,7 +34,7 @@ def query(sql: str | None = None):
 
 # --- SQL fragments ----------------------------------------------------------------------------------------------------
 
-_WS = r"E' \t\n\r\f\v'"
+_WS = r"E' \t\n\r\f\x0b'"
 
 
 def s_text(c: str) -> str:
