@@ -242,6 +242,7 @@ def groups_of_rows(members: DataFrame, links: DataFrame) -> DataFrame:
     links counts the other rows of the own class and of the linked classes.  Components come from rounds of the large
     and small star; every round is one shuffle of the edges and is written to the checkpoint folder.
     """
+    members = members.select("src", "id", "rep").distinct()
     edges = cut_lineage(links.select("src", F.col("b").alias("u"), F.col("a").alias("v")).distinct())
     while True:
         both = edges.unionByName(edges.select("src", F.col("v").alias("u"), F.col("u").alias("v")))

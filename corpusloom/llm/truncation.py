@@ -34,6 +34,7 @@ from pyspark.sql import types as T
 
 from ..session import cut_lineage
 
+OFFSET = 150
 TAIL = 400  # characters at the end that decide how a text ends; lengths are those of the whole text
 
 # Marks that readers and feeds put behind a cut.
@@ -73,9 +74,13 @@ def ending(text: str, closings: tuple[str, ...] = CLOSINGS) -> str:
         return COMPLETE
     if MARK.search(tail) or ELLIPSIS.search(tail):
         return CUT_MARK
-    if OPEN_MARKUP.search(tail) or ABBREVIATION.search(tail) or NUMBER_OPEN.search(tail):
+    if ABBREVIATION.search(tail) or NUMBER_OPEN.search(tail):
         return INCOMPLETE
-    if SENTENCE_END.search(tail) or CLOSED.search(tail) or EMOJI.search(tail):
+    if SENTENCE_END.search(tail):
+        return COMPLETE
+    if OPEN_MARKUP.search(tail):
+        return INCOMPLETE
+    if CLOSED.search(tail) or EMOJI.search(tail):
         return COMPLETE
     return UNUSUAL if STRUCTURED.search(LAST_LINE.search(tail).group()) else INCOMPLETE
 
@@ -109,53 +114,68 @@ def _bound(d: Column, e: Column) -> Column:
     return F.when(d > e, (d - e + d * F.log(e / d)) / F.log(F.lit(10.0))).otherwise(F.lit(0.0))
 
 
+def _lengths(seen: DataFrame) -> DataFrame:
+    """One row per text and measure: all columns and (measure, n)."""
+    e = F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("n")) for m in _MEASURES]))
+    return seen.select("*", e.alias("e")).select(*seen.columns, "e.measure", "e.n").where("n > 0")
+
+
 def length_hazards(seen: DataFrame, q: float = 0.001, reach: float = 0.06, least: int = 3) -> DataFrame:
-    """(source, measure, n, deaths, at_risk, expected, log_p, significant) of every length that occurs.
+    """(source, measure, n, deaths, at_risk, expected, log_p, own, significant) of every length that occurs.
 
     `reach` is the width of the neighbourhood as a share of the length, to either side; `q` the false-discovery rate;
-    a length with fewer than `least` deaths is not tested.
+    a length with fewer than `least` deaths is not tested.  A limit in characters also piles up texts at some numbers
+    of bytes and words; so each text counts for the most significant of its lengths only (`own`), and a length stays
+    significant if its own deaths are too many too and most of them are cut.
     """
-    each = F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("n")) for m in _MEASURES]))
-    counts = (
-        seen.select("source", each.alias("e"))
-        .select("source", "e.measure", "e.n")
-        .where("n > 0")
-        .groupBy("source", "measure", "n")
-        .agg(F.count("*").alias("deaths"))
-    )
+    counts = _lengths(seen).groupBy("source", "measure", "n").agg(F.count("*").alias("deaths"))
     by = Window.partitionBy("source", "measure")
     risk = F.sum("deaths").over(by.orderBy(F.col("n").desc()).rowsBetween(Window.unboundedPreceding, 0))
-    # lengths on a scale of thousandths of their logarithm, for a frame in proportion to the length
-    table = counts.withColumn("at_risk", risk).withColumn("place", F.round(F.log(F.col("n").cast("double")) * 1000).cast("bigint")).withColumn("significant", F.lit(False))
+    # lengths on a scale of thousandths of their logarithm, for a frame in proportion to the length; the offset keeps
+    # some ten neighbours to either side of the shortest
+    table = counts.withColumn("at_risk", risk).withColumn("place", F.round(F.log((F.col("n") + OFFSET).cast("double")) * 1000).cast("bigint")).withColumn("significant", F.lit(False))
     step = round(reach * 1000)
     near = by.orderBy("place").rangeBetween(-step, step)
-    n, width = F.col("n"), F.lit(2 * reach) * F.col("n") + 1
+    half = F.lit(reach) * (F.col("n") + OFFSET)
+    width = half + F.least(half, F.col("n") - 1.0)
     for _ in range(2):
         other = F.when(~F.col("significant"), F.col("deaths")).otherwise(0)
         around = F.sum(other).over(near) - other
         left_out = F.sum(F.col("significant").cast("int")).over(near)
         # neighbours that never occur have no deaths; half a death keeps the hazard of an empty neighbourhood above 0
-        lengths = F.greatest(F.least(width, n.cast("double") * 2) - left_out, F.lit(1.0))
+        lengths = F.greatest(width - left_out, F.lit(1.0))
         table = table.withColumn("expected", (around + 0.5) / lengths).withColumn(
             "log_p", F.when(F.col("deaths") >= least, _bound(F.col("deaths").cast("double"), F.col("expected"))).otherwise(0.0)
         )
-        table = _discoveries(cut_lineage(table), q)
-    return table.select("source", "measure", "n", "deaths", "at_risk", F.col("expected"), F.col("log_p"), "significant")
+        table = cut_lineage(_discoveries(cut_lineage(table.drop("limit")), q))
+    best = table.where("significant").select(F.col("source").alias("s"), F.col("measure").alias("m"), F.col("n").alias("at"), "log_p")
+    text = ["doc_id", "source", *_MEASURES, "ending"]
+    hits = _lengths(seen).join(best, F.col("source").eqNullSafe(F.col("s")) & (F.col("measure") == F.col("m")) & (F.col("n") == F.col("at")))
+    first = hits.groupBy(*text).agg(F.min_by(F.struct("measure", "n"), F.struct(F.col("log_p"), F.col("measure") == "words", F.col("measure") == "bytes")).alias("l"))
+    cut = F.count(F.when(F.col("ending").isin(CUT_MARK, INCOMPLETE), 1))
+    own = first.groupBy(F.col("source").alias("s"), F.col("l.measure").alias("m"), F.col("l.n").alias("at")).agg(F.count("*").alias("own"), cut.alias("own_cut"))
+    j = table.join(own, F.col("source").eqNullSafe(F.col("s")) & (F.col("measure") == F.col("m")) & (F.col("n") == F.col("at")), "left")
+    n = F.coalesce("own", F.lit(0))
+    still = F.col("significant") & (n >= least) & (_cell(_bound(n.cast("double"), F.col("expected"))) <= F.col("limit")) & (F.coalesce("own_cut", F.lit(0)) * 2 > n)
+    return j.select("source", "measure", "n", "deaths", "at_risk", "expected", "log_p", n.alias("own"), still.alias("significant"))
+
+
+def _cell(log_p: Column) -> Column:
+    return F.greatest(F.ceil(log_p * 20), F.lit(-6400)).cast("int")
 
 
 def _discoveries(table: DataFrame, q: float) -> DataFrame:
-    """Benjamini-Hochberg: the largest p with p <= q * rank / tests.
+    """Benjamini-Hochberg: the largest p with p <= q * rank / tests; adds its cell as `limit`.
 
     Ranks are read off counts on a grid of 0.05 in log p (at most 6,400 cells), so no sort over all tests is needed;
     rounding goes to the safe side.
     """
-    cell = F.greatest(F.ceil(F.col("log_p") * 20), F.lit(-6400)).cast("int")
-    grid = table.groupBy(cell.alias("cell")).agg(F.count("*").alias("n"))
+    grid = table.groupBy(_cell(F.col("log_p")).alias("cell")).agg(F.count("*").alias("n"))
     total = F.sum("n").over(Window.partitionBy(F.lit(1)))
     upto = F.sum("n").over(Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, 0))
     fits = F.col("cell") / 20.0 <= F.log10(F.lit(q) * F.col("upto") / F.col("total"))
     limit = grid.select("cell", upto.alias("upto"), total.alias("total")).where(fits).agg(F.coalesce(F.max("cell"), F.lit(-10_000)).alias("limit"))
-    return table.drop("significant").crossJoin(F.broadcast(limit)).withColumn("significant", cell <= F.col("limit")).drop("limit")
+    return table.drop("significant").crossJoin(F.broadcast(limit)).withColumn("significant", _cell(F.col("log_p")) <= F.col("limit"))  # one row
 
 
 def find_truncated(df: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", q: float = 0.001) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -164,8 +184,7 @@ def find_truncated(df: DataFrame, key: str = "doc_id", source: str = "source", t
     hazards = length_hazards(seen, q)
     limits = hazards.where("significant").select("source", "measure", "n")
     sure = seen.where(F.col("ending").isin(CUT_MARK, INCOMPLETE))
-    each = F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("n")) for m in _MEASURES]))
-    maybe = seen.where(F.col("ending") == UNUSUAL).select("doc_id", "source", "ending", each.alias("e")).select("doc_id", "source", "ending", "e.measure", "e.n")
+    maybe = _lengths(seen.where(F.col("ending") == UNUSUAL))
     lim = limits.select(F.col("source").alias("s"), F.col("measure").alias("m"), F.col("n").alias("at"))
     at_limit = maybe.join(lim, F.col("source").eqNullSafe(F.col("s")) & (F.col("measure") == F.col("m")) & (F.col("n") == F.col("at")), "left_semi")
     found = sure.select("doc_id", "source", "ending").unionByName(at_limit.select("doc_id", "source", "ending").distinct())
