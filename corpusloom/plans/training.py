@@ -80,5 +80,71 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (p1_found, p1_value_counts, p2_found, p2_parts, p2_articles, p2_body_claims, p3_found, p3_by_month)}
 
 
+_HARD = r"|;｜；\t\n\r"
+
+
+def _split_sql(field: str) -> str:
+    hard = _HARD + ("+" if field == "query_categories" else "")
+    body = f"CASE WHEN regexp_matches(t, '^\\[(\"[^\"]*\"|[^\"\\[\\]]|\\[[^\\[\\]]*\\])*\\]$') THEN substr(t, 2, length(t) - 2) ELSE t END"
+    # pieces are runs of quoted text and of characters that don't separate
+    return f"""SELECT record_id, '{field}' AS field, b, CASE WHEN regexp_matches(regexp_replace(b, '"[^"]*"', 'Q', 'g'), '[{hard}]')
+    THEN regexp_extract_all(b, '(?:"[^"]*"|[^"{hard}])+') ELSE regexp_extract_all(b, '(?:"[^"]*"|[^",])+') END AS pieces
+    FROM (SELECT record_id, {body} AS b FROM (SELECT record_id, trim({field}, E' \\t\\n\\r') AS t FROM pubmed_complete_metadata WHERE {field} IS NOT NULL))"""
+
+
+def _p1_sql() -> str:
+    every = " UNION ALL ".join(_split_sql(f) for f in PACKED_FIELDS)
+    strip = r"trim(x, E' \t\n\r')"
+    clean = f"""CASE WHEN length({strip}) >= 2 AND {strip}[1] = '"' AND {strip}[-1] = '"' THEN trim(replace(substr({strip}, 2, length({strip}) - 2), '""', '"'), E' \\t\\n\\r') ELSE {strip} END"""
+    vals = f"list_filter(list_transform(pieces, lambda x: {clean}), lambda v: v <> '')"
+    return f"""WITH v AS (SELECT record_id, field, {vals} AS v FROM ({every}))
+    SELECT record_id, field, CAST(i AS INTEGER) AS pos, v[i] AS value FROM (SELECT record_id, field, v, unnest(generate_series(1, len(v))) AS i FROM v)"""
+
+
+_SECS = """CASE json_type({s}) WHEN 'ARRAY' THEN json_extract({s}, '$[*]') WHEN 'OBJECT' THEN [{s}] WHEN 'VARCHAR' THEN
+    CASE WHEN NOT json_valid({s} ->> '$') THEN [] WHEN json_type(({s} ->> '$')::JSON) = 'ARRAY' THEN json_extract(({s} ->> '$')::JSON, '$[*]')
+    WHEN json_type(({s} ->> '$')::JSON) = 'OBJECT' THEN [({s} ->> '$')::JSON] ELSE [] END ELSE [] END"""
+
+_P2_SQL = f"""WITH RECURSIVE top AS (SELECT source_file, json_extract(record::JSON, '$.article.body.secs') AS secs FROM literature_raw WHERE json_valid(record)),
+kids AS (SELECT source_file, CAST([] AS INTEGER[]) AS steps, {_SECS.format(s="secs")} AS list FROM top),
+tree AS (
+  SELECT source_file, list_append(steps, i::INTEGER) AS steps, list[i] AS node FROM (SELECT source_file, steps, list, unnest(generate_series(1, len(list))) AS i FROM kids)
+  UNION ALL
+  SELECT source_file, list_append(steps, i::INTEGER), list[i] FROM (SELECT source_file, steps, list, unnest(generate_series(1, len(list))) AS i FROM
+    (SELECT source_file, steps, {_SECS.format(s="json_extract(node, '$.secs')")} AS list FROM tree WHERE json_type(node) = 'OBJECT'))),
+numbered AS (SELECT source_file, steps, row_number() OVER (PARTITION BY source_file ORDER BY steps) AS no FROM tree WHERE json_type(node) = 'OBJECT'),
+flat AS (SELECT source_file, i AS no, list_transform(coalesce(s[i].section_path, []), lambda e: lower(trim(regexp_replace(coalesce(e, ''), '\\s+', ' ', 'g')))) AS p
+  FROM (SELECT source_file, body_sections AS s, unnest(generate_series(1, len(body_sections))) AS i FROM literature_article WHERE body_sections IS NOT NULL))
+SELECT n.source_file, CAST(n.no AS INTEGER) AS section_no, CAST(coalesce(u.no, 0) AS INTEGER) AS parent_no FROM numbered n LEFT JOIN numbered u ON u.source_file = n.source_file AND u.steps = n.steps[1:len(n.steps) - 1]
+UNION ALL
+SELECT c.source_file, CAST(c.no AS INTEGER), CAST(coalesce(max_by(e.no, (len(e.p), e.no)), 0) AS INTEGER) FROM flat c LEFT JOIN flat e
+ON e.source_file = c.source_file AND e.no < c.no AND len(e.p) > 0 AND len(e.p) < len(c.p) AND c.p[1:len(e.p)] = e.p GROUP BY c.source_file, c.no"""
+
+
+def _number(c: str) -> str:
+    return f"ltrim(nullif(regexp_extract({c}, '[0-9]+'), ''), '0')"
+
+
+def _reference_sql(table: str, field: str, at: str, target: str, target_field: str, begin: str, end: str) -> str:
+    return f"""SELECT '{table}' AS ref_table, '{field}' AS ref_field, r.record_id, any_value(r.happened) AS happened, CASE WHEN count(t.n) = 0 THEN 'missing' WHEN min(t.b) > any_value(r.happened) THEN 'late' ELSE 'deleted' END AS reason
+    FROM (SELECT record_id, {at} AS happened, {_number(field)} AS n FROM {table}) r LEFT JOIN (SELECT {_number(target_field)} AS n, {begin} AS b, {end} AS e FROM {target}) t ON t.n = r.n
+    WHERE r.n IS NOT NULL AND r.happened IS NOT NULL GROUP BY r.record_id HAVING count(CASE WHEN t.b <= r.happened AND (t.e IS NULL OR t.e > r.happened) THEN 1 END) = 0"""
+
+
+_P3_SQL = " UNION ALL ".join(
+    [
+        _reference_sql("pubmed_fulltext_manifest", "pmcid", "created_at", "pubmed_complete_metadata", "pmcid", "ingested_at", "withdrawn_at"),
+        _reference_sql("pubmed_selection_audit", "pmid", "selected_at", "pubmed_complete_metadata", "pmid", "ingested_at", "withdrawn_at"),
+        _reference_sql("pubmed_selection_audit", "disease_id", "selected_at", "disease_manifest", "disease_id", "added_at", "retired_at"),
+    ]
+)
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "p1_found": _p1_sql(),
+        "p1_value_counts": f"SELECT field, value, count(DISTINCT record_id) AS n_records, count(*) AS n_values FROM ({_p1_sql()}) GROUP BY 1, 2",
+        "p2_found": _P2_SQL,
+        "p3_found": f"SELECT ref_table, ref_field, record_id, reason FROM ({_P3_SQL})",
+        "p3_by_month": f"SELECT ref_table, ref_field, strftime(happened AT TIME ZONE 'UTC', '%Y-%m') AS month, reason, count(*) AS n FROM ({_P3_SQL}) GROUP BY ALL",
+    }
