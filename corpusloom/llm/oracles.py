@@ -2,6 +2,34 @@
 
 from __future__ import annotations
 
+from .queries import BEST, CHUNK_CHARS, SEQUENCE, SIMILARITY, WINDOW_TOKENS
+
+_TRIM = r"E' \t\n\r'"
+
+
+def _number(c: str) -> str:
+    return f"TRY_CAST(nullif(regexp_extract({c}, '[0-9]+'), '') AS BIGINT)"
+
+
+_P4 = f"""WITH t AS (SELECT 'abstract' AS src, record_id AS id, abstract AS text FROM pubmed_complete_metadata UNION ALL SELECT 'chunk', chunk_id, text FROM literature_chunk),
+w AS (SELECT src, id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS w FROM t WHERE text IS NOT NULL),
+s AS (SELECT DISTINCT src, id, unnest(list_transform(generate_series(1, len(w) - {SEQUENCE - 1}), lambda i: array_to_string(w[i:i + {SEQUENCE - 1}], ' '))) AS s FROM w WHERE len(w) >= {SEQUENCE}),
+n AS (SELECT src, id, count(*) AS n FROM s GROUP BY ALL),
+c AS (SELECT a.src, a.id AS id_a, b.id AS id_b, count(*) AS both FROM s a JOIN s b ON a.src = b.src AND a.s = b.s AND a.id < b.id GROUP BY ALL)
+SELECT c.src, c.id_a, c.id_b FROM c JOIN n x ON x.src = c.src AND x.id = c.id_a JOIN n y ON y.src = c.src AND y.id = c.id_b WHERE c.both / (x.n + y.n - c.both) >= {SIMILARITY}"""
+
+_SIDE = """SELECT 'section' AS src, source_file || '/{s}/' || i AS item FROM (SELECT source_file, {s}_sections AS l, unnest(generate_series(1, len({s}_sections))) AS i FROM literature_article WHERE {s}_sections IS NOT NULL)
+WHERE length(trim(l[i].text, {t})) > {n}"""
+
+_P5 = f"""SELECT 'chunk' AS src, chunk_id::VARCHAR AS item FROM literature_chunk WHERE length(trim(text, {_TRIM})) > {CHUNK_CHARS}
+UNION ALL {_SIDE.format(s="abstract", t=_TRIM, n=CHUNK_CHARS)} UNION ALL {_SIDE.format(s="body", t=_TRIM, n=CHUNK_CHARS)}
+UNION ALL SELECT 'window', window_id::VARCHAR FROM literature_embedding_window WHERE len(regexp_extract_all(text, '[^ \\t\\r\\n]+')) > {WINDOW_TOKENS}"""
+
+_P6 = f"""WITH a AS (SELECT selection_run, {_number("disease_id")} AS disease_id, {_number("pmid")} AS pmid, min({_number("selection_rank")}) AS r FROM pubmed_selection_audit GROUP BY ALL),
+m AS (SELECT {_number("pmid")} AS pmid, min({_number("best_rank")}) AS b FROM pubmed_complete_metadata GROUP BY 1)
+SELECT selection_run, disease_id, pmid FROM (SELECT a.*, row_number() OVER (PARTITION BY selection_run, disease_id ORDER BY r, b ASC NULLS LAST, pmid) AS k FROM a LEFT JOIN m USING (pmid)
+WHERE disease_id IS NOT NULL AND pmid IS NOT NULL AND r IS NOT NULL) WHERE k <= {BEST}"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"p4_found": _P4, "p5_found": _P5, "p6_found": _P6}

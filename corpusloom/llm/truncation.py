@@ -76,11 +76,11 @@ def ending(text: str, closings: tuple[str, ...] = CLOSINGS) -> str:
         return CUT_MARK
     if ABBREVIATION.search(tail) or NUMBER_OPEN.search(tail):
         return INCOMPLETE
-    if SENTENCE_END.search(tail):
+    if SENTENCE_END.search(tail) or EMOJI.search(tail):
         return COMPLETE
     if OPEN_MARKUP.search(tail):
         return INCOMPLETE
-    if CLOSED.search(tail) or EMOJI.search(tail):
+    if CLOSED.search(tail):
         return COMPLETE
     return UNUSUAL if STRUCTURED.search(LAST_LINE.search(tail).group()) else INCOMPLETE
 
