@@ -114,6 +114,10 @@ def book_record(node: ET.Element) -> dict:
     )
 
 
+def _frame(rows: list[dict], names: list[str]) -> pd.DataFrame:
+    return pd.DataFrame([[r.get(n) for n in names] for r in rows], columns=names, dtype=object)
+
+
 def parse_records(files: DataFrame) -> DataFrame:
     """Rows of RECORD_TYPE from (source_file, content): one per record, or one with the error of a file or record."""
     readers = {"PubmedArticle": article_record, "PubmedBookArticle": book_record}
@@ -132,7 +136,7 @@ def parse_records(files: DataFrame) -> DataFrame:
                         rows.append(read(e) | {"source_file": name, "error": None})
                     except ValueError as x:
                         rows.append({"source_file": name, "error": str(x)})
-            yield pd.DataFrame(rows, columns=RECORD_TYPE.names)
+            yield _frame(rows, RECORD_TYPE.names)
 
     return files.select("source_file", "content").mapInPandas(run, RECORD_TYPE)
 
@@ -193,6 +197,6 @@ def parse_passages(files: DataFrame) -> DataFrame:
                     rows.append(passage_document(content) | {"source_file": name, "error": None})
                 except ValueError as e:
                     rows.append({"source_file": name, "error": str(e)})
-            yield pd.DataFrame(rows, columns=PASSAGE_TYPE.names)
+            yield _frame(rows, PASSAGE_TYPE.names)
 
     return files.select("source_file", "content").mapInPandas(run, PASSAGE_TYPE)
