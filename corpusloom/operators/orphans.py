@@ -60,9 +60,11 @@ def _targets(code: int, df: DataFrame, field: str, begin: str, end: str) -> Data
         F.coalesce(_micros(F.col(begin)), F.lit(_NEVER + 1)).alias("t"),
         F.coalesce(_micros(F.col(end)), F.lit(_ALWAYS)).alias("v"),
     ).where("number is not null")
-    begins = rows.where("v > t").select("target", "number", "t", F.lit(_TARGET).alias("kind"), "v", *_no_record())
+    # of targets that begin together only the latest end counts, so a hot key shrinks before it is shuffled
+    once = rows.groupBy("target", "number", "t").agg(F.max("v").alias("v"))
+    begins = once.where("v > t").select("target", "number", "t", F.lit(_TARGET).alias("kind"), "v", *_no_record())
     # one mark per key, ahead of all its events, holds its first begin
-    marks = rows.groupBy("target", "number").agg(F.min("t").alias("v")).select("target", "number", F.lit(_NEVER).alias("t"), F.lit(_MARK).alias("kind"), "v", *_no_record())
+    marks = once.groupBy("target", "number").agg(F.min("t").alias("v")).select("target", "number", F.lit(_NEVER).alias("t"), F.lit(_MARK).alias("kind"), "v", *_no_record())
     return begins.unionByName(marks)
 
 

@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
+
 # Separators outside double quotes; the second of each pair is the full-width form.
 HARD_SEPARATORS = "|｜;；\t\n\r\x0b\x0c\x85  "
 SOFT_SEPARATOR = ","
@@ -177,7 +179,7 @@ def split_packed(
     out = T.StructType(
         [T.StructField(key, key_type), T.StructField("field", T.StringType()), T.StructField("pos", T.IntegerType()), T.StructField("value", T.StringType())]
     )
-    # one row beyond the bound decides; never more than the bound reaches the driver
+    known = cut_lineage(known)  # read once more below, and not worth a second scan of the cells
     sized = known.agg(F.coalesce(F.sum(F.octet_length("value") + 48), F.lit(0)).alias("bytes")).first()["bytes"]
     if sized > max_dictionary_bytes:
         return _by_join(cells, known, extra, out)
