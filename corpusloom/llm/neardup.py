@@ -33,6 +33,7 @@ from . import kernels as K
 
 WIDTH, BANDS, ROWS = 3, 28, 3
 TOUCHED_BITS = 1 << 25
+EXPAND = 64
 _FIRST, _MORE = 2.3, 3.0  # horizon beyond ln m: at first one text in ten has an empty component
 
 
@@ -221,19 +222,27 @@ def _only_touched(texts: DataFrame, pairs: DataFrame, bits: int = TOUCHED_BITS)
     return t.select("src", "id", "text")
 
 
-def pairs_of_rows(members: DataFrame, links: DataFrame) -> DataFrame:
-    """(src, id_a, id_b): every pair of rows that the links and the classes of equal texts stand for."""
+def pairs_of_rows(members: DataFrame, links: DataFrame, expand: int = EXPAND) -> DataFrame:
+    """(src, id_a, id_b): pairs of rows that the links and the classes of equal texts stand for.
+
+    Classes of up to `expand` copies are expanded into all their pairs, which makes less than `expand` pairs a row.  A
+    larger class would give a quadratic number of pairs that say nothing new: each of its copies is paired with the
+    representative, which alone carries the class's links to other texts.  No link between different texts is lost.
+    """
     m = members.select("src", "rep", "id").distinct()
-    copies = m.groupBy("src", "rep").agg(F.count("*").alias("n")).where("n > 1").select("src", "rep")
-    many = m.join(copies, ["src", "rep"])
-    within = many.select("src", "rep", F.col("id").alias("id_a")).join(many.select("src", "rep", F.col("id").alias("id_b")), ["src", "rep"]).where("id_a < id_b")
+    sizes = m.groupBy("src", "rep").agg(F.count("*").alias("n")).where("n > 1")
+    sized = m.join(sizes, ["src", "rep"], "left").withColumn("n", F.coalesce("n", F.lit(1)))
+    few = sized.where(F.col("n").between(2, expand))
+    within = few.select("src", "rep", F.col("id").alias("id_a")).join(few.select("src", "rep", F.col("id").alias("id_b")), ["src", "rep"]).where("id_a < id_b")
+    star = sized.where((F.col("n") > expand) & (F.col("id") != F.col("rep"))).select("src", F.col("rep").alias("id_a"), F.col("id").alias("id_b"))
+    linked = sized.where((F.col("n") <= expand) | (F.col("id") == F.col("rep")))
     across = (
         links.select("src", "a", "b")
-        .join(m.select("src", F.col("rep").alias("a"), F.col("id").alias("x")), ["src", "a"])
-        .join(m.select("src", F.col("rep").alias("b"), F.col("id").alias("y")), ["src", "b"])
+        .join(linked.select("src", F.col("rep").alias("a"), F.col("id").alias("x")), ["src", "a"])
+        .join(linked.select("src", F.col("rep").alias("b"), F.col("id").alias("y")), ["src", "b"])
         .select("src", F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
     )
-    return within.select("src", "id_a", "id_b").unionByName(across)
+    return within.select("src", "id_a", "id_b").unionByName(star).unionByName(across)
 
 
 def groups_of_rows(members: DataFrame, links: DataFrame) -> DataFrame:

@@ -70,6 +70,16 @@ def test_edges_groups_and_copies(spark):
     assert ("a", 6) not in groups and ("a", 8) not in groups
 
 
+def test_a_large_class_of_copies_keeps_its_links_without_all_pairs(spark):
+    w = [f"w{i}" for i in range(60)]
+    data = [("a", i, " ".join(w)) for i in range(10, 310)] + [("a", i, " ".join([*w[:30], "x", *w[31:]])) for i in (5, 500)]
+    members, links = neardup.near_duplicates(table(spark, [(*d, "", 0) for d in data]), 0.6, 3)
+    got = {(r.id_a, r.id_b) for r in neardup.pairs_of_rows(members, links).collect()}
+    assert got == {(10, i) for i in range(11, 310)} | {(5, 10), (5, 500), (10, 500)}
+    groups = neardup.groups_of_rows(members, links).collect()
+    assert {r.group_id for r in groups} == {5} and {r.links for r in groups} == {301}
+
+
 def test_chains_become_one_group(spark):
     members = spark.createDataFrame([("s", i, i) for i in range(1, 41)], "src string, id long, rep long")
     links = spark.createDataFrame([("s", i, i + 1, 0.9) for i in range(1, 30)] + [("s", 31, 40, 0.9)], "src string, a long, b long, similarity double")
