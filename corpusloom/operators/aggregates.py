@@ -50,13 +50,15 @@ def combinations(df: DataFrame, packed: str, declared: list[str] | None = None,
 def duplicates(df: DataFrame, key: str) -> DataFrame:
     """One row: total, distinct, repeated values, extra rows, blanks (kept out of the other figures)."""
     k = F.col(key).cast("string")
-    per = df.where(has_value(k)).groupBy(k.alias("_k")).agg(F.count("*").alias("n"))
-    blanks = df.agg(F.count(F.when(~has_value(k), 1)).alias("blank"))
-    one = per.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count("*").alias("distinct_values"), F.count(F.when(F.col("n") > 1, 1)).alias("repeated_values"),
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("extra_rows"),
-    )
-    return one.join(blanks)  # one row each
+    per = df.groupBy(F.when(has_value(k), k).alias("_k")).agg(F.count("*").alias("n"))
+    some = F.col("_k").isNotNull()
+    return per.agg(
+        F.coalesce(F.sum(F.when(some, F.col("n"))), F.lit(0)).alias("total"),
+        F.count("_k").alias("distinct_values"),
+        F.count(F.when(some & (F.col("n") > 1), 1)).alias("repeated_values"),
+        F.coalesce(F.sum(F.when(some, F.col("n") - 1)), F.lit(0)).alias("extra_rows"),
+        F.coalesce(F.sum(F.when(~some, F.col("n"))), F.lit(0)).alias("blank"),
+    )
 
 
 def union_of_sets(df: DataFrame, key: str, packed: str, sep: str = "|") -> DataFrame:

@@ -449,14 +449,21 @@ def ordered_distinct(t: Tables) -> DataFrame:
 
 
 @query(
-    f"""SELECT count(*) AS n, count(DISTINCT record_id) = count(*) AS unique_ids, (SELECT count(*) FROM (SELECT selection_run, {s_number("disease_id")} AS d, {s_number("pmid")} AS p FROM pubmed_selection_audit
-    WHERE {s_number("disease_id")} IS NOT NULL AND {s_number("pmid")} IS NOT NULL GROUP BY ALL HAVING count(*) > 1)) AS repeated_pairs, count(CASE WHEN {s_number("selection_rank")} IS NULL THEN 1 END) AS without_rank FROM pubmed_selection_audit"""
+    f"""SELECT 'rows' AS check_name, count(*) AS n FROM pubmed_selection_audit UNION ALL SELECT 'repeated ids', count(*) FROM (SELECT record_id FROM pubmed_selection_audit GROUP BY 1 HAVING count(*) > 1)
+    UNION ALL SELECT 'repeated pairs', count(*) FROM (SELECT selection_run, {s_number("disease_id")} AS d, {s_number("pmid")} AS p FROM pubmed_selection_audit
+    WHERE {s_number("disease_id")} IS NOT NULL AND {s_number("pmid")} IS NOT NULL GROUP BY ALL HAVING count(*) > 1) UNION ALL SELECT 'without rank', count(*) FROM pubmed_selection_audit WHERE {s_number("selection_rank")} IS NULL"""
 )
 def integrity_report(t: Tables) -> DataFrame:
     a = t.pubmed_selection_audit.select("selection_run", first_bigint("disease_id").alias("d"), first_bigint("pmid").alias("p"), first_bigint("selection_rank").alias("r"), "record_id")
-    whole = a.agg(F.count("*").alias("n"), (F.count_distinct("record_id") == F.count("*")).alias("unique_ids"), F.count(F.when(F.col("r").isNull(), 1)).alias("without_rank"))
-    pairs = a.where("d is not null and p is not null").groupBy("selection_run", "d", "p").agg(F.count("*").alias("k")).agg(F.count(F.when(F.col("k") > 1, 1)).alias("repeated_pairs"))
-    return whole.join(pairs).select("n", "unique_ids", "repeated_pairs", "without_rank")  # one row each
+    repeated = lambda d, *k: d.groupBy(*k).agg(F.count("*").alias("k")).where("k > 1")
+    checks = {
+        "rows": a, "repeated ids": repeated(a, "record_id"), "repeated pairs": repeated(a.where("d is not null and p is not null"), "selection_run", "d", "p"), "without rank": a.where("r is null"),
+    }
+    out = None
+    for name, rows in checks.items():
+        one = rows.agg(F.lit(name).alias("check_name"), F.count("*").alias("n"))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @query(
