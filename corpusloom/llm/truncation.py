@@ -174,8 +174,8 @@ def _discoveries(table: DataFrame, q: float) -> DataFrame:
     total = F.sum("n").over(Window.partitionBy(F.lit(1)))
     upto = F.sum("n").over(Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, 0))
     fits = F.col("cell") / 20.0 <= F.log10(F.lit(q) * F.col("upto") / F.col("total"))
-    limit = grid.select("cell", upto.alias("upto"), total.alias("total")).where(fits).agg(F.coalesce(F.max("cell"), F.lit(-10_000)).alias("limit"))
-    return table.drop("significant").crossJoin(F.broadcast(limit)).withColumn("significant", _cell(F.col("log_p")) <= F.col("limit"))  # one row
+    limit = grid.select("cell", upto.alias("upto"), total.alias("total")).where(fits).agg(F.coalesce(F.max("cell"), F.lit(-10_000)).alias("limit")).first()["limit"]
+    return table.withColumn("limit", F.lit(limit)).withColumn("significant", _cell(F.col("log_p")) <= limit)
 
 
 def find_truncated(df: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", q: float = 0.001) -> tuple[DataFrame, DataFrame, DataFrame]:
