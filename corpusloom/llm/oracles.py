@@ -31,5 +31,12 @@ SELECT selection_run, disease_id, pmid FROM (SELECT a.*, row_number() OVER (PART
 WHERE disease_id IS NOT NULL AND pmid IS NOT NULL AND r IS NOT NULL) WHERE k <= {BEST}"""
 
 
+_P4_GROUPS = f"""WITH RECURSIVE p AS ({_P4}), e AS (SELECT src, id_a AS a, id_b AS b FROM p UNION ALL SELECT src, id_b, id_a FROM p),
+t AS (SELECT 'abstract' AS src, record_id AS id, abstract AS text FROM pubmed_complete_metadata UNION ALL SELECT 'chunk', chunk_id, text FROM literature_chunk),
+ids AS (SELECT src, id FROM t WHERE len(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) >= {SEQUENCE}),
+r AS (SELECT src, id, id AS g FROM ids UNION SELECT r.src, e.b, r.g FROM r JOIN e ON e.src = r.src AND e.a = r.id)
+SELECT r.src, r.id, min(r.g) AS group_id, CAST(any_value(coalesce(n.n, 0)) AS BIGINT) AS links FROM r LEFT JOIN (SELECT src, a, count(*) AS n FROM e GROUP BY ALL) n ON n.src = r.src AND n.a = r.id GROUP BY r.src, r.id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"p4_found": _P4, "p5_found": _P5, "p6_found": _P6}
+    return {"p4_found": _P4, "p4_groups": _P4_GROUPS, "p5_found": _P5, "p6_found": _P6}

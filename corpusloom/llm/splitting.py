@@ -3,7 +3,7 @@
 The sizes of a text's tokens (or characters) form prefix sums; the ends of its paragraphs, sentences and words are
 sorted arrays of the same scale.  Each piece ends at the last paragraph end under the limit, if that lies in the second
 half of the piece, else at such a sentence end, else at the last word end, else hard at the limit; a binary search
-finds each.  The next piece begins `overlap` characters before the cut.
+finds each.  The next piece begins `overlap` characters (or tokens) before the cut.
 
 Defined results: null texts and texts within the limit give no rows here (see pieces_of_all); blanks, tabs and line
 breaks at both ends are no part of a text; a text without blanks or sentence marks is cut hard; whole texts are
@@ -31,30 +31,29 @@ CHARS, TOKENS = "chars", "tokens"
 
 
 def cut(text: str, limit: int, overlap: int, unit: str = CHARS) -> list[tuple[int, int, str]]:
-    """(begin, end, kind of boundary at the end) of each piece of a stripped text; one piece if it is within the limit."""
-    n = len(text)
-    ends: list[int] = []
-    if unit == TOKENS:
-        ends = [m.end() for m in _TOKEN.finditer(text)]
-        if len(ends) <= limit:
-            return [(0, n, "end")]
-    elif n <= limit:
+    """(begin, end, kind of boundary at the end) of each piece of a stripped text; one piece if it is within the limit.
+
+    limit and overlap count characters, or tokens.  Without overlap a piece begins exactly where the one before ended.
+    """
+    n, by_token = len(text), unit == TOKENS
+    spans = [m.span() for m in _TOKEN.finditer(text)] if by_token or n > limit else []
+    if (len(spans) if by_token else n) <= limit:
         return [(0, n, "end")]
-    words = ends or [m.end() for m in _TOKEN.finditer(text)]
+    words = [e for _, e in spans]
     sentences = [m.end() for m in _SENTENCE.finditer(text)]
     paragraphs = [m.start() for m in _PARAGRAPH.finditer(text)]
     out, begin = [], 0
     while True:
-        if unit == TOKENS:
-            done = bisect_right(ends, begin)
-            if len(ends) - done <= limit:
+        # `most` is the limit, `half` the middle of the piece; a cut at or before `least` would not get on
+        if by_token:
+            done = bisect_right(words, begin)
+            if len(words) - done <= limit:
                 break
-            most, half = ends[done + limit - 1], ends[done + (limit - 1) // 2]
+            most, half, least = words[done + limit - 1], words[done + (limit - 1) // 2], words[done + overlap - 1] if overlap else begin
         else:
             if n - begin <= limit:
                 break
-            most, half = begin + limit, begin + limit // 2
-        least = begin + overlap  # a cut at or before it would not get on
+            most, half, least = begin + limit, begin + limit // 2, begin + overlap
         at, kind = most, "hard"
         for bounds, name, low in ((paragraphs, "paragraph", half), (sentences, "sentence", half), (words, "word", least)):
             k = bisect_right(bounds, most) - 1
@@ -62,7 +61,7 @@ def cut(text: str, limit: int, overlap: int, unit: str = CHARS) -> list[tuple[in
                 at, kind = bounds[k], name
                 break
         out.append((begin, at, kind))
-        begin = at - overlap
+        begin = at if not overlap else spans[bisect_right(words, at) - overlap][0] if by_token else at - overlap
     out.append((begin, n, "end"))
     return out
 
@@ -72,7 +71,7 @@ def split_oversized(df: DataFrame, keys: list[str], text: str, limit: int, overl
 
     begin and end count code points of the stripped text; piece_no counts from 1.
     """
-    if not (limit > 0 and 0 <= overlap < (limit if unit == CHARS else limit * 2)):
+    if not (limit > 0 and 0 <= overlap < limit):
         raise ValueError("limit must be positive and overlap below it")
     body = F.btrim(F.col(text).cast("string"), F.lit(BLANKS))
     slim = df.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], body.alias("body"))
