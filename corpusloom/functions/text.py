@@ -61,6 +61,55 @@ def contains_ci(values: Column, wanted: str) -> Column:
     return F.exists(values, lambda x: F.lower(x) == wanted.lower())
 
 
+def overlaps_ci(values: Column, wanted: list[str]) -> Column:
+    """Whether any value equals one of the wanted ones, case ignored."""
+    return F.arrays_overlap(F.transform(values, F.lower), F.array(*[F.lit(w.lower()) for w in wanted]))
+
+
+def first_match(cases: list[tuple[str, Column]], default: str) -> Column:
+    """Label of the first condition that holds; unknown counts as false."""
+    out = None
+    for label, condition in cases:
+        c = F.coalesce(condition, F.lit(False))
+        out = F.when(c, label) if out is None else out.when(c, label)
+    return F.lit(default) if out is None else out.otherwise(default)
+
+
+def override(c: Column | str, table: dict[str, str]) -> Column:
+    """The table's entry for a name with blanks collapsed, else the name itself."""
+    name = collapse_ws(c)
+    if not table:
+        return name
+    lookup = F.create_map(*[F.lit(x) for kv in table.items() for x in kv])
+    return F.coalesce(F.try_element_at(lookup, name), name)
+
+
+def search_query(term: Column | str, field: str, qualifiers: list[str] | None = None) -> Column:
+    """A quoted term in a field, with alternative qualifiers: "term"[Field] AND (a[Field] OR b[Field])."""
+    head = F.concat(quote_term(term), F.lit(f"[{field}]"))
+    if not qualifiers:
+        return head
+    return F.concat(head, F.lit(" AND (" + " OR ".join(f"{q}[{field}]" for q in qualifiers) + ")"))
+
+
+def percent_text(part: Column, whole: Column, digits: int = 1) -> Column:
+    """For presentation only: "12.5%"."""
+    return F.concat(F.format_number(percent(part, whole), digits), F.lit("%"))
+
+
+def merge_maps(*maps: Column) -> Column:
+    """Union of maps; of equal keys the last map's value counts; null maps are empty."""
+
+    def over(a: Column, b: Column) -> Column:
+        return F.map_concat(F.map_filter(a, lambda k, _: ~F.map_contains_key(b, k)), b)
+
+    none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
+    out = none
+    for m in maps:
+        out = over(out, F.coalesce(m, none))
+    return out
+
+
 def type_token(c: Column | str) -> Column:
     """Lower case, every run of other characters than a-z and 0-9 becomes "_", outer "_" removed."""
     return F.btrim(F.regexp_replace(F.lower(_c(c)), "[^a-z0-9]+", "_"), F.lit("_"))

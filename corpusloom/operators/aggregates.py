@@ -157,3 +157,19 @@ def duplicate_paths(sections: DataFrame, key: str, path: str) -> DataFrame:
 def storage(df: DataFrame, dimension: int = 768, width: int = 4) -> DataFrame:
     """One row: n vectors, bytes, MiB."""
     return df.agg(F.count("*").alias("n")).select("n", (F.col("n") * dimension * width).alias("bytes"), F.round(F.col("n") * dimension * width / 1048576, 6).alias("mib"))
+
+
+def funnel(df: DataFrame, stages: list[tuple[str, Column]]) -> DataFrame:
+    """(stage, name, n): rows left after each condition in turn, stage 0 all of them, in one pass."""
+    aggs, so_far = [F.count("*").alias("s0")], F.lit(True)
+    for i, (_, condition) in enumerate(stages, 1):
+        so_far = so_far & F.coalesce(condition, F.lit(False))
+        aggs.append(F.count(F.when(so_far, 1)).alias(f"s{i}"))
+    names = ["all", *[n for n, _ in stages]]
+    rows = F.array(*[F.struct(F.lit(i).alias("stage"), F.lit(n).alias("name"), F.col(f"s{i}").alias("n")) for i, n in enumerate(names)])
+    return df.agg(*aggs).select(F.explode(rows).alias("e")).select("e.*")
+
+
+def limited_with_total(df: DataFrame, order: list[Column], n: int) -> tuple[DataFrame, DataFrame]:
+    """The first n rows, and the count of all of them."""
+    return df.orderBy(*order).limit(n), df.agg(F.count("*").alias("n"))

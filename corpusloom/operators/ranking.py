@@ -69,6 +69,25 @@ def winner(df: DataFrame, group: str, order: list[Column]) -> DataFrame:
     return df.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
 
 
+def examples(df: DataFrame, key: str, order: list[Column], conditions: list[tuple[str, Column]]) -> DataFrame:
+    """(label, key): per condition in turn the first row that fulfils it and was not taken by an earlier one.
+
+    Only as many rows per condition as there are conditions can matter, so the choice runs over that few.
+    """
+    k = len(conditions)
+    found = None
+    for i, (label, cond) in enumerate(conditions):
+        part = df.where(cond).orderBy(*order, F.col(key)).limit(k).select(F.lit(i).alias("i"), F.lit(label).alias("label"), F.col(key).alias("k"))
+        part = part.withColumn("r", F.monotonically_increasing_id())
+        found = part if found is None else found.unionByName(part)
+    taken, out = set(), []
+    for r in sorted(found.collect(), key=lambda r: (r["i"], r["r"])) if found is not None else []:  # at most k * k rows
+        if r["k"] not in taken and r["label"] not in {x[0] for x in out}:
+            taken.add(r["k"])
+            out.append((r["label"], r["k"]))
+    return df.sparkSession.createDataFrame(out, f"label string, {key} {dict(df.dtypes)[key]}")
+
+
 def greedy_diverse(df: DataFrame, group: str, item: str, labels: str, prefer: list[tuple[str, bool]], n: int) -> DataFrame:
     """(group, item, place, new_labels): up to n items per group, each time the one that adds most labels not covered yet.
 

@@ -328,6 +328,34 @@ def year_buckets(t: Tables) -> DataFrame:
     return t.pubmed_complete_metadata.groupBy(dates.year_bucket(y).alias("bucket")).agg(F.count("*").alias("n"))
 
 
+@query(
+    f"""WITH m AS (SELECT list_contains({s_list("lower(language)")}, 'eng') AS a, {s_text("abstract")} <> '' AS b, len(list_filter({s_set("publication_types")}, lambda x: lower(x) IN ('news', 'comment'))) = 0 AS c FROM pubmed_complete_metadata)
+    SELECT 0 AS stage, 'all' AS name, count(*) AS n FROM m UNION ALL SELECT 1, 'language', count(*) FROM m WHERE a UNION ALL SELECT 2, 'abstract', count(*) FROM m WHERE a AND b UNION ALL SELECT 3, 'type', count(*) FROM m WHERE a AND b AND c"""
+)
+def filter_funnel(t: Tables) -> DataFrame:
+    stages = [
+        ("language", text.contains_ci(split_set("language"), "eng")), ("abstract", has_value("abstract")), ("type", ~text.overlaps_ci(split_set("publication_types"), ["news", "comment"])),
+    ]
+    return A.funnel(t.pubmed_complete_metadata, stages)
+
+
+@query(
+    f"""SELECT record_id, CASE WHEN {s_text("pmcid")} <> '' THEN 'pmcid' WHEN {s_text("doi")} <> '' THEN 'doi' ELSE 'none' END AS best_id FROM pubmed_complete_metadata"""
+)
+def first_match_case(t: Tables) -> DataFrame:
+    return t.pubmed_complete_metadata.select("record_id", text.first_match([("pmcid", has_value("pmcid")), ("doi", has_value("doi"))], "none").alias("best_id"))
+
+
+@query(
+    """SELECT disease_id, CASE WHEN disease_id = '17' THEN 'seventeen' ELSE regexp_replace(trim(disease_name), '\\s+', ' ', 'g') END AS term, '"' || CASE WHEN disease_id = '17' THEN 'seventeen' ELSE regexp_replace(trim(disease_name), '\\s+', ' ', 'g') END || '"[Title] AND (diagnosis[Title] OR symptoms[Title])' AS query
+    FROM disease_manifest"""
+)
+def search_terms(t: Tables) -> DataFrame:
+    name = F.when(F.col("disease_id") == "17", "17").otherwise(F.col("disease_name"))
+    d = t.disease_manifest.select("disease_id", text.override(name, {"17": "seventeen"}).alias("term"))
+    return d.select("disease_id", "term", text.search_query("term", "Title", ["diagnosis", "symptoms"]).alias("query"))
+
+
 # --- ranks, sorts, samples --------------------------------------------------------------------------------------------
 
 

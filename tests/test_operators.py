@@ -217,3 +217,20 @@ def test_model_sees_the_context(spark):
     assert ask(spark, engine(spark, broken))["status"] == "error"
     with pytest.raises(Exception, match="question needs"):
         ask(spark, engine(spark), " ")
+
+
+def test_examples_take_each_row_once(spark):
+    df = spark.createDataFrame([(i, i % 2, i % 3) for i in range(1, 10)], "k int, a int, b int")
+    got = R.examples(df, "k", [F.col("k")], [("even", F.col("a") == 0), ("any", F.lit(True)), ("all", F.lit(True)), ("never", F.col("a") == 7)])
+    assert {(r.label, r.k) for r in got.collect()} == {("even", 2), ("any", 1), ("all", 3)}
+
+
+def test_merged_maps_and_funnel(spark):
+    from corpusloom.functions import text
+
+    df = spark.sql("select map('a', '1', 'b', '2') as x, map('b', '3') as y, cast(null as map<string,string>) as z")
+    assert df.select(text.merge_maps(F.col("x"), F.col("y"), F.col("z")).alias("m")).first().m == {"a": "1", "b": "3"}
+    f = A.funnel(spark.range(10), [("even", F.col("id") % 2 == 0), ("unknown", F.lit(None).cast("boolean")), ("rest", F.lit(True))])
+    assert [(r.stage, r.n) for r in f.collect()] == [(0, 10), (1, 5), (2, 0), (3, 0)]
+    rows, total = A.limited_with_total(spark.range(10), [F.col("id")], 3)
+    assert rows.count() == 3 and total.first().n == 10
