@@ -32,7 +32,7 @@ from ..session import cut_lineage
 from . import kernels as K
 
 WIDTH, BANDS, ROWS = 3, 28, 3
-TOUCHED_BITS = 1 << 25
+TOUCHED_BITS = 1 << 27
 EXPAND = 64
 _FIRST, _MORE = 2.3, 3.0  # horizon beyond ln m: at first one text in ten has an empty component
 
@@ -204,11 +204,13 @@ def near_duplicates(
     return members, cut_lineage(links)
 
 
-def _only_touched(texts: DataFrame, pairs: DataFrame, bits: int = TOUCHED_BITS) -> DataFrame:
+def _only_touched(texts: DataFrame, pairs: DataFrame, most_bits: int = TOUCHED_BITS) -> DataFrame:
     """Texts that occur in the pairs, and a few others: a bitmap of hashed ids tells most of the rest before any shuffle.
 
-    The bitmap has a fixed size (bits / 8 bytes, 4 MB), however many pairs there are; if it fills up, more texts pass.
+    The bitmap has 32 bits a pair, and never more than `most_bits` (16 MB), however many pairs there are; if it fills
+    up, more texts pass.
     """
+    bits = min(most_bits, max(1 << 18, 1 << (32 * pairs.count()).bit_length()))
 
     def slot(src: str, key: str):
         return F.pmod(F.xxhash64(F.col(src), F.col(key)), F.lit(bits)) + 1
