@@ -24,7 +24,9 @@ from pyspark.sql import types as T
 # The characters between tokens, also dropped at both ends of a text.
 BLANKS = " \t\r\n"
 _TOKEN = re.compile(r"[^ \t\r\n]+")
-_SENTENCE = re.compile(r"[.!?…。]+[\"'”’)\]]*(?=[ \t\r\n])")
+_SENTENCE = re.compile(r"[.!?…。！？]+[\"'”’)\]]*(?=[ \t\r\n])")
+#: scripts without blanks end sentences with marks of their own; only counted in characters, as they lie inside a token
+_SENTENCE_ANYWHERE = re.compile(_SENTENCE.pattern + r"|[。！？]+[”’」』）]*")
 _PARAGRAPH = re.compile(r"[ \t]*\r?\n[ \t]*(?:\r?\n[ \t]*)+")
 
 CHARS, TOKENS = "chars", "tokens"
@@ -40,7 +42,7 @@ def cut(text: str, limit: int, overlap: int, unit: str = CHARS) -> list[tuple[in
     if (len(spans) if by_token else n) <= limit:
         return [(0, n, "end")]
     words = [e for _, e in spans]
-    sentences = [m.end() for m in _SENTENCE.finditer(text)]
+    sentences = [m.end() for m in (_SENTENCE if by_token else _SENTENCE_ANYWHERE).finditer(text)]
     paragraphs = [m.start() for m in _PARAGRAPH.finditer(text)]
     out, begin = [], 0
     while True:

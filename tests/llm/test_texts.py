@@ -43,6 +43,7 @@ def test_boundaries_in_order_of_preference():
     assert splitting.cut(p, 100, 10)[0] == (0, 60, "paragraph")
     assert splitting.cut("x" * 60 + ". " + "y" * 30 + " " + "z" * 40, 100, 10)[0] == (0, 61, "sentence")
     assert splitting.cut("x" * 70 + " " + "y" * 70, 100, 10)[0] == (0, 70, "word")
+    assert splitting.cut("字" * 80 + "。" + "字" * 80, 100, 10)[0] == (0, 81, "sentence")
     assert splitting.cut("x" * 250, 100, 10) == [(0, 100, "hard"), (90, 190, "hard"), (180, 250, "end")]
 
 
