@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from ..session import cut_lineage
 
 # Separators outside double quotes; the second of each pair is the full-width form.
-HARD_SEPARATORS = "|｜;；\t\n\r\x0b\x0c\x85  "
+HARD_SEPARATORS = "|｜;；\t\n\r\x0b\x0c\x85\u2028\u2029"
 SOFT_SEPARATOR = ","
 
 KNOWN_COST, PIECE_COST = 1, 2

@@ -24,8 +24,8 @@ def most_common(df: DataFrame, value: str, seq: str, n: int) -> DataFrame:
 
 
 def hash_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
-    """n rows that a hash of (key, seed) picks: the same rows however the table is partitioned."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(n)
+    """n rows that a digest of seed and key picks: the same rows however the table is partitioned, here and in SQL."""
+    return df.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary")), F.col(key)).limit(n)
 
 
 def evenly_spaced(df: DataFrame, order: list[Column], count: int = 5) -> DataFrame:

@@ -63,7 +63,24 @@ def name_flags(t: Tables) -> DataFrame:
     return t.disease_manifest.where("disease_name is not null").select("disease_id", F.array_join(text.name_flags("disease_name"), " ").alias("flags"))
 
 
-@query()
+_WHITE = "trim(regexp_replace({x}, '\\s+', ' ', 'g'))"
+_VARIANTS = ", ".join(
+    f"{{'kind': '{k}', 'term': {_WHITE.format(x=x)}}}"
+    for k, x in (
+        ("original", "n"),
+        ("no_apostrophe", "regexp_replace(n, '[''‘’ʼ`]', '', 'g')"),
+        ("possessive", r"regexp_replace(n, '\b([a-z]{4,}?)s?\s+(disease|syndrome|foot)\b', '\1''s \2', 'gi')"),
+        ("no_punctuation", r"regexp_replace(n, '[^\p{L}\p{N}\s]+', ' ', 'g')"),
+        ("no_parentheses", r"regexp_replace(n, '\([^()]*\)', ' ', 'g')"),
+    )
+)
+
+
+@query(
+    f"""WITH v AS (SELECT disease_id, [{_VARIANTS}] AS l FROM (SELECT disease_id, coalesce(disease_name, '') AS n FROM disease_manifest)),
+    k AS (SELECT disease_id, list_filter(l, lambda x, i: x.term <> '' AND list_position(list_transform(l, lambda y: lower(y.term)), lower(x.term)) = i) AS l FROM v)
+    SELECT disease_id, e.kind AS kind, e.term AS term FROM (SELECT disease_id, unnest(l) AS e FROM k)"""
+)
 def name_variants(t: Tables) -> DataFrame:
     return t.disease_manifest.select("disease_id", F.explode(text.name_variants(F.coalesce("disease_name", F.lit("")))).alias("v")).select("disease_id", "v.kind", "v.term")
 

@@ -384,7 +384,7 @@ def most_common_titles(t: Tables) -> DataFrame:
     return R.most_common(t.literature_chunk, "section_title", "chunk_id", 15)
 
 
-@query()
+@query("SELECT chunk_id, category FROM literature_chunk ORDER BY md5('7:' || chunk_id), chunk_id LIMIT 500")
 def hash_sample(t: Tables) -> DataFrame:
     return R.hash_sample(t.literature_chunk.select("chunk_id", "category"), "chunk_id", 500, 7)
 

@@ -21,7 +21,7 @@ def header(spark: SparkSession, path: str) -> list[str]:
     row = spark.read.options(**_OPTIONS).option("header", "false").csv(path).limit(1).collect()
     if not row:
         raise MissingColumns(f"{path} has no header")
-    return [(v or "").lstrip("﻿").strip() for v in row[0]]
+    return [(v or "").lstrip("\ufeff").strip() for v in row[0]]
 
 
 def read_csv(spark: SparkSession, path: str, required: list[str] | tuple[str, ...] = (), strict: bool = False) -> DataFrame:

@@ -86,7 +86,7 @@ def write(path, text):
 
 
 def test_csv(spark, tmp_path):
-    p = write(tmp_path / "a.csv", '﻿pmid,title\n1,"two\nlines, ""q"""\n2,\n')
+    p = write(tmp_path / "a.csv", '\ufeffpmid,title\n1,"two\nlines, ""q"""\n2,\n')
     assert [tuple(r) for r in tables.read_csv(spark, p, ["pmid"]).collect()] == [("1", 'two\nlines, "q"'), ("2", "")]
     with pytest.raises(tables.MissingColumns, match="doi, year"):
         tables.read_csv(spark, p, ["year", "pmid", "doi"])
