@@ -59,7 +59,7 @@ STRUCTURED = re.compile(
     r"|(?:^|\s)(?:https?://|www\.)\S+$"  # address
     r"|\b(?:no|nr|number|id)\.?\s*[A-Z]{0,6}[-/]?\d[\w/-]*$"  # reference number
 )
-EMOJI = re.compile("[☀-➿\U0001f300-\U0001faff❤]️?$|(?:[:;]-?[)(DP])$")
+EMOJI = re.compile("[☀-➿\U0001f300-\U0001faff❤]\ufe0f?$|(?:[:;]-?[)(DP])$")
 
 COMPLETE, UNUSUAL, INCOMPLETE, CUT_MARK = "complete", "unusual", "incomplete", "mark"
 
@@ -147,7 +147,7 @@ def length_hazards(seen: DataFrame, q: float = 0.001, reach: float = 0.06, least
         table = table.withColumn("expected", (around + 0.5) / lengths).withColumn(
             "log_p", F.when(F.col("deaths") >= least, _bound(F.col("deaths").cast("double"), F.col("expected"))).otherwise(0.0)
         )
-        table = cut_lineage(_discoveries(cut_lineage(table.drop("limit")), q))
+        table = _discoveries(cut_lineage(table.drop("limit")), q)
     best = table.where("significant").select(F.col("source").alias("s"), F.col("measure").alias("m"), F.col("n").alias("at"), "log_p")
     text = ["doc_id", "source", *_MEASURES, "ending"]
     hits = _lengths(seen).join(best, F.col("source").eqNullSafe(F.col("s")) & (F.col("measure") == F.col("m")) & (F.col("n") == F.col("at")))
