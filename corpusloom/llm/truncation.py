@@ -10,10 +10,11 @@ other.
 Endings.  Each text ends in one of four ways:
   mark        a sign left by a cut ("[...]", "(continued)", an ellipsis that is no set phrase, a replacement character);
   incomplete  inside a word, sentence or piece of markup: no end of any kind, an open tag or entity, an abbreviation or
-              a broken number where a sentence would have to go on;
+              a broken number where a sentence would have to go on, brackets or quotes inside a sentence;
   unusual     a complete ending of its kind if nothing speaks against it: a list item, table row, key and value,
-              reference number or address at the end of the last line;
-  complete    a sentence end, closing tag, bracket, quote, emoji or a closing phrase.
+              reference number or address at the end of the last line, also with brackets behind it; brackets behind an
+              abbreviation; a closing bracket or quote that was opened nowhere;
+  complete    a sentence end, closing tag, emoji or a closing phrase, also with brackets or quotes behind it.
 Marks and incomplete endings are cuts at any length, since broken transfers stop anywhere; an unusual ending is a cut
 exactly at a significant length of its source.  A cut at the very end of a sentence leaves no trace and is no case.
 
@@ -49,8 +50,9 @@ CLOSINGS = (
 ABBREVIATION = re.compile(r"(?:^|[\s(\[])(?:e\.g|i\.e|approx|vs|fig|figs|no|nos|cf|ca|resp|et al|incl|viz|dr|mr|mrs|prof|st|p|pp|vol|ed|eds|z\.B|bzw|p\.ej)\.$", re.I)
 NUMBER_OPEN = re.compile(r"(?:\([^()]*\b\d+\.|(?:=|<|>|\bat|\bCI|±|≤|≥)\s*\d+\.|\(\s*[A-Za-z]{1,2}\.)$")
 OPEN_MARKUP = re.compile(r"(?:<[/!]?[A-Za-z][^<>\n]{0,200}|</?)$|&#?[A-Za-z0-9]{0,8}$")
-SENTENCE_END = re.compile(r"[.!?。！？؟][\"'”’»)\]*_]*$")
-CLOSED = re.compile(r"(?:</[A-Za-z][\w:-]*\s*>|<[A-Za-z][^<>]*/>|<br>|[)\]}\"”»’])$", re.I)
+SENTENCE_END = re.compile(r"[.!?。！？؟][\"'”’»)\]}*_]*$")
+CLOSED = re.compile(r"(?:</[A-Za-z][\w:-]*\s*>|<[A-Za-z][^<>]*/>|<br>)$", re.I)
+OPENERS = {")": "(", "]": "[", "}": "{", '"': '"', "”": "“„”", "»": "«", "’": "‘"}
 LAST_LINE = re.compile(r"[^\n]*$")
 STRUCTURED = re.compile(
     r"^\s*(?:[-*•–+]|\d{1,3}[.)])\s+\S[^.!?]*$"  # list item
@@ -64,13 +66,46 @@ EMOJI = re.compile("[☀-➿\U0001f300-\U0001faff❤]\ufe0f?$|(?:[:;]-?[)(DP])$"
 COMPLETE, UNUSUAL, INCOMPLETE, CUT_MARK = "complete", "unusual", "incomplete", "mark"
 
 
+def _opening(text: str) -> int:
+    """Where the bracket or quote that ends the text was opened; -1: nowhere."""
+    close, depth = text[-1], 1
+    for i in range(len(text) - 2, -1, -1):
+        if text[i] in OPENERS[close]:
+            depth -= 1
+            if not depth:
+                return i
+        elif text[i] == close:
+            depth += 1
+    return -1
+
+
+def _closing(tail: str, closings: tuple[str, ...]) -> bool:
+    low = tail.lower()
+    return any(low.endswith(c) and (len(low) == len(c) or not low[-len(c) - 1].isalnum()) for c in closings)
+
+
+def _bracketed(text: str, closings: tuple[str, ...]) -> str:
+    """How a text ends whose last character closes a bracket or quote: by what stands before all brackets at its end."""
+    rest = text
+    while rest and rest[-1] in OPENERS:
+        at = _opening(rest)
+        if at < 0:
+            return UNUSUAL
+        rest = rest[:at].rstrip()
+        tail = rest[-TAIL:]
+        if not tail or _closing(tail, closings) or EMOJI.search(tail) or CLOSED.search(tail) or ELLIPSIS.search(tail):
+            return COMPLETE
+        if SENTENCE_END.search(tail):
+            return UNUSUAL if ABBREVIATION.search(tail) else COMPLETE
+    return UNUSUAL if any(STRUCTURED.search(LAST_LINE.search(x[-TAIL:]).group()) for x in (text, rest)) else INCOMPLETE
+
+
 def ending(text: str, closings: tuple[str, ...] = CLOSINGS) -> str:
     """How a text ends."""
     tail = text[-TAIL:].rstrip()
     if not tail:
         return COMPLETE
-    low = tail.lower()
-    if any(low.endswith(c) and (len(low) == len(c) or not low[-len(c) - 1].isalnum()) for c in closings):
+    if _closing(tail, closings):
         return COMPLETE
     if MARK.search(tail) or ELLIPSIS.search(tail):
         return CUT_MARK
@@ -82,6 +117,8 @@ def ending(text: str, closings: tuple[str, ...] = CLOSINGS) -> str:
         return INCOMPLETE
     if CLOSED.search(tail):
         return COMPLETE
+    if tail[-1] in OPENERS:
+        return _bracketed(text.rstrip(), closings)
     return UNUSUAL if STRUCTURED.search(LAST_LINE.search(tail).group()) else INCOMPLETE
 
 

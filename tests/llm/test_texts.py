@@ -169,6 +169,31 @@ def test_endings(text, how):
     assert truncation.ending(text) == how
 
 
+@pytest.mark.parametrize(
+    ("text", "how"),
+    [
+        ("Seen in one guideline (71.2%)", "incomplete"), ("Yes. Any joint (n = 258) [3]", "incomplete"), ('They call it "alpha"', "incomplete"), ("Seen vs. (n = 3)", "unusual"), ("Given {a: 1}", "incomplete"),
+        ("Seen before. (alpha, beta)", "complete"), ("Seen before. [3] (alpha [4])", "complete"), ("<p>Yes.</p> [3]", "complete"), ("Higher at 37. [3, 55]", "complete"), ("Yes. {No.}", "complete"), ("(alpha)", "complete"),
+        ("Seen. (" + "long " * 200 + "note)", "complete"), ("Yes.\n- item (fig. 2)", "unusual"), ("Yes.\nx\t12 (7.8%)", "unusual"), ("Not bad =)", "unusual"),
+    ],
+)
+def test_endings_in_brackets_and_quotes(text, how):
+    assert truncation.ending(text) == how
+
+
+def test_cuts_right_after_a_bracket(spark):
+    docs = corpus()
+    at_limit = "Long. " + "alpha " * 46 + "beta (n = 12) and so on."
+    at_limit = at_limit[: at_limit.index(")") + 1].rjust(300, "x")
+    extra = [(9001, "limited", at_limit, None), (9002, "limited", "Alpha was seen (p = 0.5)", None), (9003, "limited", "Alpha was seen. (beta, gamma)", None), (9004, None, 'Alpha is "beta"', None)]
+    df = spark.createDataFrame([d[:3] for d in docs + extra], "doc_id long, source string, text string")
+    assert len(at_limit) == 300
+    found, _, hazards = truncation.find_truncated(df)
+    got = {r.doc_id for r in found.collect()}
+    assert {9001, 9002, 9004} <= got and 9003 not in got
+    assert ("limited", "chars", 300) in {(r.source, r.measure, r.n) for r in hazards.where("significant").collect()}
+
+
 def corpus(n=3000):
     rnd = random.Random(8)
     out = []
