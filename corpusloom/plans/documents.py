@@ -204,6 +204,11 @@ def _one(t: Tables) -> DataFrame:
     return t.embeddings.where("vec_id = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
 
 
+def _every(t: Tables) -> DataFrame:
+    """The stated set of searches: every row whose id is divisible by 50."""
+    return t.embeddings.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+
+
 @query(f"SELECT a.vec_id AS id, {_COS} AS score FROM embeddings a, (SELECT * FROM embeddings WHERE vec_id = 0) q ORDER BY list_cosine_similarity(a.embedding::DOUBLE[], q.embedding::DOUBLE[]) DESC, 1 LIMIT 5")
 def vector_topk_cosine(t: Tables) -> DataFrame:
     return V.cosine_top_k(_points(t), _one(t), 5).select("id", F.round("score", 6).alias("score"))
@@ -214,8 +219,7 @@ def vector_topk_cosine(t: Tables) -> DataFrame:
     FROM embeddings a, (SELECT * FROM embeddings WHERE vec_id % 50 = 0) q) WHERE rank <= 5"""
 )
 def vector_batch_topk(t: Tables) -> DataFrame:
-    q = t.embeddings.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
-    return V.cosine_top_k(_points(t), q, 5).select("query_id", "id", F.round("score", 6).alias("score"), "rank")
+    return V.cosine_top_k(_points(t), _every(t), 5).select("query_id", "id", F.round("score", 6).alias("score"), "rank")
 
 
 _SIDE = "(SELECT a.vec_id AS id, {c} AS score, row_number() OVER (ORDER BY list_cosine_similarity(a.embedding::DOUBLE[], q.embedding::DOUBLE[]) DESC, a.vec_id) AS rank FROM embeddings a, (SELECT * FROM embeddings WHERE vec_id = 0) q WHERE a.label % 2 = {k})"
@@ -230,6 +234,19 @@ def vector_dual_topk(t: Tables) -> DataFrame:
     return V.dual_top_k(p.where("label % 2 = 0"), p.where("label % 2 = 1"), _one(t), 5).select("evidence_id", "source", "rank", "id", F.round("score", 6).alias("score"))
 
 
+_SIDE_EACH = """(SELECT q.vec_id AS query_id, a.vec_id AS id, {c} AS score, row_number() OVER (PARTITION BY q.vec_id ORDER BY list_cosine_similarity(a.embedding::DOUBLE[], q.embedding::DOUBLE[]) DESC, a.vec_id) AS rank
+    FROM embeddings a, (SELECT * FROM embeddings WHERE vec_id % 50 = 0) q WHERE a.label % 2 = {k})"""
+
+
+@query(
+    f"""SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY o, rank) AS INTEGER) AS evidence_id, source, CAST(rank AS INTEGER) AS rank, id, score FROM (SELECT 0 AS o, 'symptom' AS source, * FROM {_SIDE_EACH.format(c=_COS, k=0)}
+    UNION ALL SELECT 1, 'literature', * FROM {_SIDE_EACH.format(c=_COS, k=1)}) WHERE rank <= 5"""
+)
+def vector_batch_dual_topk(t: Tables) -> DataFrame:
+    p = _points(t)
+    return V.dual_top_k(p.where("label % 2 = 0"), p.where("label % 2 = 1"), _every(t), 5).select("query_id", "evidence_id", "source", "rank", "id", F.round("score", 6).alias("score"))
+
+
 @query("SELECT vec_id AS id, label FROM embeddings WHERE vec_id IN (3, 7, 11, 400000)")
 def point_lookup_by_ids(t: Tables) -> DataFrame:
     return _points(t).where(F.col("id").isin(3, 7, 11, 400000)).select("id", "label")
@@ -283,9 +300,19 @@ def evidence_numbering(t: Tables) -> DataFrame:
     return evidence.retrieve(p.where("label % 2 = 0"), p.where("label % 2 = 1"), _one(t), 5).select("evidence_id", "source_type", "retrieval_rank", "content_id", F.round("relevance_score", 6).alias("relevance_score"))
 
 
+@query(
+    f"""SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY o, rank) AS INTEGER) AS evidence_id, source_type, CAST(rank AS INTEGER) AS retrieval_rank, id AS content_id, score AS relevance_score FROM (SELECT 0 AS o, 'symptom' AS source_type, * FROM {_SIDE_EACH.format(c=_COS, k=0)}
+    UNION ALL SELECT 1, 'literature', * FROM {_SIDE_EACH.format(c=_COS, k=1)}) WHERE rank <= 5"""
+)
+def evidence_batch_numbering(t: Tables) -> DataFrame:
+    p = _points(t)
+    rows = evidence.retrieve(p.where("label % 2 = 0"), p.where("label % 2 = 1"), _every(t), 5)
+    return rows.select("query_id", "evidence_id", "source_type", "retrieval_rank", "content_id", F.round("relevance_score", 6).alias("relevance_score"))
+
+
 def _evidence(t: Tables) -> DataFrame:
     p = _points(t)
-    rows = evidence.retrieve(p.where("label % 2 = 0"), p.where("label % 2 = 1"), _one(t), 5)
+    rows = evidence.retrieve(p.where("label % 2 = 0"), p.where("label % 2 = 1"), _every(t), 5)
     c = t.literature_chunk.select(F.col("chunk_id").alias("content_id"), F.col("text").alias("content"), F.coalesce("pmcid", "pmid").alias("source"))
     return evidence.attach_content(rows, c)
 
@@ -299,8 +326,8 @@ def evidence_context(t: Tables) -> DataFrame:
 def output_contract(t: Tables) -> DataFrame:
     """The nested answer document as JSON; its shape is checked by tests."""
     e = _evidence(t)
-    q = t.spark.range(1).select(
-        F.lit(0).cast("bigint").alias("query_id"), F.lit("persistent cough").alias("clinical_text"), F.array(F.lit("pneumonia")).alias("diseases"), F.array(F.lit("cough"), F.lit("fever")).alias("symptoms"),
+    q = _every(t).select(
+        "query_id", F.lit("persistent cough").alias("clinical_text"), F.array(F.lit("pneumonia")).alias("diseases"), F.array(F.lit("cough"), F.lit("fever")).alias("symptoms"),
         F.array().cast("array<string>").alias("medications"), F.array().cast("array<string>").alias("tests"),
     )
     answer = evidence.first_evidence_answerer(e)

@@ -6,6 +6,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
+
 from corpusloom.operators import aggregates as A
 from corpusloom.operators import chunking as C
 from corpusloom.operators import joins as J
@@ -234,3 +236,20 @@ def test_merged_maps_and_funnel(spark):
     assert [(r.stage, r.n) for r in f.collect()] == [(0, 10), (1, 5), (2, 0), (3, 0)]
     rows, total = A.limited_with_total(spark.range(10), [F.col("id")], 3)
     assert rows.count() == 3 and total.first().n == 10
+
+
+def test_evidence_is_there_for_every_search(spark, folder):
+    every = entry.queries()
+    ids = {r.vec_id for r in spark.read.parquet(f"{folder}/embeddings.parquet").where("vec_id % 50 = 0").select("vec_id").collect()}
+    assert len(ids) > 1
+    contexts = {r.query_id: r.context for r in every["evidence_context"](spark, folder).collect()}
+    documents = {r.query_id: json.loads(r.document) for r in every["output_contract"](spark, folder).collect()}
+    rows = [r.asDict() for r in every["evidence_batch_numbering"](spark, folder).collect()]
+    assert set(contexts) == set(documents) == {r["query_id"] for r in rows} == ids
+    for q in ids:
+        own = sorted((r for r in rows if r["query_id"] == q), key=lambda r: r["evidence_id"])
+        assert [r["evidence_id"] for r in own] == list(range(1, 11)) == [e["evidence_id"] for e in documents[q]["evidence"]]
+        assert contexts[q].count("\nSimilarity: ") == 10 and documents[q]["status"] == "success"
+    one = every["evidence_numbering"](spark, folder).collect()
+    key = lambda r: r["evidence_id"]
+    assert sorted((r.asDict() for r in one), key=key) == sorted(({k: v for k, v in r.items() if k != "query_id"} for r in rows if r["query_id"] == 0), key=key)
