@@ -109,12 +109,15 @@ def write_payloads(df: DataFrame, folder: str, name: str = "source_file", conten
     return df.select(F.col(name).alias("n"), F.col(content).alias("c")).mapInPandas(run, "name string, bytes long, written boolean")
 
 
-def report_lines(sections: list[tuple[str, DataFrame]], limit: int = 1000) -> list[str]:
-    """A text report: a heading per section, then its rows as "a | b | c"; sections are small aggregates."""
+def report_lines(sections: list[tuple[str, DataFrame]]) -> list[str]:
+    """A text report: a heading per section, then all its rows as "a | b | c", in the order of the DataFrame.
+
+    Sections are small aggregates; their lines are held in the driver.
+    """
     out: list[str] = []
     for title, df in sections:
         out += [title, "-" * len(title)]
-        out += [" | ".join("" if v is None else str(v) for v in r) for r in df.limit(limit).collect()]
+        out += [" | ".join("" if v is None else str(v) for v in r) for r in df.collect()]
         out.append("")
     return out
 

@@ -155,6 +155,11 @@ def test_sinks(spark, tmp_path):
     assert {r.name: r.written for r in got} == {"f1": True, "f2": False} and (tmp_path / "f1").read_bytes() == b"ok" and not (tmp_path / "f2").exists()
 
 
+def test_report_has_every_row_of_a_section(spark):
+    lines = sinks.report_lines([("Many", spark.range(1500).orderBy("id")), ("Few", spark.range(1))])
+    assert lines == ["Many", "----", *map(str, range(1500)), "", "Few", "---", "0", ""]
+
+
 def test_shards(spark, tmp_path):
     df = spark.range(25).select(F.col("id").alias("k"), F.concat(F.lit("ü"), F.col("id").cast("string")).alias("a")).repartition(7)
     m = sinks.export_shards(df, ["k"], str(tmp_path / "e"), 10)
