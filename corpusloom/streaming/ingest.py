@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..session import is_local
+from ..sources.sinks import append_batch
+
+EXAMPLES = 20  # error messages of a batch that Progress holds; all failed rows are in the table of failures
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
@@ -34,7 +37,10 @@ def stream_files(spark: SparkSession, path: str, glob: str = "*.xml", per_batch:
 
 @dataclass
 class Progress:
-    """Counters of a run; the invariant is that nothing failed and every new point was stored."""
+    """Counters of a run; the invariant is that nothing failed and every new point was stored.
+
+    `problems` holds the messages of up to EXAMPLES failed rows a batch, as examples; `failures` is the table of all.
+    """
 
     batches: int = 0
     seen: int = 0
@@ -42,6 +48,7 @@ class Progress:
     skipped: int = 0
     stored: int = 0
     problems: list[str] = field(default_factory=list)
+    failures: str = ""
 
     @property
     def successful(self) -> bool:
@@ -59,14 +66,19 @@ def ingest(
     key: str = "id",
     stored: Callable[[], DataFrame | None] = lambda: None,
     report: Callable[[Progress], None] | None = None,
+    failures: str | None = None,
 ) -> Progress:
     """Run all waiting input in micro-batches and return the counters.
 
-    `parse` gives rows with an `error` column, null for good ones; bad rows are counted and the stream goes on.  Ids
-    that repeat in a batch, or are stored already, are skipped; a batch that is run again after a failure therefore
+    `parse` gives rows with an `error` column, null for good ones; bad rows are counted and the stream goes on.  All bad
+    rows, with every column that `parse` gives, go to the Parquet table `failures` under batch=<number>, by default
+    beside the checkpoint as <checkpoint>-failures; there is no table if none failed.  A table belongs to one checkpoint,
+    since a batch that is run again replaces its rows.
+
+    Ids that repeat in a batch, or are stored already, are skipped; a batch that is run again after a failure therefore
     stores nothing twice.  State lives in `checkpoint`, so a later call goes on where this one ended.
     """
-    progress = Progress()
+    progress = Progress(failures=failures or f"{checkpoint.rstrip('/')}-failures")
 
     def one(batch: DataFrame, number: int) -> None:
         rows = parse(batch).persist()
@@ -78,6 +90,9 @@ def ingest(
                 new = new.join(done.select(key), key, "left_anti")
             new = new.persist()
             n_all, n_good, n_new = rows.count(), good.count(), new.count()
+            bad = rows.where("error is not null")
+            if n_good < n_all:  # Parquet has no columns of nulls only
+                append_batch(bad.select(*[c for c, kind in bad.dtypes if kind != "void"]), progress.failures, str(number))
             if n_new:
                 sink(new, number)
             new.unpersist()
@@ -86,7 +101,7 @@ def ingest(
             progress.failed += n_all - n_good
             progress.skipped += n_good - n_new
             progress.stored += n_new
-            progress.problems += [r["error"] for r in rows.where("error is not null").select("error").limit(20).collect()]
+            progress.problems += [r["error"] for r in bad.select("error").limit(EXAMPLES).collect()]
         finally:
             rows.unpersist()
         if report:

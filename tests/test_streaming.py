@@ -38,6 +38,28 @@ def test_files_in_micro_batches_with_failures_and_resume(spark, tmp_path):
     assert second.row(spark).first().successful
 
 
+def test_every_failed_row_is_kept(spark, tmp_path):
+    src, stored = tmp_path / "in", []
+    src.mkdir()
+    for i in range(25):
+        (src / f"bad{i}.xml").write_text("<article>")
+    (src / "good.xml").write_text(XML.format(1))
+
+    def parse(files):
+        return jats.parse_files(files).select(F.col("pmid").alias("id"), "source_file", "error", F.lit(None).alias("nothing"))
+
+    def run():
+        return S.ingest(S.stream_files(spark, str(src)), parse, lambda rows, n: stored.append(rows.count()), str(tmp_path / "state"))
+
+    p = run()
+    assert (p.seen, p.failed, p.stored, len(p.problems)) == (26, 25, 1, 20) and stored == [1]
+    (src / "late.xml").write_text("<article>")
+    q = run()
+    assert q.failed == 1 and q.failures == p.failures == str(tmp_path / "state-failures")
+    rows = spark.read.parquet(p.failures).collect()
+    assert sorted(r.source_file for r in rows) == sorted([*(f"bad{i}.xml" for i in range(25)), "late.xml"]) and all(r.error for r in rows)
+
+
 def test_windows_and_watermark_dedupe(spark, tmp_path):
     rows = [(i % 6, f"2024-01-01 00:{m:02d}:00", "k") for i, m in enumerate(range(0, 60, 5))]
     d = str(tmp_path / "in")
