@@ -96,5 +96,11 @@ def p9_sources(spark: SparkSession, folder: str) -> DataFrame:
     return truncation.truncation_by_source(*truncation.find_truncated(_table(spark, folder, "documents")))
 
 
+def p9_reasons(spark: SparkSession, folder: str) -> DataFrame:
+    """(source, reason, n): cuts at a significant length, with a mark, or broken off anywhere."""
+    found, _, _ = truncation.find_truncated(_table(spark, folder, "documents"))
+    return found.groupBy("source", "reason").agg(F.count("*").alias("n"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p4_found, p4_groups, p5_found, p5_pieces, p6_found, p7_pack, p7_fill, p8_found, p8_items, p9_found, p9_sources)}
+    return {f.__name__: f for f in (p4_found, p4_groups, p5_found, p5_pieces, p6_found, p7_pack, p7_fill, p8_found, p8_items, p9_found, p9_sources, p9_reasons)}

@@ -7,16 +7,19 @@ tail bound, and a Benjamini-Hochberg threshold over all sources and lengths pick
 round leaves the lengths found in the first out of the neighbours, so limits that lie close together don't hide each
 other.
 
-Endings.  Each text ends in one of four ways:
-  mark        a sign left by a cut ("[...]", "(continued)", an ellipsis that is no set phrase, a replacement character);
-  incomplete  inside a word, sentence or piece of markup: no end of any kind, an open tag or entity, an abbreviation or
-              a broken number where a sentence would have to go on, brackets or quotes inside a sentence;
-  unusual     a complete ending of its kind if nothing speaks against it: a list item, table row, key and value,
-              reference number or address at the end of the last line, also with brackets behind it; brackets behind an
-              abbreviation; a closing bracket or quote that was opened nowhere;
-  complete    a sentence end, closing tag, emoji or a closing phrase, also with brackets or quotes behind it.
-Marks and incomplete endings are cuts at any length, since broken transfers stop anywhere; an unusual ending is a cut
-exactly at a significant length of its source.  A cut at the very end of a sentence leaves no trace and is no case.
+Endings.  Every ending has a class: `sentence` (a sentence end, also with brackets, quotes or tags behind it), `mark`
+(a sign left by a cut), `markup` (an open tag or entity), or a shape that neither closes nor marks anything (a plain word, a bracket inside a sentence,
+a bullet line, a table row, a key with its value, an address, a symbol, ...).  Which of the shapes are complete is
+not listed but learned from the corpus.  Each text is also cut once at a place that depends on its hash; the classes
+of these reference cuts show how a text ends that breaks off anywhere.  Of the texts that end at no significant
+length, a source's share of a class is compared with what accidents would give, `accidents` times the share among the
+reference cuts: a class that is more frequent is a habit of the source, any other a broken transfer.  Closing words
+(the last two of a text) that recur at many lengths over the corpus are learned in the same way.
+
+Decision.  At a significant length the excess deaths, spread over the classes as the reference cuts are, stand
+against the expected deaths, spread as the source's other endings: a text is cut there if the first are more.  At any
+other length it is cut if its class is no habit.  Marks and open markup are cuts unless their words are a learned
+closing; a cut at the very end of a sentence leaves no trace and is no case.
 
 Defined results: null texts are not reported; empty and blank texts are complete; a null source is a source of its
 own; repeated rows are judged each for itself.
@@ -25,6 +28,7 @@ own; repeated rows are judged each for itself.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,34 +40,31 @@ from pyspark.sql import types as T
 from ..session import cut_lineage
 
 OFFSET = 150
-TAIL = 400  # characters at the end that decide how a text ends; lengths are those of the whole text
+ACCIDENTS = 0.05  # share of the texts of a source that break off anywhere, at most
+HABIT_P = 0.01
+CLOSING_LENGTHS = 5  # different lengths at which closing words must recur
 
 # Marks that readers and feeds put behind a cut.
-MARK = re.compile(r"(?:\[\s*(?:\.{3}|…)\s*\]|\(\s*(?:\.{3}|…)\s*\)|>>|»|\[(?:read more|more|continued|truncated|cut)\]|\((?:continued|more|truncated|cont\.?|cont'd)\)|�+)$", re.I)
+MARK = re.compile(r"(?:\[\s*(?:\.{3}|…)\s*\]|\(\s*(?:\.{3}|…)\s*\)|>>|»|\[(?:read more|more|continued|truncated|cut)\]|\((?:continued|more|truncated|cont\.?|cont'd)\)|\ufffd+)$", re.I)
 ELLIPSIS = re.compile(r"(?:…|\.{3,})$")
-# Closing phrases without a sentence end, among them the ones that end in an ellipsis.
-CLOSINGS = (
-    "et cetera…", "et cetera...", "and so on…", "and so on...", "and so forth…", "etc…", "etc...", "so we wait and see...", "so we wait and see…",
-    "thanks in advance", "many thanks", "thank you", "thanks", "hope this helps", "sorry for the long post", "any ideas", "take care", "best wishes", "xx", "xxx",
-)
 # Abbreviations that are followed by more.
 ABBREVIATION = re.compile(r"(?:^|[\s(\[])(?:e\.g|i\.e|approx|vs|fig|figs|no|nos|cf|ca|resp|et al|incl|viz|dr|mr|mrs|prof|st|p|pp|vol|ed|eds|z\.B|bzw|p\.ej)\.$", re.I)
 NUMBER_OPEN = re.compile(r"(?:\([^()]*\b\d+\.|(?:=|<|>|\bat|\bCI|±|≤|≥)\s*\d+\.|\(\s*[A-Za-z]{1,2}\.)$")
 OPEN_MARKUP = re.compile(r"(?:<[/!]?[A-Za-z][^<>\n]{0,200}|</?)$|&#?[A-Za-z0-9]{0,8}$")
 SENTENCE_END = re.compile(r"[.!?。！？؟][\"'”’»)\]}*_]*$")
-CLOSED = re.compile(r"(?:</[A-Za-z][\w:-]*\s*>|<[A-Za-z][^<>]*/>|<br>)$", re.I)
+TAG = re.compile(r"<(?:/[A-Za-z][\w:-]*\s*|[A-Za-z][^<>]*/|br)>$", re.I)
+IN_TAG = re.compile(r"<[^<>]*>")
 OPENERS = {")": "(", "]": "[", "}": "{", '"': '"', "”": "“„”", "»": "«", "’": "‘"}
-LAST_LINE = re.compile(r"[^\n]*$")
-STRUCTURED = re.compile(
-    r"^\s*(?:[-*•–+]|\d{1,3}[.)])\s+\S[^.!?]*$"  # list item
-    r"|\t\s*\S+$"  # table row
-    r"|(?:^|[.!?>)\]]\s+)[A-Z][\w ]{1,30}:\s*\S[^.!?]*$"  # key and value
-    r"|(?:^|\s)(?:https?://|www\.)\S+$"  # address
-    r"|\b(?:no|nr|number|id)\.?\s*[A-Z]{0,6}[-/]?\d[\w/-]*$"  # reference number
+LINE_SHAPES = (
+    ("row", re.compile(r"\t[^\t]*$")),
+    ("bullet", re.compile(r"^\s*(?:\W|\d{1,3}[.)])\s+\S[^.!?]*$")),
+    ("address", re.compile(r"(?:^|\s)(?:\w+://|www\.)\S+$")),
+    ("code", re.compile(r"(?:^|\s)(?=\S*\d)(?=\S*[^\W\d])[\w/-]+$")),
+    ("number", re.compile(r"\d$")),
+    ("key", re.compile(r"(?:^|[.!?>)\]]\s+)[^\W\d_][\w ]{1,30}:\s*\S[^.!?:]*$")),
 )
-EMOJI = re.compile("[☀-➿\U0001f300-\U0001faff❤]\ufe0f?$|(?:[:;]-?[)(DP])$")
-
-COMPLETE, UNUSUAL, INCOMPLETE, CUT_MARK = "complete", "unusual", "incomplete", "mark"
+SPACES = 256  # characters before the end that hold the last two words of ordinary texts
+SENTENCE, CUT_MARK, MARKUP, WORD = "sentence", "mark", "markup", "word"
 
 
 def _opening(text: str) -> int:
@@ -79,57 +80,79 @@ def _opening(text: str) -> int:
     return -1
 
 
-def _closing(tail: str, closings: tuple[str, ...]) -> bool:
-    low = tail.lower()
-    return any(low.endswith(c) and (len(low) == len(c) or not low[-len(c) - 1].isalnum()) for c in closings)
-
-
-def _bracketed(text: str, closings: tuple[str, ...]) -> str:
-    """How a text ends whose last character closes a bracket or quote: by what stands before all brackets at its end."""
-    rest = text
-    while rest and rest[-1] in OPENERS:
-        at = _opening(rest)
-        if at < 0:
-            return UNUSUAL
-        rest = rest[:at].rstrip()
-        tail = rest[-TAIL:]
-        if not tail or _closing(tail, closings) or EMOJI.search(tail) or CLOSED.search(tail) or ELLIPSIS.search(tail):
-            return COMPLETE
-        if SENTENCE_END.search(tail):
-            return UNUSUAL if ABBREVIATION.search(tail) else COMPLETE
-    return UNUSUAL if any(STRUCTURED.search(LAST_LINE.search(x[-TAIL:]).group()) for x in (text, rest)) else INCOMPLETE
-
-
-def ending(text: str, closings: tuple[str, ...] = CLOSINGS) -> str:
-    """How a text ends."""
-    tail = text[-TAIL:].rstrip()
-    if not tail:
-        return COMPLETE
-    if _closing(tail, closings):
-        return COMPLETE
-    if MARK.search(tail) or ELLIPSIS.search(tail):
-        return CUT_MARK
-    if ABBREVIATION.search(tail) or NUMBER_OPEN.search(tail):
-        return INCOMPLETE
-    if SENTENCE_END.search(tail) or EMOJI.search(tail):
-        return COMPLETE
-    if OPEN_MARKUP.search(tail):
-        return INCOMPLETE
-    if CLOSED.search(tail):
-        return COMPLETE
-    if tail[-1] in OPENERS:
-        return _bracketed(text.rstrip(), closings)
-    return UNUSUAL if STRUCTURED.search(LAST_LINE.search(tail).group()) else INCOMPLETE
+def _shape(text: str) -> str:
+    """Shape of a text that ends neither a sentence nor in a mark, bracket or tag."""
+    line = text[text.rfind("\n") + 1 :]
+    for name, pattern in LINE_SHAPES:
+        if pattern.search(line):
+            return name
+    return WORD if text[-1].isalnum() or text[-1] in ",-" else "symbol"
+
+
+def ending(text: str) -> str:
+    """The class of a text's ending."""
+    text = text.rstrip()
+    behind = ""
+    while True:
+        if not text:
+            return SENTENCE
+        near = text[-SPACES:]
+        if not behind and (MARK.search(near) or ELLIPSIS.search(near)):
+            return CUT_MARK
+        if ABBREVIATION.search(near):
+            return f"short {behind}".strip()
+        if not behind and NUMBER_OPEN.search(near):
+            return "open number"
+        if ELLIPSIS.search(near) or SENTENCE_END.search(near):
+            return SENTENCE
+        if TAG.search(near):
+            behind, text = "tag", text[: TAG.search(text, max(0, len(text) - SPACES)).start()].rstrip()
+        elif OPEN_MARKUP.search(near):
+            return MARKUP
+        elif text[-1] in OPENERS:
+            at = _opening(text)
+            if at < 0:
+                return "unopened"
+            behind, text = behind or "bracket", text[:at].rstrip()
+        else:
+            return f"{behind} {_shape(text)}".strip()
+
+
+def closing(text: str) -> int | None:
+    """Hash of the words after the last sentence end if they are at most five, else of the last two; null without words.
+
+    Tags count as blanks.
+    """
+    words = IN_TAG.sub(" ", text[-SPACES:].lower()).split()[-6:]
+    last = next((i for i in range(len(words) - 2, -1, -1) if SENTENCE_END.search(words[i])), None)
+    words = words[-2:] if last is None else words[last + 1 :]
+    return zlib.crc32(" ".join(words).encode("utf-8", "surrogatepass")) if words else None
+
+
+def _reference_cut(text: str) -> str:
+    """The text up to a place that depends on its hash."""
+    return text[: 1 + zlib.crc32(text.encode("utf-8", "surrogatepass")) % len(text)]
+
+
+def _to_word_end(text: str, at: int) -> str:
+    end = at
+    while end < len(text) and not text[end].isspace():
+        end += 1
+    return text[:end]
 
 
 _MEASURES = ("chars", "bytes", "words")
 _SEEN = T.StructType(
-    [T.StructField("doc_id", T.LongType()), T.StructField("source", T.StringType()), *[T.StructField(m, T.IntegerType()) for m in _MEASURES], T.StructField("ending", T.StringType())]
+    [T.StructField("doc_id", T.LongType()), T.StructField("source", T.StringType()), *[T.StructField(m, T.IntegerType()) for m in _MEASURES]]
+    + [T.StructField("ending", T.StringType()), T.StructField("closing", T.LongType()), T.StructField("ref_ending", T.StringType()), T.StructField("ref_closing", T.LongType())]
 )
 
 
-def endings(df: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", closings: tuple[str, ...] = CLOSINGS) -> DataFrame:
-    """(doc_id, source, chars, bytes, words, ending) of every text that is not null."""
+def endings(df: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
+    """(doc_id, source, chars, bytes, words, ending, closing, ref_ending, ref_closing) of every text that is not null.
+
+    closing is null where the text ends a sentence; the ref_ columns are those of its reference cut.
+    """
     slim = df.select(F.col(key).cast("bigint").alias("k"), F.col(source).cast("string").alias("s"), F.col(text).cast("string").alias("t")).where("t is not null")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,9 +162,17 @@ def endings(df: DataFrame, key: str = "doc_id", source: str = "source", text: st
             chars = np.fromiter(map(len, texts), np.int32, n)
             octets = np.fromiter((len(t) if t.isascii() else len(t.encode()) for t in texts), np.int32, n)
             words = np.fromiter((len(t.split()) for t in texts), np.int32, n)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(chars), pa.array(octets), pa.array(words), pa.array([ending(t, closings) for t in texts], pa.string())], names=_SEEN.names
-            )
+            end, close, ref_end, ref_close = [], [], [], []
+            for t in texts:
+                how = ending(t)
+                end.append(how)
+                close.append(None if how == SENTENCE else closing(t))
+                cut = _reference_cut(t) if t else ""
+                how = ending(cut)
+                ref_end.append(how)
+                ref_close.append(None if how == SENTENCE else closing(_to_word_end(t, len(cut))))
+            columns = [pa.array(chars), pa.array(octets), pa.array(words), pa.array(end, pa.string()), pa.array(close, pa.int64()), pa.array(ref_end, pa.string()), pa.array(ref_close, pa.int64())]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *columns], names=_SEEN.names)
 
     return slim.mapInArrow(run, _SEEN)
 
@@ -189,7 +220,7 @@ def length_hazards(seen: DataFrame, q: float = 0.001, reach: float = 0.06, least
     text = ["doc_id", "source", *_MEASURES, "ending"]
     hits = _lengths(seen).join(best, F.col("source").eqNullSafe(F.col("s")) & (F.col("measure") == F.col("m")) & (F.col("n") == F.col("at")))
     first = hits.groupBy(*text).agg(F.min_by(F.struct("measure", "n"), F.struct(F.col("log_p"), F.col("measure") == "words", F.col("measure") == "bytes")).alias("l"))
-    cut = F.count(F.when(F.col("ending").isin(CUT_MARK, INCOMPLETE), 1))
+    cut = F.count(F.when(F.col("ending") != SENTENCE, 1))
     own = first.groupBy(F.col("source").alias("s"), F.col("l.measure").alias("m"), F.col("l.n").alias("at")).agg(F.count("*").alias("own"), cut.alias("own_cut"))
     j = table.join(own, F.col("source").eqNullSafe(F.col("s")) & (F.col("measure") == F.col("m")) & (F.col("n") == F.col("at")), "left")
     n = F.coalesce("own", F.lit(0))
@@ -215,16 +246,62 @@ def _discoveries(table: DataFrame, q: float) -> DataFrame:
     return table.withColumn("limit", F.lit(limit)).withColumn("significant", _cell(F.col("log_p")) <= limit)
 
 
-def find_truncated(df: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", q: float = 0.001) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(found, seen, hazards): found has (doc_id, source, ending, at_limit) of the cut texts."""
+def with_limits(seen: DataFrame, hazards: DataFrame) -> DataFrame:
+    """`seen` with the excess and the expected deaths of the sharpest significant length a text ends at, null elsewhere."""
+    lim = hazards.where("significant").select(F.col("source").alias("s"), F.col("measure").alias("m"), F.col("n").alias("at"), "deaths", "expected")
+    by = []
+    for m in _MEASURES:
+        one = lim.where(F.col("m") == m).select("s", "at", F.struct(F.greatest(F.col("deaths") - F.col("expected"), F.lit(0.0)).alias("excess"), "expected").alias(f"by_{m}"))
+        by.append(f"by_{m}")
+        seen = seen.join(one, F.col("source").eqNullSafe(F.col("s")) & (F.col(m) == F.col("at")), "left").drop("s", "at")
+    return seen.withColumn("limit", F.greatest(*by)).drop(*by)
+
+
+def ending_habits(judged: DataFrame, closings: DataFrame, accidents: float = ACCIDENTS) -> DataFrame:
+    """(s, c, own, ref, habit) per source and class: shares among its free endings and its reference cuts.
+
+    A class is a habit if the free endings with it, learned closings left out, are too many for accidents.
+    """
+    ends = judged.where("limit is null").join(closings, "closing", "left_anti").select("source", F.col("ending").alias("c"), F.lit(1).alias("own"), F.lit(0).alias("ref"))
+    refs = judged.select("source", F.col("ref_ending").alias("c"), F.lit(0).alias("own"), F.lit(1).alias("ref"))
+    n = ends.unionByName(refs).groupBy("source", "c").agg(F.sum("own").alias("own"), F.sum("ref").alias("ref"))
+    every = Window.partitionBy("source")  # one row per source and class
+    n = n.withColumn("n_own", F.sum("own").over(every)).withColumn("n_ref", F.sum("ref").over(every))
+    ref = (F.col("ref") + 0.5) / (F.col("n_ref") + 1.0)
+    mean = F.lit(accidents) * ref * F.col("n_own")
+    habit = (F.col("own") > 0) & (_bound(F.col("own").cast("double"), mean) <= F.log10(F.lit(HABIT_P)))
+    return n.select(F.col("source").alias("s"), "c", ((F.col("own") + 0.5) / (F.col("n_own") + 1.0)).alias("own"), ref.alias("ref"), habit.alias("habit"))
+
+
+def learned_closings(judged: DataFrame, accidents: float = ACCIDENTS, least: int = CLOSING_LENGTHS) -> DataFrame:
+    """(closing): words that end texts at many lengths, and more often than accidents would."""
+    free = judged.where("limit is null and closing is not null")
+    ends = free.groupBy("closing", "chars").agg(F.count("*").alias("n")).groupBy("closing").agg(F.count("*").alias("lengths")).where(F.col("lengths") >= least)
+    refs = judged.where("ref_closing is not null").groupBy(F.col("ref_closing").alias("closing")).agg(F.count("*").alias("refs"))
+    j = ends.join(refs, "closing", "left")
+    mean = F.lit(accidents) * (F.coalesce("refs", F.lit(0)) + 0.5)
+    return j.where(_bound(F.col("lengths").cast("double"), mean) <= F.log10(F.lit(HABIT_P))).select("closing")
+
+
+def find_truncated(
+    df: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", q: float = 0.001, accidents: float = ACCIDENTS
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(found, seen, hazards): found has (doc_id, source, ending, reason) of the cut texts.
+
+    reason: limit (at a significant length), mark, or broken (anywhere else).
+    """
     seen = cut_lineage(endings(df, key, source, text))
     hazards = length_hazards(seen, q)
-    limits = hazards.where("significant").select("source", "measure", "n")
-    sure = seen.where(F.col("ending").isin(CUT_MARK, INCOMPLETE))
-    maybe = _lengths(seen.where(F.col("ending") == UNUSUAL))
-    lim = limits.select(F.col("source").alias("s"), F.col("measure").alias("m"), F.col("n").alias("at"))
-    at_limit = maybe.join(lim, F.col("source").eqNullSafe(F.col("s")) & (F.col("measure") == F.col("m")) & (F.col("n") == F.col("at")), "left_semi")
-    found = sure.select("doc_id", "source", "ending").unionByName(at_limit.select("doc_id", "source", "ending").distinct())
+    judged = cut_lineage(with_limits(seen, hazards))
+    closings = learned_closings(judged, accidents)
+    habits = ending_habits(judged, closings, accidents)
+    open_ = judged.where(F.col("ending") != SENTENCE).join(closings, "closing", "left_anti")
+    j = open_.join(habits, F.col("source").eqNullSafe(F.col("s")) & (F.col("ending") == F.col("c")), "left")
+    cut_here = F.col("limit.excess") * F.col("ref") > F.col("limit.expected") * F.col("own")
+    always = F.col("ending").isin(CUT_MARK, MARKUP)
+    reason = F.when(F.col("limit").isNotNull() & (always | cut_here), "limit").when(F.col("ending") == CUT_MARK, CUT_MARK)
+    reason = reason.when(F.col("limit").isNull() & (always | ~F.coalesce("habit", F.lit(False))), "broken")
+    found = j.select("doc_id", "source", "ending", reason.alias("reason")).where("reason is not null")
     return found, seen, hazards
 
 

@@ -158,27 +158,58 @@ def test_leak_edges(spark, block):
 @pytest.mark.parametrize(
     ("text", "how"),
     [
-        ("It ends here.", "complete"), ("It ends here", "incomplete"), ("It en", "incomplete"), ("It ends here. […]", "mark"), ("It ends he… ", "mark"), ("It goes on [read more]", "mark"), ("half a char �", "mark"),
-        ("Long. et cetera…", "complete"), ("Pain. so we wait and see...", "complete"), ("Bad. hope this helps", "complete"), ("Bad. any ideas 🙂", "complete"), ("<p>Yes.</p>", "complete"), ("<p>Yes, <b", "incomplete"),
-        ("<p>Fine.</p!!", "complete"), ("See <a href=\"x\"", "incomplete"), ("Fish &am", "incomplete"), ("Seen before. [12, 40]", "complete"), ("Seen (p = 0.", "incomplete"), ("Seen (see approx.", "incomplete"), ("Given e.g.", "incomplete"), ("and I am 34.", "complete"),
-        ("Yes.\n- item one", "unusual"), ("Yes.\nTable 1\nx\t12", "unusual"), ("Yes. Keywords: a; b", "unusual"), ("Yes. Registration no. TR-12345", "unusual"), ("See. https://x.example/y", "unusual"), ("", "complete"), ("  ", "complete"),
-        ('He said "yes."', "complete"), ("ends with a comma,", "incomplete"), ("Who?", "complete"),
+        ("It ends here.", "sentence"), ("It ends here", "word"), ("It en", "word"), ("It ends here. […]", "mark"), ("It ends he… ", "mark"), ("It goes on [read more]", "mark"), ("half a char \ufffd", "mark"),
+        ("<p>Yes.</p>", "sentence"), ("<p>Yes, <b", "markup"), ("<p>Fine</p>", "tag word"), ("See <a href=\"x\"", "markup"), ("Fish &am", "markup"), ("Seen before. [12, 40]", "sentence"), ("Seen (p = 0.", "open number"), ("Seen (see approx.", "short"),
+        ("Given e.g.", "short"), ("and I am 34.", "sentence"), ("Yes.\n- item one", "bullet"), ("Yes.\nTable 1\nx\t12", "row"), ("Yes. Keywords: a; b", "key"), ("Yes. Registration no. TR-12345", "code"), ("See. https://x.example/y", "address"), ("", "sentence"), ("  ", "sentence"),
+        ('He said "yes."', "sentence"), ("ends with a comma,", "word"), ("Who?", "sentence"), ("Yes.\n- item " + "word " * 500, "bullet"), ("in 12", "number"), ("any ideas 🙂", "symbol"),
+        ("Seen in one guideline (71.2%)", "bracket word"), ("Yes. Any joint (n = 258) [3]", "bracket word"), ('They call it "alpha"', "bracket word"), ("Seen vs. (n = 3)", "short bracket"), ("Seen before. (alpha, beta)", "sentence"),
+        ("Seen before. [3] (alpha [4])", "sentence"), ("<p>Yes.</p> [3]", "sentence"), ("Higher at 37. [3, 55]", "sentence"), ("(alpha)", "sentence"), ("Seen. (" + "long " * 200 + "note)", "sentence"), ("Yes.\n- item (fig. 2)", "bracket bullet"), ("Not bad =)", "unopened"),
     ],
 )
 def test_endings(text, how):
     assert truncation.ending(text) == how
 
 
-@pytest.mark.parametrize(
-    ("text", "how"),
-    [
-        ("Seen in one guideline (71.2%)", "incomplete"), ("Yes. Any joint (n = 258) [3]", "incomplete"), ('They call it "alpha"', "incomplete"), ("Seen vs. (n = 3)", "unusual"), ("Given {a: 1}", "incomplete"),
-        ("Seen before. (alpha, beta)", "complete"), ("Seen before. [3] (alpha [4])", "complete"), ("<p>Yes.</p> [3]", "complete"), ("Higher at 37. [3, 55]", "complete"), ("Yes. {No.}", "complete"), ("(alpha)", "complete"),
-        ("Seen. (" + "long " * 200 + "note)", "complete"), ("Yes.\n- item (fig. 2)", "unusual"), ("Yes.\nx\t12 (7.8%)", "unusual"), ("Not bad =)", "unusual"),
-    ],
-)
-def test_endings_in_brackets_and_quotes(text, how):
-    assert truncation.ending(text) == how
+def test_closing_words_are_those_after_the_last_sentence_end():
+    same = [("Bad pain. Hope this helps", "Other. hope this helps"), ("Weh. Mit freundlichen Grüßen", "<p>Lang.</p> mit freundlichen grüßen "), ("<p>a.</p> xx", "No? xx")]
+    assert all(truncation.closing(a) == truncation.closing(b) is not None for a, b in same)
+    assert truncation.closing("a b c d e f g h") == truncation.closing("z g h") and truncation.closing(" ") is None
+
+
+CLOSINGS = {"en": ["Hope this helps", "thanks in advance", "The end", "Regards, Tom", "cheers"], "de": ["Mit freundlichen Grüßen", "Vielen Dank im Voraus"], "es": ["Saludos", "Gracias"], "fr": ["Bien cordialement", "Merci d'avance"]}
+
+
+def test_closings_of_any_language_are_learned_and_single_breaks_are_not(spark):
+    rnd = random.Random(3)
+    words = ["".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(400)]
+    docs, closed, broken = [], set(), set()
+    for i in range(4000):
+        t = " ".join(" ".join(rnd.choice(words) for _ in range(rnd.randrange(4, 12))).capitalize() + rnd.choice(".?!") for _ in range(rnd.randrange(2, 12)))
+        if i % 10 == 0:
+            t += " " + rnd.choice(CLOSINGS[rnd.choice("en de es fr".split())])
+            closed.add(i)
+        elif i % 100 == 1:
+            t = t[: rnd.randrange(len(t) // 2, len(t) - 2)]
+            if t.rstrip()[-1] not in ".?!":
+                broken.add(i)
+        docs.append((i, "posts", t))
+    found, _, _ = truncation.find_truncated(spark.createDataFrame(docs, "doc_id long, source string, text string"))
+    got = {r.doc_id: r.reason for r in found.collect()}
+    assert set(got) == broken and set(got.values()) == {"broken"}
+
+
+def test_a_habit_of_the_source_is_no_accident_and_limits_decide(spark):
+    rnd = random.Random(5)
+    docs = []
+    for i in range(3000):
+        t = " ".join(f"w{rnd.randrange(900)}" for _ in range(rnd.randrange(30, 200)))
+        docs.append((i, "titles", t))  # never a full stop: complete as they are
+        t = ". ".join(" ".join(f"w{rnd.randrange(900)}" for _ in range(9)) for _ in range(rnd.randrange(3, 20))) + "."
+        docs.append((10_000 + i, "field", t[:400]))
+    found, _, hazards = truncation.find_truncated(spark.createDataFrame(docs, "doc_id long, source string, text string"))
+    got = {(r.source, r.reason, r.doc_id) for r in found.collect()}
+    want = {d for d, s, t in docs if s == "field" and len(t) == 400 and t.rstrip()[-1] != "."}
+    assert {d for _, _, d in got} == want and {r for _, r, _ in got} == {"limit"} and len(want) > 300
 
 
 def test_cuts_right_after_a_bracket(spark):
