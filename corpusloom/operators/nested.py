@@ -2,8 +2,8 @@
 
 Lists are flattened by their offsets: the child values of a whole batch are one array, the parent of each child is
 its list's row (list_parent_indices), and keys reach the children by a vectorised take.  No row is turned into
-Python objects for data that are nested columns.  A JSON string has no Arrow buffers before it is decoded; the
-decoder writes the child arrays (owner row, number, parent, depth) directly, and the same kernels make rows of them.
+Python objects.  A record that is a JSON string is read the same way: `json_arrays` makes offsets and parent indices of
+the bytes of a whole block, and the same kernels make rows of them; records of any depth and size are read whole.
 
 Defined results: null or empty lists give no rows; a null entry of a list of sections keeps its place and counts as a
 section without a path, a null entry of a JSON list is no section; a null or empty path has no parent and is none; null
@@ -13,7 +13,6 @@ named are ignored.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .json_arrays import ARRAY, OBJECT, STRING, Documents, blocks, spliced
+
 _US = "\x1f"
 
 
@@ -130,87 +131,120 @@ def sections_by_path(df: DataFrame, key: str = "source_file", sections: str = "b
     return slim.mapInArrow(run, _SECTIONS)
 
 
-def _reject(token: str):
-    raise ValueError(token)
-
-
-def _secs_of(node: dict) -> list:
-    """Entries of a node's `secs`: one object, an array, or either encoded as a JSON string."""
-    secs = node.get("secs")
-    if isinstance(secs, str):
-        try:
-            secs = json.loads(secs, parse_constant=_reject)
-        except (ValueError, RecursionError):
-            return []
-    if isinstance(secs, dict):
-        return [secs]
-    return secs if isinstance(secs, list) else []
-
-
-def decode_record(record: str | None) -> dict | None:
-    """The record as an object; null where it is not valid JSON or no object."""
-    if not record:
-        return None
-    try:
-        value = json.loads(record, parse_constant=_reject)
-    except (ValueError, RecursionError):
-        return None
-    return value if isinstance(value, dict) else None
-
-
-def walk_sections(record: dict) -> Iterator[tuple[int, int, int, dict]]:
-    """(number, parent number, depth, section) in document order, a section before its children."""
-    article = record.get("article")
-    body = article.get("body") if isinstance(article, dict) else None
-    if not isinstance(body, dict):
-        return
-    number, stack = 0, [(0, 0, x) for x in reversed(_secs_of(body))]
-    while stack:
-        parent, depth, node = stack.pop()
-        if not isinstance(node, dict):
-            continue
-        number += 1
-        yield number, parent, depth + 1, node
-        stack.extend((number, depth + 1, x) for x in reversed(_secs_of(node)))
+def _read(texts: list[bytes]) -> tuple[Documents, np.ndarray, np.ndarray, np.ndarray]:
+    """(documents, section tokens, the objects that hold them, tokens of `secs` that are still strings)."""
+    d = Documents(texts)
+    body = d.get(d.get(d.roots, "article"), "body")
+    body = body[body >= 0]
+    holder, secs = d.members("secs")
+    sections, up = _section_tokens(d, body, holder, secs)
+    strings = d.kind[secs] == STRING
+    return d, sections, up, secs[strings][np.isin(holder[strings], np.r_[body, sections])]
 
 
-def sections_of_records(df: DataFrame, key: str = "source_file", record: str = "record") -> DataFrame:
-    """(source_file, section_no, parent_no) of JSON records; a record that is not valid JSON yields nothing."""
-    slim = df.select(F.col(key).cast("string").alias("k"), F.col(record).cast("string").alias("r"))
+def _decoded(texts: list[bytes]) -> tuple[Documents, np.ndarray, np.ndarray, np.ndarray]:
+    """(documents, section tokens, number, parent number) of a block of records.
+
+    A `secs` that is a JSON string is replaced by the text it holds, if that is an object or an array, and such records
+    are read again, until none is left; each round takes one level of encoding off.
+    """
+    d, sections, up, coded = _read(texts)
+    if len(coded):
+        texts, todo, part, left = list(texts), np.arange(len(texts)), d, coded
+        while len(left):
+            changed = np.unique(part.doc[left])
+            new = _unwrapped([texts[i] for i in todo[changed].tolist()], changed, part, left)
+            todo = todo[changed]
+            for i, t in zip(todo.tolist(), new):
+                texts[i] = t
+            part, _, _, left = _read(new)
+        d, sections, up, _ = _read(texts)
+    order = np.argsort(sections, kind="stable")
+    sections, up = sections[order], up[order]
+    number = _numbers(d.doc[sections])
+    at = np.minimum(np.searchsorted(sections, up), max(len(sections) - 1, 0))
+    parent = np.where(sections[at] == up, number[at], 0).astype(np.int32) if len(sections) else np.zeros(0, np.int32)
+    return d, sections, number, parent
+
+
+def _unwrapped(texts: list[bytes], docs: np.ndarray, d: Documents, coded: np.ndarray) -> list[bytes]:
+    """The texts of those documents with their coded sections in plain."""
+    inner = [t.encode("utf-8", "surrogatepass") for t in d.strings(coded)]
+    fit = Documents(inner)
+    ok = fit.roots >= 0
+    ok[ok] = np.isin(fit.kind[fit.roots[ok]], (OBJECT, ARRAY))
+    at = np.searchsorted(docs, d.doc[coded])
+    begin, end = d.begin[coded] - 1 - d.first[d.doc[coded]], d.end[coded] + 1 - d.first[d.doc[coded]]
+    begins, ends, news = [[] for _ in texts], [[] for _ in texts], [[] for _ in texts]
+    for i, lo, hi, new, good in zip(at.tolist(), begin.tolist(), end.tolist(), inner, ok.tolist()):
+        begins[i].append(lo)
+        ends[i].append(hi)
+        news[i].append(new if good else b"null")
+    return spliced(texts, begins, ends, news)
+
+
+def _section_tokens(d: Documents, bodies: np.ndarray, holder: np.ndarray, secs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(section, the object whose `secs` holds it), for the sections under the bodies.
+
+    Every object in a `secs` points to its holder; pointers are doubled until they end at a body or nowhere.
+    """
+    row, entry = d.items(secs)
+    is_object = d.kind[entry] == OBJECT
+    child, up = entry[is_object], holder[row[is_object]]
+    reach = np.full(len(d.kind) + 1, len(d.kind), np.int64)
+    reach[bodies] = bodies
+    reach[child] = up
+    while True:
+        further = reach[reach]
+        if (further == reach).all():
+            break
+        reach = further
+    body = np.zeros(len(d.kind) + 1, bool)
+    body[bodies] = True
+    under = body[reach[child]]
+    return child[under], up[under]
+
+
+def _run_records(make):
+    """mapInArrow function over (key, record): `make` gives the columns of a block, the row of the key first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            owner, number, parent = [], [], []
-            for i, text in enumerate(b.column(1).to_pylist()):
-                rec = decode_record(text)
-                for no, up, _, _ in walk_sections(rec) if rec else ():
-                    owner.append(i)
-                    number.append(no)
-                    parent.append(up)
-            at = pa.array(owner, pa.int32())
-            yield pa.RecordBatch.from_arrays([b.column(0).take(at), pa.array(number, pa.int32()), pa.array(parent, pa.int32())], names=_SECTIONS.names)
+            texts = [t or b"" for t in b.column(1).cast(pa.binary()).to_pylist()]
+            for lo, hi in blocks(texts):
+                names, (owner, *columns) = make(texts[lo:hi])
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(owner + lo)), *columns], names=names)
 
-    return slim.mapInArrow(run, _SECTIONS)
+    return run
+
+
+def _records(df: DataFrame, key: str, record: str) -> DataFrame:
+    return df.select(F.col(key).cast("string").alias("k"), F.col(record).cast("string").alias("r"))
 
 
-def _text(x) -> str | None:
-    """Text of a value of uneven shape: a string, a number, a list of them, or an object with a text-like member."""
-    if x is None or isinstance(x, bool):
-        return None
-    if isinstance(x, (str, int, float)):
-        return str(x)
-    if isinstance(x, list):
-        got = [t for t in map(_text, x) if t]
-        return "\n".join(got) or None
-    if isinstance(x, dict):
-        for k in ("text", "value", "p", "title", "caption"):
-            if (t := _text(x.get(k))) is not None:
-                return t
-    return None
+def sections_of_records(df: DataFrame, key: str = "source_file", record: str = "record") -> DataFrame:
+    """(source_file, section_no, parent_no) of JSON records; a record that is not valid JSON yields nothing."""
+
+    def make(texts: list[bytes]):
+        d, sections, number, parent = _decoded(texts)
+        return _SECTIONS.names, (d.doc[sections], pa.array(number, pa.int32()), pa.array(parent, pa.int32()))
+
+    return _records(df, key, record).mapInArrow(_run_records(make), _SECTIONS)
+
 
+_FAILED = T.StructType([T.StructField("source_file", T.StringType()), T.StructField("reason", T.StringType())])
 
-def _items(x) -> list:
-    return [] if x is None else x if isinstance(x, list) else [x]
+
+def failed_records(df: DataFrame, key: str = "source_file", record: str = "record") -> DataFrame:
+    """(source_file, reason) of the records that yield nothing: missing, invalid (not JSON) or no object."""
+
+    def make(texts: list[bytes]):
+        d = Documents(texts)
+        none = np.flatnonzero((d.roots < 0) | (d.kind[d.roots] != OBJECT)) if len(d.kind) else np.arange(len(texts))
+        reasons = ["missing" if not texts[i].strip() else "invalid" if d.roots[i] < 0 else "no object" for i in none]
+        return _FAILED.names, (none, pa.array(reasons, pa.string()))
+
+    return _records(df, key, record).mapInArrow(_run_records(make), _FAILED)
 
 
 _PARTS = T.StructType(
@@ -222,35 +256,87 @@ _PARTS = T.StructType(
         T.StructField("text", T.StringType()),
     ]
 )
+PART_KINDS = ("title", "label", "p", "figs", "note")
 
 
 def parts_of_records(df: DataFrame, key: str = "source_file", record: str = "record") -> DataFrame:
-    """(source_file, section_no, part_no, kind, text): title, label, paragraphs, figures and notes of each section."""
-    slim = df.select(F.col(key).cast("string").alias("k"), F.col(record).cast("string").alias("r"))
+    """(source_file, section_no, part_no, kind, text): title, label, paragraphs, figures and notes of each section.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            owner, number, part, kind, text = [], [], [], [], []
-            for i, raw in enumerate(b.column(1).to_pylist()):
-                rec = decode_record(raw)
-                for no, _, _, node in walk_sections(rec) if rec else ():
-                    n = 0
-                    for name in ("title", "label", "p", "figs", "note"):
-                        for x in _items(node.get(name)):
-                            if (t := _text(x)) is None:
-                                continue
-                            n += 1
-                            owner.append(i)
-                            number.append(no)
-                            part.append(n)
-                            kind.append(name)
-                            text.append(t)
-            at = pa.array(owner, pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(at), pa.array(number, pa.int32()), pa.array(part, pa.int32()), pa.array(kind, pa.string()), pa.array(text, pa.string())], names=_PARTS.names
-            )
-
-    return slim.mapInArrow(run, _PARTS)
+    A value may be a string, a number, a list of them or an object with a text-like member; values without a text
+    are no parts.
+    """
+
+    def make(texts: list[bytes]):
+        d, sections, number, _ = _decoded(texts)
+        at, kind, token = [], [], []
+        for k, name in enumerate(PART_KINDS):
+            row, entry = d.items(d.get(sections, name))
+            at.append(row)
+            kind.append(np.full(len(row), k))
+            token.append(entry)
+        at, kind, token = map(np.concatenate, (at, kind, token))
+        order = np.lexsort((token, kind, at))
+        at, kind, token = at[order], kind[order], token[order]
+        text = d.texts(token)
+        have = np.array([t is not None for t in text], bool)
+        at, kind = at[have], kind[have]
+        return _PARTS.names, (
+            d.doc[sections[at]], pa.array(number[at], pa.int32()), pa.array(_numbers(at), pa.int32()), pa.array(PART_KINDS).take(pa.array(kind)), pa.array([t for t in text if t is not None], pa.string())
+        )
+
+    return _records(df, key, record).mapInArrow(_run_records(make), _PARTS)
+
+
+_ARTICLES = T.StructType(
+    [T.StructField(c, T.StringType()) for c in ("source_file", "pmid", "pmcid", "doi", "title", "year", "authors", "license")]
+    + [T.StructField(c, T.IntegerType()) for c in ("n_refs", "n_sections")]
+)
+
+
+def articles_of_records(df: DataFrame, key: str = "source_file", record: str = "record") -> DataFrame:
+    """(source_file, pmid, pmcid, doi, title, year, authors, license, n_refs, n_sections) of JSON records that are objects.
+
+    Of several ids of a kind the last counts, of several dates the first with a year.
+    """
+
+    def make(texts: list[bytes]):
+        d, sections, _, _ = _decoded(texts)
+        docs = np.flatnonzero(d.roots >= 0)
+        docs = docs[d.kind[d.roots[docs]] == OBJECT]
+        n = len(docs)
+        article = d.get(d.roots[docs], "article")
+        front = d.get(article, "front")
+
+        def members(name: str) -> tuple[np.ndarray, np.ndarray]:
+            row, entry = d.items(d.get(front, name))
+            return row, entry
+
+        ids: list[dict[str, str | None]] = [{} for _ in range(n)]
+        row, entry = members("ids")
+        for i, k, v in zip(row.tolist(), d.texts(d.get(entry, "type")), d.texts(d.get(entry, "value"))):
+            if k is not None:
+                ids[i][k] = v
+        names: list[list[str]] = [[] for _ in range(n)]
+        row, entry = members("contribs")
+        is_object = d.kind[entry] == OBJECT
+        name = np.where(is_object, d.get(entry, "name"), entry)
+        last, given, whole = d.texts(d.get(name, "surname")), d.texts(d.get(name, "given")), d.texts(name)
+        for i, t, a, b, w in zip(row.tolist(), name.tolist(), last, given, whole):
+            if who := (" ".join(filter(None, (a, b))) if t >= 0 and d.kind[t] == OBJECT else w):
+                names[i].append(who)
+        years: list[str | None] = [None] * n
+        row, entry = members("dates")
+        for i, y in zip(row.tolist(), d.texts(d.get(entry, "year"))):
+            years[i] = years[i] or y or None
+        lic = d.get(front, "license")
+        inner = d.get(lic, "type")
+        lic = d.texts(np.where((lic >= 0) & (d.kind[lic] == OBJECT), inner, lic)) if n else []
+        refs = np.bincount(d.items(d.get(d.get(article, "back"), "refs"))[0], minlength=n)
+        count = np.bincount(d.doc[sections], minlength=len(texts))[docs]
+        columns = [[x.get("pmid") for x in ids], [x.get("pmc") or x.get("pmcid") for x in ids], [x.get("doi") for x in ids], d.texts(d.get(front, "title")), years, ["; ".join(x) or None for x in names], lic]
+        return _ARTICLES.names, (docs, *[pa.array(c, pa.string()) for c in columns], pa.array(refs, pa.int32()), pa.array(count, pa.int32()))
+
+    return _records(df, key, record).mapInArrow(_run_records(make), _ARTICLES)
 
 
 def parts_by_path(df: DataFrame, key: str = "source_file", sections: str = "body_sections") -> DataFrame:
@@ -265,45 +351,6 @@ def parts_by_path(df: DataFrame, key: str = "source_file", sections: str = "body
     )
 
 
-def articles_of_records(df: DataFrame, key: str = "source_file", record: str = "record") -> DataFrame:
-    """(source_file, pmid, pmcid, doi, title, year, authors, license, n_refs) of valid JSON records."""
-    out = T.StructType(
-        [T.StructField(c, T.StringType()) for c in ("source_file", "pmid", "pmcid", "doi", "title", "year", "authors", "license")] + [T.StructField("n_refs", T.IntegerType())]
-    )
-    slim = df.select(F.col(key).cast("string").alias("k"), F.col(record).cast("string").alias("r"))
-
-    def one(rec: dict) -> list:
-        art = rec.get("article")
-        art = art if isinstance(art, dict) else {}
-        front = art.get("front") if isinstance(art.get("front"), dict) else {}
-        ids = {str(x.get("type")): _text(x.get("value")) for x in _items(front.get("ids")) if isinstance(x, dict)}
-        names = []
-        for c in _items(front.get("contribs")):
-            n = c.get("name") if isinstance(c, dict) else c
-            t = " ".join(filter(None, (_text(n.get("surname")), _text(n.get("given"))))) if isinstance(n, dict) else _text(n)
-            if t:
-                names.append(t)
-        years = [y for d in _items(front.get("dates")) if isinstance(d, dict) and (y := _text(d.get("year")))]
-        lic = front.get("license")
-        lic = _text(lic.get("type")) if isinstance(lic, dict) else _text(lic)
-        back = art.get("back")
-        refs = len(_items(back.get("refs"))) if isinstance(back, dict) else 0
-        return [ids.get("pmid"), ids.get("pmc") or ids.get("pmcid"), ids.get("doi"), _text(front.get("title")), years[0] if years else None, "; ".join(names) or None, lic, refs]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            at, cols = [], [[] for _ in range(8)]
-            for i, raw in enumerate(b.column(1).to_pylist()):
-                if (rec := decode_record(raw)) is not None:
-                    at.append(i)
-                    for c, v in zip(cols, one(rec)):
-                        c.append(v)
-            arrays = [pa.array(c, pa.string()) for c in cols[:-1]] + [pa.array(cols[-1], pa.int32())]
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int32())), *arrays], names=out.names)
-
-    return slim.mapInArrow(run, out)
-
-
 def body_claims(acquired: DataFrame, articles: DataFrame, raw: DataFrame) -> DataFrame:
     """Whether the claim has_body of each acquisition row agrees with the bodies that are there.
 
@@ -317,9 +364,7 @@ def body_claims(acquired: DataFrame, articles: DataFrame, raw: DataFrame) -> Dat
     nested = articles.select(
         first_number("pmcid").alias("n"), F.exists(F.col("body_sections"), lambda s: F.btrim(F.coalesce(s["text"], F.lit("")), F.lit(" \t\r\n")) != "").alias("b")
     )
-    front = articles_of_records(raw).select("source_file", first_number("pmcid").alias("n"))
-    bodies = sections_of_records(raw).select("source_file").distinct().withColumn("b", F.lit(True))
-    decoded = front.join(bodies, "source_file", "left").select("n", F.coalesce("b", F.lit(False)).alias("b"))
+    decoded = articles_of_records(raw).select(first_number("pmcid").alias("n"), (F.col("n_sections") > 0).alias("b"))
     there = nested.unionByName(decoded).where("n is not null").groupBy("n").agg(F.max(F.coalesce("b", F.lit(False))).alias("actual"))
     a = acquired.select("record_id", F.coalesce(first_number("pmcid_xml"), first_number("pmcid_requested")).alias("n"), claimed.alias("claimed"))
     j = a.join(there, "n", "left")

@@ -48,7 +48,12 @@ def p2_articles(spark: SparkSession, folder: str) -> DataFrame:
     a = _articles(spark, folder).select(
         "source_file", "pmid", "pmcid", "doi", "title", F.col("publication_year").cast("string").alias("year"), F.array_join("authors", "; ").alias("authors"), "license", F.lit(None).cast("int").alias("n_refs")
     )
-    return a.unionByName(nested.articles_of_records(_raw(spark, folder)))
+    return a.unionByName(nested.articles_of_records(_raw(spark, folder)).drop("n_sections"))
+
+
+def p2_failed(spark: SparkSession, folder: str) -> DataFrame:
+    """(source_file, reason): records that yield nothing."""
+    return nested.failed_records(_raw(spark, folder))
 
 
 def p2_body_claims(spark: SparkSession, folder: str) -> DataFrame:
@@ -77,7 +82,7 @@ def p3_by_month(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_value_counts, p2_found, p2_parts, p2_articles, p2_body_claims, p3_found, p3_by_month)}
+    return {f.__name__: f for f in (p1_found, p1_value_counts, p2_found, p2_parts, p2_articles, p2_failed, p2_body_claims, p3_found, p3_by_month)}
 
 
 _HARD = r"|;｜；\t\n\r"
