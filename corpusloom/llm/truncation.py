@@ -130,8 +130,10 @@ def closing(text: str) -> int | None:
 
 
 def _reference_cut(text: str) -> str:
-    """The text up to a place that depends on its hash."""
-    return text[: 1 + zlib.crc32(text.encode("utf-8", "surrogatepass")) % len(text)]
+    """The text up to a place that depends on its hash; every second one goes on to the end of the word."""
+    seed = zlib.crc32(text.encode("utf-8", "surrogatepass"))
+    at = 1 + (seed >> 1) % len(text)
+    return _to_word_end(text, at) if seed & 1 else text[:at]
 
 
 def _to_word_end(text: str, at: int) -> str:
