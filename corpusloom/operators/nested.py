@@ -320,9 +320,9 @@ def articles_of_records(df: DataFrame, key: str = "source_file", record: str = "
         row, entry = members("contribs")
         is_object = d.kind[entry] == OBJECT
         name = np.where(is_object, d.get(entry, "name"), entry)
-        last, given, whole = d.texts(d.get(name, "surname")), d.texts(d.get(name, "given")), d.texts(name)
-        for i, t, a, b, w in zip(row.tolist(), name.tolist(), last, given, whole):
-            if who := (" ".join(filter(None, (a, b))) if t >= 0 and d.kind[t] == OBJECT else w):
+        last, given, whole, group = d.texts(d.get(name, "surname")), d.texts(d.get(name, "given")), d.texts(name), d.texts(d.get(entry, "collab"))
+        for i, t, a, b, w, g in zip(row.tolist(), name.tolist(), last, given, whole, group):
+            if who := (" ".join(filter(None, (a, b))) if t >= 0 and d.kind[t] == OBJECT else w) or g:
                 names[i].append(who)
         years: list[str | None] = [None] * n
         row, entry = members("dates")

@@ -126,6 +126,64 @@ SELECT c.source_file, CAST(c.no AS INTEGER), CAST(coalesce(max_by(e.no, (len(e.p
 ON e.source_file = c.source_file AND e.no < c.no AND len(e.p) > 0 AND len(e.p) < len(c.p) AND c.p[1:len(e.p)] = e.p GROUP BY c.source_file, c.no"""
 
 
+_TREE = _P2_SQL[: _P2_SQL.index("flat AS (")].rstrip(", \n").replace("SELECT source_file, steps, row_number()", "SELECT source_file, steps, node, row_number()")
+
+
+def _scalar_text(x: str) -> str:
+    return f"CASE WHEN json_type({x}) IN ('VARCHAR', 'BIGINT', 'UBIGINT', 'DOUBLE') THEN {x} ->> '$' END"
+
+
+def _any_text(x: str) -> str:
+    inner = ", ".join(_scalar_text(f"json_extract({x}, '$.{k}')") for k in ("text", "value", "p", "title", "caption", "caption.text"))
+    return f"CASE WHEN json_type({x}) = 'OBJECT' THEN coalesce({inner}) ELSE {_scalar_text(x)} END"
+
+
+def _entries(x: str) -> str:
+    return f"CASE WHEN json_type({x}) = 'ARRAY' THEN json_extract({x}, '$[*]') WHEN coalesce(json_type({x}), 'NULL') <> 'NULL' THEN [{x}] ELSE [] END"
+
+
+_KINDS_SQL = " UNION ALL ".join(f"SELECT source_file, no, {k} AS k, '{name}' AS kind, {_entries(f"json_extract(node, '$.{name}')")} AS l FROM numbered" for k, name in enumerate(nested.PART_KINDS))
+_BLANKS = r"E' \t\r\n'"
+_P2_PARTS_SQL = f"""{_TREE},
+parts AS (SELECT source_file, no, k, i, kind, {_any_text("l[i]")} AS text FROM (SELECT *, unnest(generate_series(1, len(l))) AS i FROM ({_KINDS_SQL}))),
+nested AS (SELECT source_file, i AS no, s[i].title AS title, s[i].text AS text FROM (SELECT source_file, body_sections AS s, unnest(generate_series(1, len(body_sections))) AS i FROM literature_article WHERE body_sections IS NOT NULL)),
+pieces AS (SELECT source_file, no, 0 AS i, 'title' AS kind, title AS text FROM nested WHERE trim(coalesce(title, '')) <> ''
+  UNION ALL SELECT source_file, no, i, 'p', trim(l[i], {_BLANKS}) FROM (SELECT source_file, no, l, unnest(generate_series(1, len(l))) AS i FROM (SELECT source_file, no, regexp_split_to_array(coalesce(text, ''), '\\r?\\n\\s*\\r?\\n') AS l FROM nested)) WHERE trim(l[i], {_BLANKS}) <> '')
+SELECT source_file, CAST(no AS INTEGER) AS section_no, CAST(row_number() OVER (PARTITION BY source_file, no ORDER BY k, i) AS INTEGER) AS part_no, kind, text FROM parts WHERE text IS NOT NULL
+UNION ALL SELECT source_file, CAST(no AS INTEGER), CAST(row_number() OVER (PARTITION BY source_file, no ORDER BY i) AS INTEGER), kind, text FROM pieces"""
+
+_FRONT = "SELECT source_file, record::JSON AS r, json_extract(record::JSON, '$.article.front') AS f FROM literature_raw WHERE json_valid(record) AND json_type(record::JSON) = 'OBJECT'"
+
+
+def _id_sql(kind: str) -> str:
+    return f"list_filter(list_transform({_entries("json_extract(f, '$.ids')")}, lambda x: CASE WHEN x ->> '$.type' = '{kind}' THEN x ->> '$.value' END), lambda x: x IS NOT NULL)[-1]"
+
+
+_WHO = "coalesce(nullif(concat_ws(' ', x ->> '$.name.surname', x ->> '$.name.given'), ''), x ->> '$.collab')"
+_P2_ARTICLES_SQL = f"""SELECT source_file, pmid, pmcid, doi, title, CAST(publication_year AS VARCHAR) AS year, array_to_string(authors, '; ') AS authors, license, CAST(NULL AS INTEGER) AS n_refs FROM literature_article
+UNION ALL SELECT source_file, {_id_sql("pmid")}, coalesce(nullif({_id_sql("pmc")}, ''), {_id_sql("pmcid")}), {_id_sql("doi")}, f ->> '$.title',
+  nullif(list_filter(list_transform({_entries("json_extract(f, '$.dates')")}, lambda x: x ->> '$.year'), lambda x: x <> '')[1], ''),
+  nullif(array_to_string(list_filter(list_transform({_entries("json_extract(f, '$.contribs')")}, lambda x: {_WHO}), lambda x: x <> ''), '; '), ''),
+  CASE WHEN json_type(f, '$.license') = 'OBJECT' THEN f ->> '$.license.type' ELSE f ->> '$.license' END,
+  CAST(len({_entries("json_extract(r, '$.article.back.refs')")}) AS INTEGER) FROM ({_FRONT})"""
+
+_P2_FAILED_SQL = """SELECT source_file, CASE WHEN trim(coalesce(record, '')) = '' THEN 'missing' WHEN NOT json_valid(record) THEN 'invalid' ELSE 'no object' END AS reason FROM literature_raw
+WHERE trim(coalesce(record, '')) = '' OR NOT json_valid(record) OR json_type(CASE WHEN json_valid(record) THEN record ELSE '0' END::JSON) <> 'OBJECT'"""
+
+
+def _first_number(c: str) -> str:
+    return f"ltrim(nullif(regexp_extract({c}, '[0-9]+'), ''), '0')"
+
+
+_P2_CLAIMS_SQL = f"""{_TREE},
+there AS (SELECT n, bool_or(b) AS actual FROM (
+  SELECT {_first_number("pmcid")} AS n, len(list_filter(coalesce(body_sections, []), lambda s: trim(coalesce(s.text, ''), {_BLANKS}) <> '')) > 0 AS b FROM literature_article
+  UNION ALL SELECT {_first_number("pmcid")}, source_file IN (SELECT source_file FROM numbered) FROM (SELECT source_file, coalesce(nullif({_id_sql("pmc")}, ''), {_id_sql("pmcid")}) AS pmcid FROM ({_FRONT}))) WHERE n IS NOT NULL GROUP BY 1),
+a AS (SELECT record_id, coalesce({_first_number("pmcid_xml")}, {_first_number("pmcid_requested")}) AS n,
+  CASE WHEN lower(trim(has_body, {_BLANKS})) IN ('true', 't', 'yes', 'y', '1') THEN true WHEN lower(trim(has_body, {_BLANKS})) IN ('false', 'f', 'no', 'n', '0') THEN false END AS claimed FROM acquire_pmc_fulltext)
+SELECT record_id, claimed, actual, CASE WHEN actual IS NULL THEN 'unknown' WHEN claimed IS NULL THEN 'unclaimed' WHEN claimed = actual THEN 'agrees' ELSE 'contradicts' END AS verdict FROM a LEFT JOIN there USING (n)"""
+
+
 def _number(c: str) -> str:
     return f"ltrim(nullif(regexp_extract({c}, '[0-9]+'), ''), '0')"
 
@@ -150,6 +208,10 @@ def oracle_sql() -> dict[str, str]:
         "p1_found": _p1_sql(),
         "p1_value_counts": f"SELECT field, value, count(DISTINCT record_id) AS n_records, count(*) AS n_values FROM ({_p1_sql()}) GROUP BY 1, 2",
         "p2_found": _P2_SQL,
+        "p2_parts": _P2_PARTS_SQL,
+        "p2_articles": _P2_ARTICLES_SQL,
+        "p2_failed": _P2_FAILED_SQL,
+        "p2_body_claims": _P2_CLAIMS_SQL,
         "p3_found": f"SELECT ref_table, ref_field, record_id, reason FROM ({_P3_SQL})",
         "p3_by_month": f"SELECT ref_table, ref_field, strftime(happened AT TIME ZONE 'UTC', '%Y-%m') AS month, reason, count(*) AS n FROM ({_P3_SQL}) GROUP BY ALL",
     }
