@@ -74,8 +74,8 @@ def _code_points(texts: list[str]) -> np.ndarray:
     return np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def words(texts: list[str], latin: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """(text of each word, hash of each word) of a block.
+def spans(texts: list[str], latin: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(code points as they are compared, begin and end of each word in them, text of each word, hash of each word).
 
     Words are maximal runs of letters or digits, lower-cased; with `latin` runs of a-z and 0-9 after compatibility
     decomposition, removal of marks and invisible characters, and lower-casing.
@@ -93,14 +93,19 @@ def words(texts: list[str], latin: bool = False) -> tuple[np.ndarray, np.ndarray
     edge = np.flatnonzero(np.diff(np.r_[False, inside, False].astype(np.int8)))
     begin, end = edge[::2], edge[1::2]
     if not len(begin):
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return cp, begin, end, np.zeros(0, np.int64), np.zeros(0, np.uint64)
     up, down = _powers(max(10, int(len(cp)).bit_length()))
     with np.errstate(over="ignore"):
         sums = np.zeros(len(cp) + 1, np.uint64)
         np.cumsum((cp + np.uint32(1)).astype(np.uint64) * up[: len(cp)], out=sums[1:])
         h = mix((sums[end] - sums[begin]) * down[begin])
     owner = np.searchsorted(np.flatnonzero(cp == ord(_SEPARATOR)), begin)
-    return owner, h
+    return cp, begin, end, owner, h
+
+
+def words(texts: list[str], latin: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(text of each word, hash of each word) of a block, as in `spans`."""
+    return spans(texts, latin)[3:]
 
 
 def sequences(owner: np.ndarray, h: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

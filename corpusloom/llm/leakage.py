@@ -1,13 +1,15 @@
 """Passages of evaluation items inside documents: containment search by MinHash in partitions of equal size.
 
-The passages of an item are its runs of `passage` words (the whole item if it has fewer), and a document is the set of
-its runs of as many words, so that query and answer have the same size and containment becomes equality; the items are
-partitioned by that size.  The MinHash of a passage is the least hash among its runs of three words, for each of
-`hashes` hash functions.  A document holds a passage only if one of its own windows has the same minima, so the search
-misses none.  Windows that agree are verified word by word.
+The passages of an item are its runs of `passage` words (the whole item if it has fewer); the items are partitioned by
+that size.  The MinHash of a passage is the least hash among its runs of `shingle` words, one for each of two hash
+functions.  The sketch of a document in a partition is the set of the minima of all its windows of that size: about two
+in `size` of its shingles, whatever its length.  All shingles of a passage are in a document only if the minima of the
+passage are in the document's sketch, side by side in one window; so the threshold of the search is full containment
+and it misses none.  What the sketches let through is verified by the words themselves.
 
-The items are a stated query set held against all documents, in blocks of bounded size; documents are read once per
-block and nothing about them is collected.
+One pass over the documents, whatever the items: the minima of all passages are one bitmap of bounded size, and only
+windows whose both minima are in it leave the scan, with their words.  They meet the passages in a join on the words;
+neither items nor documents are collected.
 
 Defined results: null texts hold nothing; items without words are never found; an item that comes twice is found
 twice only under different ids; markup and punctuation separate words; documents of any length are searched whole.
@@ -23,11 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
 from . import kernels as K
 
-PASSAGE, SHINGLE, HASHES = 12, 3, 2
-BLOCK_CHARS = 4_000_000  # characters of items that go to the tasks at once
-_SALTS = [np.uint64(x) for x in (0x2545F4914F6CDD1D, 0x9FB21C651E98DF25, 0xD1342543DE82EF95, 0xF1357AEA2E62A9C5)]
+PASSAGE, SHINGLE = 12, 3
+SIEVE_BITS = 1 << 27
+_SALTS = [np.uint64(x) for x in (0x2545F4914F6CDD1D, 0x9FB21C651E98DF25)]
 
 
 def _sliding_least(x: np.ndarray, n: int) -> np.ndarray:
@@ -42,108 +45,115 @@ def _sliding_least(x: np.ndarray, n: int) -> np.ndarray:
     return x
 
 
-def _minima(h: np.ndarray, size: int, shingle: int, salt: np.uint64) -> np.ndarray:
-    """MinHash of every window of `size` words, regardless of the ends of texts."""
+def minima(h: np.ndarray, size: int, shingle: int, salt: np.uint64) -> np.ndarray:
+    """MinHash of every window of `size` words, regardless of the ends of texts; other sizes give other values."""
     k = min(shingle, size)
     _, _, s = K.sequences(np.zeros(len(h), np.int64), h, k)
-    return _sliding_least(K.mix(s ^ salt), size - k + 1)
-
-
-class _Partition:
-    """The passages of one size: minima for the search, words for the check."""
-
-    def __init__(self, size: int, passages: list[tuple[int, np.ndarray]], shingle: int, hashes: int):
-        self.size, self.shingle, self.salts = size, shingle, _SALTS[:hashes]
-        words = np.stack([w for _, w in passages])
-        self.minima = [np.unique(np.array([_minima(w, size, shingle, s)[0] for w in words], np.uint64)) for s in self.salts]
-        self.sieves = []
-        for m in self.minima:
-            sieve = np.zeros(1 << 16, bool)
-            sieve[(m >> np.uint64(48)).astype(np.int64)] = True
-            self.sieves.append(sieve)
-        full = K.sequences(np.zeros(words.size, np.int64), words.reshape(-1), size)[2][::size]
-        order = np.argsort(full, kind="stable")
-        self.full, self.words = full[order], words[order]
-        self.item = np.array([i for i, _ in passages], np.int64)[order]
-
-    def find(self, owner: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(text, item, passage row) of every passage found in a block."""
-        at = np.flatnonzero(owner[: len(h) - self.size + 1] == owner[self.size - 1 :]) if len(h) >= self.size else np.zeros(0, np.int64)
-        for salt, least, sieve in zip(self.salts, self.minima, self.sieves):
-            if not len(at):
-                break
-            m = _minima(h, self.size, self.shingle, salt)[at]
-            maybe = sieve[(m >> np.uint64(48)).astype(np.int64)]
-            at, m = at[maybe], m[maybe]
-            k = np.searchsorted(least, m)
-            at = at[(k < len(least)) & (least[np.minimum(k, len(least) - 1)] == m)]
-        none = np.zeros(0, np.int64)
-        if not len(at):
-            return none, none, none
-        run = h[at[:, None] + np.arange(self.size)]
-        full = K.sequences(np.zeros(run.size, np.int64), run.reshape(-1), self.size)[2][:: self.size]
-        lo, hi = np.searchsorted(self.full, full), np.searchsorted(self.full, full, side="right")
-        n = hi - lo
-        row = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        src = np.repeat(np.arange(len(at)), n)
-        same = (run[src] == self.words[row]).all(axis=1)
-        return owner[at[src[same]]], self.item[row[same]], row[same]
-
-
-def _partitions(items: list[tuple[int, str]], passage: int, shingle: int, hashes: int) -> tuple[list[_Partition], dict[int, int]]:
-    by_size: dict[int, list[tuple[int, np.ndarray]]] = {}
-    total: dict[int, int] = {}
-    for i, text in items:
-        _, h = K.words([text], latin=True)
-        if not len(h):
-            continue
-        size = min(passage, len(h))
-        total[i] = len(h) - size + 1
-        by_size.setdefault(size, []).extend((i, h[k : k + size]) for k in range(len(h) - size + 1))
-    return [_Partition(s, p, shingle, hashes) for s, p in sorted(by_size.items())], total
-
-
-_FOUND = T.StructType(
-    [T.StructField("doc_id", T.LongType()), T.StructField("item_id", T.LongType()), T.StructField("passages", T.IntegerType()), T.StructField("item_passages", T.IntegerType())]
+    with np.errstate(over="ignore"):
+        return K.mix(_sliding_least(K.mix(s ^ salt), size - k + 1) + np.uint64(size))
+
+
+class _Block:
+    """Words of a block of texts."""
+
+    def __init__(self, texts: list[str]):
+        cp, self.begin, self.end, self.owner, self.h = K.spans(texts, latin=True)
+        self.text = cp.tobytes().decode("utf-32-le", "surrogatepass")
+
+    def windows(self, size: int) -> np.ndarray:
+        """First words of the windows that lie in one text."""
+        n = len(self.h) - size + 1
+        return np.flatnonzero(self.owner[:n] == self.owner[size - 1 :]) if n > 0 else np.zeros(0, np.int64)
+
+    def passages(self, at: np.ndarray, size: int) -> list[str]:
+        begin, end, text = self.begin.tolist(), self.end.tolist(), self.text
+        return [" ".join(text[begin[i] : end[i]] for i in range(a, a + size)) for a in at.tolist()]
+
+
+_PASSAGES = T.StructType(
+    [T.StructField("id", T.LongType()), T.StructField("size", T.IntegerType()), T.StructField("m1", T.LongType()), T.StructField("m2", T.LongType()), T.StructField("passage", T.StringType())]
 )
 
 
-def _search(docs: DataFrame, items: list[tuple[int, str]], passage: int, shingle: int, hashes: int) -> DataFrame:
+def _rows(key: pa.Array, owner: np.ndarray, size: int, m1: np.ndarray, m2: np.ndarray, passages: list[str]) -> pa.RecordBatch:
+    columns = [key.take(pa.array(owner)), pa.array(np.full(len(owner), size, np.int32)), pa.array(m1.view(np.int64)), pa.array(m2.view(np.int64)), pa.array(passages, pa.string())]
+    return pa.RecordBatch.from_arrays(columns, names=_PASSAGES.names)
+
+
+def item_passages(items: DataFrame, passage: int = PASSAGE, shingle: int = SHINGLE) -> DataFrame:
+    """(id, size, m1, m2, passage) of all places of the items (id, t)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = [t or "" for t in b.column(1).to_pylist()]
+            for lo, hi in K.blocks(texts):
+                block = _Block(texts[lo:hi])
+                length = np.bincount(block.owner, minlength=hi - lo)
+                for size in np.unique(np.minimum(length[length > 0], passage)).tolist():
+                    at = block.windows(size)
+                    at = at[np.minimum(length[block.owner[at]], passage) == size]
+                    m1, m2 = (minima(block.h, size, shingle, s)[at] for s in _SALTS)
+                    yield _rows(b.column(0), block.owner[at] + lo, size, m1, m2, block.passages(at, size))
+
+    return items.mapInArrow(run, _PASSAGES)
+
+
+def _sieve(passages: DataFrame, most_bits: int) -> np.ndarray:
+    """Bits of the minima of all passages: 32 a passage, `most_bits` (16 MB) at most; a fuller one lets more through."""
+    n = passages.count()
+    bits = min(most_bits, max(1 << 18, 1 << (64 * n).bit_length()))
+    s = passages.select(F.explode(F.array("m1", "m2")).alias("m")).select((F.pmod("m", F.lit(bits)) + 1).alias("slot"))
+    rows = s.groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("map")).collect()
+    out = np.zeros(bits // 8, np.uint8)
+    for r in rows:
+        part = np.frombuffer(r["map"], np.uint8)
+        at = (r["bucket"] - 1) * len(part)
+        out[at : at + len(part)] = part[: max(0, len(out) - at)]
+    return out
+
+
+def _in(sieve: np.ndarray, m: np.ndarray) -> np.ndarray:
+    slot = m.view(np.int64) % np.int64(len(sieve) * 8)
+    return (sieve[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+
+
+def _document_windows(docs: DataFrame, sizes: list[int], shingle: int, sieve) -> DataFrame:
+    """(id, size, m1, m2, passage) of the windows of documents (id, t) whose minima are in the sieve."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        partitions, total = _partitions(items, passage, shingle, hashes)
+        bits = sieve.value
         for b in batches:
             texts = [t or "" for t in b.column(1).to_pylist()]
-            got: list[tuple[np.ndarray, np.ndarray]] = []
             for lo, hi in K.blocks(texts):
-                owner, h = K.words(texts[lo:hi], latin=True)
-                for p in partitions:
-                    o, i, row = p.find(owner, h)
-                    if len(o):
-                        once = np.unique(np.stack([o + lo, i, row], axis=1), axis=0)
-                        got.append((once[:, 0], once[:, 1]))
-            if not got:
-                continue
-            doc, item = (np.concatenate(x) for x in zip(*got))
-            pairs, n = np.unique(np.stack([doc, item], axis=1), axis=0, return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(pa.array(pairs[:, 0])), pa.array(pairs[:, 1]), pa.array(n.astype(np.int32)), pa.array([total[i] for i in pairs[:, 1].tolist()], pa.int32())],
-                names=_FOUND.names,
-            )
-
-    return docs.mapInArrow(run, _FOUND)
+                block = _Block(texts[lo:hi])
+                for size in sizes:
+                    at = block.windows(size)
+                    m1 = minima(block.h, size, shingle, _SALTS[0])[at]
+                    maybe = _in(bits, m1)
+                    at, m1 = at[maybe], m1[maybe]
+                    if not len(at):
+                        continue
+                    m2 = minima(block.h, size, shingle, _SALTS[1])[at]
+                    maybe = _in(bits, m2)
+                    at, m1, m2 = at[maybe], m1[maybe], m2[maybe]
+                    if len(at):
+                        yield _rows(b.column(0), block.owner[at] + lo, size, m1, m2, block.passages(at, size))
+
+    return docs.mapInArrow(run, _PASSAGES)
 
 
 def find_leaks(
-    docs: DataFrame, items: DataFrame, passage: int = PASSAGE, shingle: int = SHINGLE, hashes: int = HASHES, block_chars: int = BLOCK_CHARS, doc_key: str = "doc_id", item_key: str = "item_id", text: str = "text"
+    docs: DataFrame, items: DataFrame, passage: int = PASSAGE, shingle: int = SHINGLE, sieve_bits: int = SIEVE_BITS, doc_key: str = "doc_id", item_key: str = "item_id", text: str = "text"
 ) -> DataFrame:
     """(doc_id, item_id, passages, item_passages): how many of an item's passages a document holds, of how many."""
-    d = docs.select(F.col(doc_key).cast("bigint").alias("id"), F.col(text).cast("string").alias("t"))
+    d = docs.select(F.col(doc_key).cast("bigint").alias("id"), F.col(text).cast("string").alias("t")).where("t is not null")
     q = items.select(F.col(item_key).cast("bigint").alias("id"), F.col(text).cast("string").alias("t")).where("id is not null and t is not null")
-    chars = q.agg(F.coalesce(F.sum(F.length("t")), F.lit(0)).alias("n")).first()["n"]
-    n = max(1, -(-chars // block_chars))
-    found = None
-    for k in range(n):
-        block = q if n == 1 else q.where(F.pmod(F.xxhash64("id"), F.lit(n)) == k)
-        part = _search(d, [(r["id"], r["t"]) for r in block.collect()], passage, shingle, hashes)
-        found = part if found is None else found.unionByName(part)
-    return found.groupBy("doc_id", "item_id").agg(F.max("passages").alias("passages"), F.max("item_passages").alias("item_passages"))
+    places = cut_lineage(item_passages(q, passage, shingle))
+    sizes = sorted(r["size"] for r in places.select("size").distinct().collect())  # `passage` numbers at most
+    sieve = docs.sparkSession.sparkContext.broadcast(_sieve(places, sieve_bits))
+    known = places.groupBy(F.col("id").alias("item_id"), "size", "m1", "m2", "passage").agg(F.count("*").cast("int").alias("n"))
+    total = places.groupBy(F.col("id").alias("item_id")).agg(F.count("*").cast("int").alias("item_passages"))
+    windows = _document_windows(d, sizes, shingle, sieve)
+    held = windows.join(known, ["size", "m1", "m2", "passage"]).select(F.col("id").alias("doc_id"), "item_id", "size", "passage", "n").distinct()
+    found = held.groupBy("doc_id", "item_id").agg(F.sum("n").cast("int").alias("passages"))
+    return found.join(total, "item_id").select("doc_id", "item_id", "passages", "item_passages")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .leakage import PASSAGE
 from .queries import BEST, CHUNK_CHARS, SEQUENCE, SIMILARITY, WINDOW_TOKENS
 
 _TRIM = r"E' \t\n\r'"
@@ -38,5 +39,27 @@ r AS (SELECT src, id, id AS g FROM ids UNION SELECT r.src, e.b, r.g FROM r JOIN
 SELECT r.src, r.id, min(r.g) AS group_id, CAST(any_value(coalesce(n.n, 0)) AS BIGINT) AS links FROM r LEFT JOIN (SELECT src, a, count(*) AS n FROM e GROUP BY ALL) n ON n.src = r.src AND n.a = r.id GROUP BY r.src, r.id"""
 
 
+# Characters whose compatibility decomposition holds letters or digits, as far as strip_accents leaves them.
+_WIDE = "".join(chr(0xFF01 + ord(c) - 0x21) for c in "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+_PLAIN = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+_LIGATURES = (("\ufb00", "ff"), ("\ufb01", "fi"), ("\ufb02", "fl"), ("\ufb03", "ffi"), ("\ufb04", "ffl"), ("\u00b9", "1"), ("\u00b2", "2"), ("\u00b3", "3"), ("\u2122", "tm"), ("\u2126", "\u03c9"))
+
+
+def _latin_words(c: str) -> str:
+    x = f"translate({c}, '{_WIDE}', '{_PLAIN}')"
+    for a, b in _LIGATURES:
+        x = f"replace({x}, '{a}', '{b}')"
+    hidden = "[\\x{00AD}\\x{180E}\\x{200B}\\x{200C}\\x{200D}\\x{2060}\\x{FEFF}]|\\p{M}"
+    return f"regexp_extract_all(regexp_replace(lower(strip_accents({x})), '{hidden}', '', 'g'), '[a-z0-9]+')"
+
+
+_P8 = f"""WITH i AS (SELECT item_id, {_latin_words("text")} AS w FROM eval_item WHERE text IS NOT NULL), d AS (SELECT doc_id, {_latin_words("text")} AS w FROM documents WHERE text IS NOT NULL),
+p AS (SELECT item_id, k, array_to_string(w[j:j + k - 1], ' ') AS p, count(*) AS n FROM (SELECT item_id, w, least({PASSAGE}, len(w)) AS k, unnest(generate_series(1, len(w) - least({PASSAGE}, len(w)) + 1)) AS j FROM i WHERE len(w) > 0) GROUP BY ALL),
+s AS (SELECT DISTINCT doc_id, k, array_to_string(w[j:j + k - 1], ' ') AS p FROM (SELECT doc_id, w, k, unnest(generate_series(1, len(w) - k + 1)) AS j FROM d, (SELECT DISTINCT k FROM p) WHERE len(w) >= k)),
+f AS (SELECT doc_id, item_id, sum(n) AS n FROM s JOIN p USING (k, p) GROUP BY ALL)"""
+_P8_ITEMS = f"""{_P8} SELECT item_id, count(*) AS n_docs, count(CASE WHEN f.n = t.n THEN 1 END) AS n_whole, round(max(f.n / t.n), 6) AS most
+FROM f JOIN (SELECT item_id, sum(n) AS n FROM p GROUP BY 1) t USING (item_id) GROUP BY 1"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"p4_found": _P4, "p4_groups": _P4_GROUPS, "p5_found": _P5, "p6_found": _P6}
+    return {"p4_found": _P4, "p4_groups": _P4_GROUPS, "p5_found": _P5, "p6_found": _P6, "p8_found": f"{_P8} SELECT doc_id, item_id FROM f", "p8_items": _P8_ITEMS}

@@ -138,14 +138,14 @@ def test_leaks_of_whole_tables(spark, folder, rows):
     assert set(got) == want and len(got) == len(want) > 0
 
 
-@pytest.mark.parametrize("block", [40, 4_000_000])
-def test_leak_edges(spark, block):
+@pytest.mark.parametrize("bits", [1 << 18, 8])
+def test_leak_edges(spark, bits):
     w = [f"w{i}" for i in range(40)]
     items = [(1, " ".join(w[:20])), (2, "Only five words of it"), (3, None), (4, "..."), (5, " ".join(w[:20])), (6, "one")]
     docs = [(1, None), (2, ""), (3, "x " + " ".join(w[5:17])), (4, " ".join(w[5:16])), (5, "ONLY, <b>five</b> wórds o\u200bf i\xadt"), (6, " ".join(w[:6] + ["z"] + w[6:20])), (7, "y " * 60_000 + " ".join(w[:12])), (3, " ".join(w[:12]))]
     d = spark.createDataFrame([(*x, 9) for x in docs], "doc_id long, text string, item_id long")
     i = spark.createDataFrame([(*x, 9) for x in items], "item_id long, text string, doc_id long")
-    got = {tuple(r) for r in leakage.find_leaks(d, i, block_chars=block).select("doc_id", "item_id").collect()}
+    got = {tuple(r) for r in leakage.find_leaks(d, i, sieve_bits=bits).select("doc_id", "item_id").collect()}
     want = brute.leaks(docs, items)
     assert got == want and (5, 6) not in got
     assert {(3, 1), (3, 5), (6, 1), (7, 1)} <= got
