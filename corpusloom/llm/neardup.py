@@ -9,9 +9,14 @@ similarity.  Points are made in order of time up to a horizon by which a text ha
 which takes about m ln m points however long the text is; texts with an empty component go on from there.
 
 Candidates.  Texts with the same sequence of words form one class, so groups of exact copies of any size enter with
-one row.  `bands` groups of `rows` components are hashed; classes that share a band are candidates.  Their texts are
-compared exactly.  With the default 28 bands of 3, a pair at similarity 0.6 is missed with probability 0.0011, at 0.65
-with 0.0001, at 0.7 with 0.00001; there is no cap on the size of a band.
+one row.  16 bits of each component are kept, and `rows` components make a band; classes that share one of the `bands`
+are candidates.  With the default 28 bands of 3, a pair at similarity 0.6 is missed with probability 0.0011, at 0.65
+with 0.0001, at 0.7 with 0.00001.  Candidates whose signatures agree in fewer components than a pair at the limit does
+with probability 0.999999 are dropped before any text moves; the texts of the others are compared exactly.
+
+Hot bands.  There is no cap on the size of a band.  Bands of more than about HOT classes are found on a hash sample
+(which decides where pairs are made, never which), their classes are dealt into blocks, and every pair of blocks is a
+join key of its own, so the pairs of one band are made by many tasks.  Classes of many copies are expanded in the same way.
 
 Defined results: null texts and texts under `width` words are in no pair and form classes of their own; identical
 texts of at least `width` words are pairs; a row that comes twice gives no pair with itself, and an id
@@ -20,6 +25,7 @@ that comes with several texts takes part with each of them.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +39,8 @@ from . import kernels as K
 
 WIDTH, BANDS, ROWS = 3, 28, 3
 TOUCHED_BITS = 1 << 27
-EXPAND = 64
+HOT, HOT_SAMPLE = 2000, 64
+BROADCAST_ROWS = 200_000  # of some 60 bytes
 _FIRST, _MORE = 2.3, 3.0  # horizon beyond ln m: at first one text in ten has an empty component
 
 
@@ -101,14 +108,35 @@ def signatures(owner: np.ndarray, h: np.ndarray, texts: int, m: int, bag: bool =
 
 
 def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    """(texts, bands) 64-bit keys."""
-    bits = sig.view(np.uint64).reshape(len(sig), bands, rows)
-    with np.errstate(over="ignore"):
-        key = np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-        key = np.broadcast_to(key, (len(sig), bands))
+    """(texts, bands) 64-bit keys: 16 bits of each of three components below the number of the band.
+
+    With other numbers of rows a key is made of several such keys' hashes; `agreements` reads the components back only
+    for three.
+    """
+    bits = K.mix(sig.view(np.uint64)).reshape(len(sig), bands, rows) & np.uint64(0xFFFF)
+    if rows != 3:
+        key = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64), (len(sig), bands))
         for r in range(rows):
             key = K.mix(key ^ bits[:, :, r])
-    return key
+        return key
+    band = np.arange(bands, dtype=np.uint64) << np.uint64(48)
+    return band | bits[:, :, 0] << np.uint64(32) | bits[:, :, 1] << np.uint64(16) | bits[:, :, 2]
+
+
+def agreements(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Number of equal components of each pair of key rows."""
+    x = a ^ b
+    return sum((((x >> np.uint64(s)) & np.uint64(0xFFFF)) == 0).sum(axis=1) for s in (0, 16, 32))
+
+
+def least_agreement(limit: float, m: int, miss: float = 1e-6) -> int:
+    """The most components that a pair at the limit agrees in with a probability of at least 1 - miss."""
+    below = 0.0
+    for k in range(m + 1):
+        below += math.comb(m, k) * limit**k * (1 - limit) ** (m - k)
+        if below > miss:
+            return k
+    return m
 
 
 def _sketches(df: DataFrame, width: int, bands: int, rows: int, bag: bool) -> DataFrame:
@@ -174,8 +202,46 @@ def _overlaps(width: int, bag: bool, limit: float):
     return run
 
 
+def _cells(df: DataFrame, key: str, blocks: str) -> DataFrame:
+    """Rows dealt into `blocks` blocks by `key`, one copy (block, cell) for each pair of blocks theirs is in."""
+    n, mine = F.col(blocks), F.pmod(F.xxhash64(key), F.col(blocks))
+    other = F.explode(F.sequence(F.lit(0), (n - 1).cast("int")))
+    d = df.withColumn("block", mine.cast("int")).withColumn("other", other)
+    return d.withColumn("cell", F.least("block", "other") * n + F.greatest("block", "other")).drop("other")
+
+
+#: of two rows that share a group and a cell: whether this is the one cell where they meet
+_MEET = "l.block <> r.block or l.cell = l.block * (l.blocks + 1)"
+
+
+def _hot_bands(classes: DataFrame, hot: int, sample: int) -> DataFrame:
+    """(src, key, blocks) of bands with more than about `hot` classes, by the classes whose hashed id falls in the sample."""
+    some = classes.where(F.pmod(F.xxhash64("id"), F.lit(sample)) == 0).select("src", F.explode("keys").alias("key"))
+    n = some.groupBy("src", "key").agg((F.count("*") * sample).alias("n")).where(F.col("n") > hot)
+    return n.select("src", "key", F.ceil(F.col("n") / hot).cast("int").alias("blocks"))
+
+
+def _bounded(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """A written table, marked for broadcast if it has at most that many rows."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
+def _agreeing(need: int):
+    """mapInArrow function over (src, a, b, keys_a, keys_b): the pairs whose signatures agree in enough components."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            if not x.num_rows:
+                continue
+            a, b = (x.column(i).flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(x.num_rows, -1) for i in (3, 4))
+            keep = pa.array(np.flatnonzero(agreements(a, b) >= need))
+            yield pa.RecordBatch.from_arrays([x.column(i).take(keep) for i in range(3)], names=["src", "a", "b"])
+
+    return run
+
+
 def near_duplicates(
-    df: DataFrame, limit: float = 0.8, width: int = 5, bands: int = BANDS, rows: int = ROWS, bag: bool = False
+    df: DataFrame, limit: float = 0.8, width: int = 5, bands: int = BANDS, rows: int = ROWS, bag: bool = False, hot: int = HOT, hot_sample: int = HOT_SAMPLE
 ) -> tuple[DataFrame, DataFrame]:
     """(members, links) of a table (src, id, text); only rows of the same src are compared.
 
@@ -185,12 +251,22 @@ def near_duplicates(
     """
     rows_in = df.select(F.col("src").cast("string"), F.col("id").cast("bigint"), F.col("text").cast("string")).where("id is not null and text is not null")
     sk = cut_lineage(_sketches(rows_in, width, bands, rows, bag))
-    classes = sk.groupBy("src", "fp").agg(F.min("id").alias("rep"), F.first("keys").alias("keys"))
-    members = sk.select("src", "id", "fp").join(classes.select("src", "fp", "rep"), ["src", "fp"]).select("src", "id", "rep")
-    banded = classes.select("src", F.explode("keys").alias("key"), F.col("rep").alias("id"))
+    reps = sk.groupBy("src", "fp").agg(F.min("id").alias("rep"))
+    members = cut_lineage(sk.select("src", "id", "fp").join(reps, ["src", "fp"]).select("src", "id", "fp", "rep").distinct())
+    copies = members.where("id <> rep").select("src", "id", "fp")
+    classes = sk.join(_bounded(copies), ["src", "id", "fp"], "left_anti").select("src", "id", "keys")
+    crowded = _bounded(cut_lineage(_hot_bands(classes, hot, hot_sample)))
+    banded = classes.select("src", F.explode("keys").alias("key"), "id").join(crowded, ["src", "key"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    banded = _cells(banded, "id", "blocks")
     # both sides are one and the same plan, so the exchange by band is written once and read twice
-    same = banded.alias("l").join(banded.alias("r"), ["src", "key"]).where("l.id < r.id")
+    same = banded.alias("l").join(banded.alias("r"), ["src", "key", "cell"]).where(f"l.id < r.id and ({_MEET})")
     candidates = cut_lineage(same.select("src", F.col("l.id").alias("a"), F.col("r.id").alias("b")).distinct())
+    if rows == 3:
+        touched = _only_touched(classes, candidates)
+        pairs = candidates.join(touched.select("src", F.col("id").alias("a"), F.col("keys").alias("ka")), ["src", "a"])
+        pairs = pairs.join(touched.select("src", F.col("id").alias("b"), F.col("keys").alias("kb")), ["src", "b"]).select("src", "a", "b", "ka", "kb")
+        need = least_agreement(limit, bands * rows)
+        candidates = cut_lineage(pairs.mapInArrow(_agreeing(need), "src string, a bigint, b bigint").distinct())
     texts = _only_touched(rows_in, candidates)
     schema = "src string, a bigint, b bigint, similarity double"
     links = (
@@ -201,14 +277,14 @@ def near_duplicates(
         .groupBy("src", "a", "b")
         .agg(F.max("similarity").alias("similarity"))
     )
-    return members, cut_lineage(links)
+    return members.select("src", "id", "rep"), cut_lineage(links)
 
 
-def _only_touched(texts: DataFrame, pairs: DataFrame, most_bits: int = TOUCHED_BITS) -> DataFrame:
-    """Texts that occur in the pairs, and a few others: a bitmap of hashed ids tells most of the rest before any shuffle.
+def _only_touched(rows: DataFrame, pairs: DataFrame, most_bits: int = TOUCHED_BITS) -> DataFrame:
+    """Rows (src, id, ...) that occur in the pairs, and a few others: a bitmap of hashed ids tells most of the rest before any shuffle.
 
     The bitmap has 32 bits a pair, and never more than `most_bits` (16 MB), however many pairs there are; if it fills
-    up, more texts pass.
+    up, more rows pass.
     """
     bits = min(most_bits, max(1 << 18, 1 << (32 * pairs.count()).bit_length()))
 
@@ -217,34 +293,32 @@ def _only_touched(texts: DataFrame, pairs: DataFrame, most_bits: int = TOUCHED_B
 
     ids = pairs.select("src", F.explode(F.array("a", "b")).alias("id")).select(slot("src", "id").alias("slot"))
     bitmap = ids.groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("map"))
-    t = texts.withColumn("slot", slot("src", "id"))
+    t = rows.withColumn("slot", slot("src", "id"))
     t = t.withColumn("bucket", F.bitmap_bucket_number("slot")).withColumn("at", F.bitmap_bit_position("slot").cast("int"))
     octet = F.conv(F.hex(F.substring("map", F.floor(F.col("at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     t = t.join(F.broadcast(bitmap), "bucket").where(F.getbit(octet, F.col("at") % 8) == 1)
-    return t.select("src", "id", "text")
+    return t.select(*rows.columns)
 
 
-def pairs_of_rows(members: DataFrame, links: DataFrame, expand: int = EXPAND) -> DataFrame:
-    """(src, id_a, id_b): pairs of rows that the links and the classes of equal texts stand for.
+def pairs_of_rows(members: DataFrame, links: DataFrame, hot: int = HOT) -> DataFrame:
+    """(src, id_a, id_b): all pairs of rows that the links and the classes of equal texts stand for.
 
-    Classes of up to `expand` copies are expanded into all their pairs, which makes less than `expand` pairs a row.  A
-    larger class would give a quadratic number of pairs that say nothing new: each of its copies is paired with the
-    representative, which alone carries the class's links to other texts.  No link between different texts is lost.
+    This is the expanded form, with the same meaning at every size: the rows of a class are pairs, and so are the rows
+    of two linked classes.  It is as long as it has pairs, n * (n - 1) / 2 for n copies; `members` and `links` say the
+    same in as many rows as there are texts and links of different texts.
     """
     m = members.select("src", "rep", "id").distinct()
     sizes = m.groupBy("src", "rep").agg(F.count("*").alias("n")).where("n > 1")
-    sized = m.join(sizes, ["src", "rep"], "left").withColumn("n", F.coalesce("n", F.lit(1)))
-    few = sized.where(F.col("n").between(2, expand))
-    within = few.select("src", "rep", F.col("id").alias("id_a")).join(few.select("src", "rep", F.col("id").alias("id_b")), ["src", "rep"]).where("id_a < id_b")
-    star = sized.where((F.col("n") > expand) & (F.col("id") != F.col("rep"))).select("src", F.col("rep").alias("id_a"), F.col("id").alias("id_b"))
-    linked = sized.where((F.col("n") <= expand) | (F.col("id") == F.col("rep")))
+    copies = m.join(sizes, ["src", "rep"]).select("src", "rep", "id", F.ceil(F.col("n") / hot).cast("int").alias("blocks"))
+    dealt = _cells(copies, "id", "blocks")
+    within = dealt.alias("l").join(dealt.alias("r"), ["src", "rep", "cell"]).where(f"l.id < r.id and ({_MEET})").select("src", F.col("l.id").alias("id_a"), F.col("r.id").alias("id_b"))
     across = (
         links.select("src", "a", "b")
-        .join(linked.select("src", F.col("rep").alias("a"), F.col("id").alias("x")), ["src", "a"])
-        .join(linked.select("src", F.col("rep").alias("b"), F.col("id").alias("y")), ["src", "b"])
+        .join(m.select("src", F.col("rep").alias("a"), F.col("id").alias("x")), ["src", "a"])
+        .join(m.select("src", F.col("rep").alias("b"), F.col("id").alias("y")), ["src", "b"])
         .select("src", F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
     )
-    return within.select("src", "id_a", "id_b").unionByName(star).unionByName(across)
+    return within.unionByName(across)
 
 
 def groups_of_rows(members: DataFrame, links: DataFrame) -> DataFrame:

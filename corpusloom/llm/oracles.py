@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .leakage import PASSAGE
-from .queries import BEST, CHUNK_CHARS, SEQUENCE, SIMILARITY, WINDOW_TOKENS
+from .queries import BEST, CHUNK_CHARS, SEQUENCE, SIMILARITY, WEIGHTED_SEQUENCE, WEIGHTED_SIMILARITY, WINDOW_TOKENS
 
 _TRIM = r"E' \t\n\r'"
 
@@ -32,13 +32,27 @@ SELECT selection_run, disease_id, pmid FROM (SELECT a.*, row_number() OVER (PART
 WHERE disease_id IS NOT NULL AND pmid IS NOT NULL AND r IS NOT NULL) WHERE k <= {BEST}"""
 
 
-_P4_GROUPS = f"""WITH RECURSIVE p AS ({_P4}), e AS (SELECT src, id_a AS a, id_b AS b FROM p UNION ALL SELECT src, id_b, id_a FROM p),
-t AS (SELECT 'abstract' AS src, record_id AS id, abstract AS text FROM pubmed_complete_metadata UNION ALL SELECT 'chunk', chunk_id, text FROM literature_chunk),
-ids AS (SELECT src, id FROM t WHERE len(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) >= {SEQUENCE}),
+_TEXTS = "SELECT 'abstract' AS src, record_id AS id, abstract AS text FROM pubmed_complete_metadata UNION ALL SELECT 'chunk', chunk_id, text FROM literature_chunk"
+_ALNUM = "regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')"
+_P4_MEMBERS = f"""SELECT src, id, min(id) OVER (PARTITION BY src, s) AS rep FROM (SELECT src, id, array_to_string(w, ' ') AS s FROM (SELECT src, id, {_ALNUM} AS w FROM ({_TEXTS})) WHERE len(w) >= {SEQUENCE})"""
+_P4_LINKS = f"""SELECT p.src, id_a AS a, id_b AS b FROM ({_P4}) p JOIN ({_P4_MEMBERS}) x ON x.src = p.src AND x.id = id_a AND x.rep = id_a JOIN ({_P4_MEMBERS}) y ON y.src = p.src AND y.id = id_b AND y.rep = id_b"""
+
+
+def _groups(pairs: str, width: int) -> str:
+    return f"""WITH RECURSIVE p AS ({pairs}), e AS (SELECT src, id_a AS a, id_b AS b FROM p UNION ALL SELECT src, id_b, id_a FROM p),
+t AS ({_TEXTS}), ids AS (SELECT src, id FROM t WHERE len({_ALNUM}) >= {width}),
 r AS (SELECT src, id, id AS g FROM ids UNION SELECT r.src, e.b, r.g FROM r JOIN e ON e.src = r.src AND e.a = r.id)
 SELECT r.src, r.id, min(r.g) AS group_id, CAST(any_value(coalesce(n.n, 0)) AS BIGINT) AS links FROM r LEFT JOIN (SELECT src, a, count(*) AS n FROM e GROUP BY ALL) n ON n.src = r.src AND n.a = r.id GROUP BY r.src, r.id"""
 
 
+# multiset overlap: least and greatest multiplicity of every sequence
+_P4_WEIGHTED = f"""WITH w AS (SELECT src, id, {_ALNUM} AS w FROM ({_TEXTS}) WHERE text IS NOT NULL),
+s AS (SELECT src, id, s, count(*) AS n FROM (SELECT src, id, unnest(list_transform(generate_series(1, len(w) - {WEIGHTED_SEQUENCE - 1}), lambda i: array_to_string(w[i:i + {WEIGHTED_SEQUENCE - 1}], ' '))) AS s FROM w WHERE len(w) >= {WEIGHTED_SEQUENCE}) GROUP BY ALL),
+n AS (SELECT src, id, sum(n) AS n FROM s GROUP BY ALL),
+c AS (SELECT a.src, a.id AS id_a, b.id AS id_b, sum(least(a.n, b.n)) AS both FROM s a JOIN s b ON a.src = b.src AND a.s = b.s AND a.id < b.id GROUP BY ALL)
+SELECT c.src, c.id_a, c.id_b FROM c JOIN n x ON x.src = c.src AND x.id = c.id_a JOIN n y ON y.src = c.src AND y.id = c.id_b WHERE c.both / (x.n + y.n - c.both) >= {WEIGHTED_SIMILARITY}"""
+
+
 # Characters whose compatibility decomposition holds letters or digits, as far as strip_accents leaves them.
 _WIDE = "".join(chr(0xFF01 + ord(c) - 0x21) for c in "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
 _PLAIN = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
@@ -62,4 +76,4 @@ FROM f JOIN (SELECT item_id, sum(n) AS n FROM p GROUP BY 1) t USING (item_id) GR
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p4_found": _P4, "p4_groups": _P4_GROUPS, "p5_found": _P5, "p6_found": _P6, "p8_found": f"{_P8} SELECT doc_id, item_id FROM f", "p8_items": _P8_ITEMS}
+    return {"p4_found": _P4, "p4_groups": _groups(_P4, SEQUENCE), "p4_members": _P4_MEMBERS, "p4_links": _P4_LINKS, "p4_weighted_groups": _groups(_P4_WEIGHTED, WEIGHTED_SEQUENCE), "p5_found": _P5, "p6_found": _P6, "p8_found": f"{_P8} SELECT doc_id, item_id FROM f", "p8_items": _P8_ITEMS}

@@ -11,6 +11,7 @@ from ..functions.text import first_bigint
 from . import leakage, neardup, packing, splitting, topn, truncation
 
 SIMILARITY, SEQUENCE = 0.6, 3  # of near-duplicate records
+WEIGHTED_SIMILARITY, WEIGHTED_SEQUENCE = 0.8, 5
 CHUNK_CHARS, OVERLAP_CHARS, WINDOW_TOKENS = 1000, 150, 98
 BEST = 5
 
@@ -35,6 +36,22 @@ def p4_groups(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.groups_of_rows(members, links)
 
 
+def p4_members(spark: SparkSession, folder: str) -> DataFrame:
+    """(src, id, rep): the class of equal word sequences of every text, by its least id."""
+    return neardup.near_duplicates(_records(spark, folder), SIMILARITY, SEQUENCE)[0].distinct()
+
+
+def p4_links(spark: SparkSession, folder: str) -> DataFrame:
+    """(src, a, b): similar pairs of class representatives; with p4_members the compact form of p4_found."""
+    return neardup.near_duplicates(_records(spark, folder), SIMILARITY, SEQUENCE)[1].select("src", "a", "b")
+
+
+def p4_weighted_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """As p4_groups with every word sequence weighted by how often it occurs, at the default width and limit."""
+    members, links = neardup.near_duplicates(_records(spark, folder), WEIGHTED_SIMILARITY, WEIGHTED_SEQUENCE, bag=True)
+    return neardup.groups_of_rows(members, links)
+
+
 def _sections(spark: SparkSession, folder: str, side: str) -> DataFrame:
     s = _table(spark, folder, "literature_article").select("source_file", F.posexplode(F.col(f"{side}_sections").getField("text")).alias("n", "text"))
     return s.select(F.concat_ws("/", "source_file", F.lit(side), (F.col("n") + 1).cast("string")).alias("item"), "text")
@@ -103,4 +120,4 @@ def p9_reasons(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p4_found, p4_groups, p5_found, p5_pieces, p6_found, p7_pack, p7_fill, p8_found, p8_items, p9_found, p9_sources, p9_reasons)}
+    return {f.__name__: f for f in (p4_found, p4_members, p4_links, p4_groups, p4_weighted_groups, p5_found, p5_pieces, p6_found, p7_pack, p7_fill, p8_found, p8_items, p9_found, p9_sources, p9_reasons)}

@@ -70,16 +70,50 @@ def test_edges_groups_and_copies(spark):
     assert ("a", 6) not in groups and ("a", 8) not in groups
 
 
-def test_a_large_class_of_copies_keeps_its_links_without_all_pairs(spark):
+@pytest.mark.parametrize("hot", [7, 40, 2000])
+def test_copies_are_pairs_at_every_size(spark, hot):
     w = [f"w{i}" for i in range(60)]
     data = [("a", i, " ".join(w)) for i in range(10, 310)] + [("a", i, " ".join([*w[:30], "x", *w[31:]])) for i in (5, 500)]
     members, links = neardup.near_duplicates(table(spark, [(*d, "", 0) for d in data]), 0.6, 3)
-    got = {(r.id_a, r.id_b) for r in neardup.pairs_of_rows(members, links).collect()}
-    assert got == {(10, i) for i in range(11, 310)} | {(5, 10), (5, 500), (10, 500)}
+    got = [(r.id_a, r.id_b) for r in neardup.pairs_of_rows(members, links, hot).collect()]
+    ids = [5, *range(10, 310), 500]
+    assert len(got) == len(set(got)) and set(got) == {(a, b) for i, a in enumerate(ids) for b in ids[i + 1 :]}
     groups = neardup.groups_of_rows(members, links).collect()
     assert {r.group_id for r in groups} == {5} and {r.links for r in groups} == {301}
 
 
+def test_ten_thousand_copies_stay_one_row_each(spark):
+    df = spark.range(10_000).selectExpr("'a' as src", "id", "repeat('one two three four five six ', 5) as text")
+    members, links = neardup.near_duplicates(df, 0.6, 3)
+    assert (members.count(), members.where("rep = 0").count(), links.count()) == (10_000, 10_000, 0)
+    assert neardup.groups_of_rows(members, links).where("group_id = 0 and links = 9999").count() == 10_000
+
+
+@pytest.mark.parametrize("hot", [25, 2000])
+def test_a_hot_template_is_split_and_loses_nothing(spark, hot):
+    rnd = random.Random(2)
+    base = [f"w{i}" for i in range(80)]
+    data = []
+    for i in range(260):
+        w = list(base)
+        for at in rnd.sample(range(80), rnd.randrange(1, 7)):
+            w[at] = f"x{rnd.randrange(10**6)}"
+        data.append(("a", i, " ".join(w)))
+    members, links = neardup.near_duplicates(table(spark, [(*d, "", 0) for d in data]), 0.6, 3, hot=hot, hot_sample=1)
+    want = brute.similar_pairs([(i, t) for _, i, t in data])
+    got = [(r.a, r.b) for r in links.collect()]
+    assert len(got) == len(set(got)) and set(got) <= want and len(got) >= 0.995 * len(want) > 10_000
+
+
+def test_components_are_read_back_from_the_keys():
+    rng = np.random.default_rng(3)
+    sig = rng.random((2, 84))
+    sig[1, :50] = sig[0, :50]
+    keys = neardup.band_keys(sig, 28, 3)
+    assert neardup.agreements(keys[:1], keys[1:]).tolist() == [50] and neardup.agreements(keys, keys).tolist() == [84, 84]
+    assert 25 < neardup.least_agreement(0.6, 84) < 35 < neardup.least_agreement(0.8, 84) < 60
+
+
 def test_chains_become_one_group(spark):
     members = spark.createDataFrame([("s", i, i) for i in range(1, 41)], "src string, id long, rep long")
     links = spark.createDataFrame([("s", i, i + 1, 0.9) for i in range(1, 30)] + [("s", 31, 40, 0.9)], "src string, a long, b long, similarity double")
