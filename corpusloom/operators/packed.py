@@ -1,11 +1,13 @@
 """Several values packed in one cell: dictionary-guided segmentation into one row per value.
 
-A cell is first cut at its hard separators (bars, semicolons, tabs, line breaks, and per field more, e.g. "+"),
-except inside double quotes.  Only a cell without any hard separator is cut at commas, and a comma is ambiguous: it
-may belong to a value ("Clinical Trial, Phase II").  A dictionary of known whole values that hold a comma is mined
-from the quoted values of the same column; a multi-pattern automaton finds every place where such a value stands
-whole between two boundaries, and dynamic programming picks the cover of the cell with the least cost, where a known
-value costs less than the pieces it would fall into.  Commas inside a chosen known value are protected.
+A cell is first cut by the plain rule: at its hard separators (bars, semicolons, tabs, line breaks, and per field more,
+e.g. "+") outside double quotes, or, if it has none, at its commas.  Any separator may also belong to a value
+("Clinical Trial, Phase II", "Study Protocol; Amended").  So whole values are learned from the cells of the same
+column that leave no doubt: pieces in quotes, pieces between hard separators of one kind, and cells in one piece.  A known value
+that the plain rule would cut is worth as many points as it has parts that are not known as values themselves; where all
+parts are known, the rule stands.  A multi-pattern automaton finds every place where such a value stands whole between
+two cuts, and dynamic programming picks the cover of the cell with the most points; separators inside a chosen value
+are protected.  Where nothing is known the plain rule decides.
 
 Defined results: null, empty and blank cells give no row; a cell of separators only gives no row; an unbalanced quote
 protects up to the end of the cell; brackets count only where one pair holds the whole cell; repeated values and
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,9 +31,7 @@ from ..session import cut_lineage
 HARD_SEPARATORS = "|｜;；\t\n\r\x0b\x0c\x85\u2028\u2029"
 SOFT_SEPARATOR = ","
 
-KNOWN_COST, PIECE_COST = 1, 2
-
-#: The dictionary holds only values with a comma in quotes; a larger one goes through a join instead of a broadcast.
+#: The dictionary holds only values that the plain rule would cut; a larger one goes through a join, not to every task.
 MAX_DICTIONARY_BYTES = 16 << 20
 
 
@@ -57,57 +58,74 @@ def _unquote(piece: str) -> str:
     return v
 
 
-def _pieces(cell: str, pattern: re.Pattern) -> list[str]:
-    """Split at the pattern's separators outside double quotes."""
+def _cuts(cell: str, pattern: re.Pattern) -> list[tuple[int, int]]:
+    """Begin and end of the pieces between the pattern's separators outside double quotes."""
     out, start, quoted = [], 0, False
     for m in pattern.finditer(cell):
         if m.group() == '"':
             quoted = not quoted
         elif not quoted:
-            out.append(cell[start : m.start()])
+            out.append((start, m.start()))
             start = m.end()
-    out.append(cell[start:])
+    out.append((start, len(cell)))
     return out
 
 
-def _automaton(words: list[str]):
+@cache
+def _hard_pattern(extra: str) -> re.Pattern:
+    return re.compile("[" + re.escape('"' + HARD_SEPARATORS + extra) + "]")
+
+
+_SOFT_PATTERN = re.compile('[",]')
+
+
+def _plain_cuts(body: str, extra: str) -> tuple[list[tuple[int, int]], bool]:
+    """(pieces by the plain rule, whether they leave no doubt: one piece, or one kind of hard separator)."""
+    hard = _cuts(body, _hard_pattern(extra))
+    if len(hard) > 1:
+        return hard, len({body[hi].replace("\r", "\n") for _, hi in hard[:-1]}) == 1
+    soft = _cuts(body, _SOFT_PATTERN)
+    return soft, len(soft) == 1
+
+
+def _automaton(words: dict[str, int]):
+    """Automaton over known values and their points."""
     import ahocorasick
 
     a = ahocorasick.Automaton()
-    for w in words:
-        a.add_word(w, len(w))
+    for w, points in words.items():
+        a.add_word(w, (len(w), points))
     if words:
         a.make_automaton()
     return a
 
 
-def _spans_by_automaton(pieces: list[str], automaton) -> set[tuple[int, int]]:
-    """(i, j) for every run of pieces i..j-1, joined again, that is a known whole value."""
-    joined, begins, ends, at = SOFT_SEPARATOR.join(pieces), {}, {}, 0
-    for i, p in enumerate(pieces):
-        lead = len(p) - len(p.lstrip())
-        begins[at + lead] = i
-        ends[at + len(p.rstrip())] = i + 1
-        at += len(p) + 1
-    found = set()
-    for last, size in automaton.iter(joined):
+def _spans_by_automaton(body: str, pieces: list[tuple[int, int]], automaton) -> dict[tuple[int, int], int]:
+    """Points of every run of pieces i..j-1 that is a known whole value."""
+    begins, ends = {}, {}
+    for i, (lo, hi) in enumerate(pieces):
+        text = body[lo:hi]
+        begins[lo + len(text) - len(text.lstrip())] = i
+        ends[lo + len(text.rstrip())] = i + 1
+    found = {}
+    for last, (size, points) in automaton.iter(body):
         i, j = begins.get(last + 1 - size), ends.get(last + 1)
         if i is not None and j is not None and j - i > 1:
-            found.add((i, j))
+            found[i, j] = points
     return found
 
 
-def _best_cover(n: int, known: set[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Cover of pieces 0..n-1 by known runs and single pieces with the least cost; of equals the one with longer runs first."""
-    by_start: dict[int, list[int]] = {}
-    for i, j in known:
-        by_start.setdefault(i, []).append(j)
-    cost, step = [0] * (n + 1), [0] * n
+def _best_cover(n: int, known: dict[tuple[int, int], int]) -> list[tuple[int, int]]:
+    """Cover of pieces 0..n-1 by known runs and single pieces with the most points; of equals the one with longer runs first."""
+    by_start: dict[int, list[tuple[int, int]]] = {}
+    for (i, j), points in known.items():
+        by_start.setdefault(i, []).append((j, points))
+    best, step = [0] * (n + 1), [0] * n
     for i in range(n - 1, -1, -1):
-        cost[i], step[i] = PIECE_COST + cost[i + 1], i + 1
-        for j in sorted(by_start.get(i, [])):
-            if KNOWN_COST + cost[j] <= cost[i]:
-                cost[i], step[i] = KNOWN_COST + cost[j], j
+        best[i], step[i] = best[i + 1], i + 1
+        for j, points in sorted(by_start.get(i, [])):
+            if points + best[j] >= best[i]:
+                best[i], step[i] = points + best[j], j
     out, i = [], 0
     while i < n:
         out.append((i, step[i]))
@@ -115,39 +133,49 @@ def _best_cover(n: int, known: set[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _hard_pattern(extra: str) -> re.Pattern:
-    return re.compile("[" + re.escape('"' + HARD_SEPARATORS + extra) + "]")
+def segment_cell(cell: str, extra_separators: str = "", automaton=None, known: dict[tuple[int, int], int] | None = None) -> list[str]:
+    """Values of one cell in order."""
+    body = _unwrap(cell)
+    pieces, _ = _plain_cuts(body, extra_separators)
+    if len(pieces) > 1:
+        if known is None:
+            known = _spans_by_automaton(body, pieces, automaton) if automaton is not None and len(automaton) else {}
+        if known:
+            pieces = [(pieces[i][0], pieces[j - 1][1]) for i, j in _best_cover(len(pieces), known)]
+    return [v for v in (_unquote(body[lo:hi]) for lo, hi in pieces) if v]
 
 
-_SOFT_PATTERN = re.compile('[",]')
+_MINED = T.StructType([T.StructField("field", T.StringType()), T.StructField("value", T.StringType()), T.StructField("parts", T.ArrayType(T.StringType()))])
 
 
-def segment_cell(cell: str, extra_separators: str = "", automaton=None, known: set[tuple[int, int]] | None = None) -> list[str]:
-    """Values of one cell in order."""
-    body = _unwrap(cell)
-    pieces = _pieces(body, _hard_pattern(extra_separators))
-    if len(pieces) == 1:
-        pieces = _pieces(body, _SOFT_PATTERN)
-        if len(pieces) > 1:
-            if known is None:
-                known = _spans_by_automaton(pieces, automaton) if automaton is not None and len(automaton) else set()
-            if known:
-                pieces = [SOFT_SEPARATOR.join(pieces[i:j]) for i, j in _best_cover(len(pieces), known)]
-    return [v for v in map(_unquote, pieces) if v]
-
-
-def known_values(cells: DataFrame) -> DataFrame:
-    """(field, value): distinct whole values that hold a comma, read off the quoted values of the cells."""
-    quoted = F.explode(F.regexp_extract_all("cell", F.lit('"((?:[^"]|"")*)"'), F.lit(1)))
-    value = F.trim(F.replace(F.col("q"), F.lit('""'), F.lit('"')))
-    return (
-        cells.where(F.contains("cell", F.lit('"')) & F.contains("cell", F.lit(",")))
-        .select("field", quoted.alias("q"))
-        .select("field", value.alias("value"))
-        # a separator at an end is no part of a value; it shows that the quotes were paired wrongly
-        .where(F.col("value").rlike(r'^[^,;|｜；\s"][^\t\n\r]*,[^\t\n\r]*[^,;|｜；\s"]$'))
-        .distinct()
-    )
+def whole_values(cells: DataFrame, extra: dict[str, str]) -> DataFrame:
+    """(field, value, parts): distinct values of cells that leave no doubt; parts are the pieces the plain rule makes of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            seen: set[tuple[str, str]] = set()
+            for field, cell in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+                body = _unwrap(cell)
+                pieces, sure = _plain_cuts(body, extra.get(field, ""))
+                for lo, hi in pieces:
+                    raw = body[lo:hi].strip()
+                    if (v := _unquote(raw)) and (sure or v != raw):
+                        seen.add((field, v))
+            rows = sorted(seen)
+            parts = [[v[lo:hi].strip() for lo, hi in _plain_cuts(v, extra.get(f, ""))[0]] for f, v in rows]
+            columns = [pa.array([f for f, _ in rows], pa.string()), pa.array([v for _, v in rows], pa.string()), pa.array(parts, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(columns, names=_MINED.names)
+
+    return cells.mapInArrow(run, _MINED).groupBy("field", "value").agg(F.first("parts").alias("parts"))
+
+
+def _with_points(values: DataFrame) -> DataFrame:
+    """(field, value, points) of the values that the plain rule would cut and of which some part is no known value."""
+    values = cut_lineage(values)
+    single = values.where("size(parts) = 1").select("field", F.col("value").alias("part"), F.lit(1).alias("known"))
+    parts = values.where("size(parts) > 1").select("field", "value", F.explode("parts").alias("part")).where("part <> ''")
+    points = parts.join(single, ["field", "part"], "left").groupBy("field", "value").agg(F.count(F.when(F.col("known").isNull(), 1)).alias("points"))
+    return points.where("points > 0")
 
 
 def long_cells(df: DataFrame, key: str, fields: list[str]) -> DataFrame:
@@ -167,25 +195,25 @@ def split_packed(
 ) -> DataFrame:
     """One row (key, field, pos, value) per value; pos counts from 1 within a cell.
 
-    `dictionary` (field, value) adds known whole values.  Up to `max_dictionary_bytes` the dictionary goes to every
-    task as an automaton; a larger one is joined with the candidate runs of the ambiguous cells.
+    `dictionary` (field, value) adds known whole values.  Up to `max_dictionary_bytes` the values that the plain rule
+    would cut go to every task as an automaton; more are joined with the candidate runs of the cells.
     """
     extra = extra_separators or {}
     cells = long_cells(df, key, fields)
-    known = known_values(cells)
+    values = whole_values(cells, extra)
     if dictionary is not None:
-        known = known.unionByName(dictionary.select("field", "value").where("value is not null")).distinct()
-    key_type = cells.schema["key"].dataType
+        given = dictionary.select(F.lit(0).alias("key"), "field", F.concat(F.lit('"'), F.replace("value", F.lit('"'), F.lit('""')), F.lit('"')).alias("cell")).where("cell is not null")
+        values = values.unionByName(whole_values(given, extra)).groupBy("field", "value").agg(F.first("parts").alias("parts"))
     out = T.StructType(
-        [T.StructField(key, key_type), T.StructField("field", T.StringType()), T.StructField("pos", T.IntegerType()), T.StructField("value", T.StringType())]
+        [T.StructField(key, cells.schema["key"].dataType), T.StructField("field", T.StringType()), T.StructField("pos", T.IntegerType()), T.StructField("value", T.StringType())]
     )
-    known = cut_lineage(known)  # read once more below, and not worth a second scan of the cells
+    known = cut_lineage(_with_points(values))  # small beside the cells, and read more than once
     sized = known.agg(F.coalesce(F.sum(F.octet_length("value") + 48), F.lit(0)).alias("bytes")).first()["bytes"]
     if sized > max_dictionary_bytes:
         return _by_join(cells, known, extra, out)
-    words: dict[str, list[str]] = {}
+    words: dict[str, dict[str, int]] = {}
     for r in known.collect():
-        words.setdefault(r["field"], []).append(r["value"])
+        words.setdefault(r["field"], {})[r["value"]] = r["points"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automata = {f: _automaton(w) for f, w in words.items()}
@@ -212,10 +240,10 @@ def _emit(batch: pa.RecordBatch, out: T.StructType, values_of) -> pa.RecordBatch
 def _by_join(cells: DataFrame, known: DataFrame, extra: dict[str, str], out: T.StructType) -> DataFrame:
     """The way for a dictionary without a size bound: candidate runs meet the dictionary in a shuffle join.
 
-    A known value of c commas can only match a run of c+1 pieces, so runs are cut at the longest value of the
+    A known value of n parts can only match a run of n pieces, so runs are no longer than the longest value of the
     dictionary, which loses none.
     """
-    most = known.agg(F.coalesce(F.max(F.size(F.split("value", ","))), F.lit(0)).alias("n")).first()["n"]
+    most = known.agg(F.coalesce(F.max(F.length(F.regexp_replace("value", "[^" + re.escape(HARD_SEPARATORS + SOFT_SEPARATOR + "".join(extra.values())) + "]", ""))), F.lit(0)).alias("n")).first()["n"] + 1
     run_type = T.StructType(
         [T.StructField("field", T.StringType()), T.StructField("cell", T.StringType()), T.StructField("i", T.IntegerType()), T.StructField("j", T.IntegerType()), T.StructField("value", T.StringType())]
     )
@@ -225,25 +253,24 @@ def _by_join(cells: DataFrame, known: DataFrame, extra: dict[str, str], out: T.S
             cols: list[list] = [[], [], [], [], []]
             for field, cell in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 body = _unwrap(cell)
-                if len(_pieces(body, _hard_pattern(extra.get(field, "")))) > 1:
-                    continue
-                pieces = _pieces(body, _SOFT_PATTERN)
+                pieces, _ = _plain_cuts(body, extra.get(field, ""))
                 for i in range(len(pieces)):
                     for j in range(i + 2, min(len(pieces), i + most) + 1):
-                        for c, v in zip(cols, (field, cell, i, j, SOFT_SEPARATOR.join(pieces[i:j]).strip())):
+                        for c, v in zip(cols, (field, cell, i, j, body[pieces[i][0] : pieces[j - 1][1]].strip())):
                             c.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if k in (2, 3) else pa.string()) for k, c in enumerate(cols)], names=run_type.names)
 
-    ambiguous = cells.where(F.contains("cell", F.lit(","))).select("field", "cell").distinct()
     found = (
-        ambiguous.mapInArrow(runs, run_type)
-        .join(known, ["field", "value"], "left_semi")
+        cells.select("field", "cell")
+        .distinct()
+        .mapInArrow(runs, run_type)
+        .join(known, ["field", "value"])
         .groupBy("field", "cell")
-        .agg(F.collect_set(F.struct("i", "j")).alias("known"))
+        .agg(F.collect_set(F.struct("i", "j", "points")).alias("known"))
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield _emit(b, out, lambda cell, field, k: segment_cell(cell, extra.get(field, ""), known={(x["i"], x["j"]) for x in k or []}))
+            yield _emit(b, out, lambda cell, field, k: segment_cell(cell, extra.get(field, ""), known={(x["i"], x["j"]): x["points"] for x in k or []}))
 
     return cells.join(found, ["field", "cell"], "left").select("key", "field", "cell", "known").mapInArrow(cut, out)

@@ -38,11 +38,13 @@ def test_extra_separator_only_for_its_field():
     assert packed.segment_cell("a+b", "+") == ["a", "b"] and packed.segment_cell("a+b") == ["a+b"]
 
 
-def test_known_values_protect_commas_and_the_cheapest_cover_wins():
-    a = packed._automaton(["Trial, Phase II", "Phase II, Review", "Letter, Open, Long"])
+def test_known_values_protect_separators_and_the_best_cover_wins():
+    a = packed._automaton({"Trial, Phase II": 1, "Phase II, Review": 1, "Letter, Open, Long": 2, "Protocol; Amended": 1, "A|B|C": 1, "B|C": 1})
     assert packed.segment_cell("Trial, Phase II, Review", automaton=a) == ["Trial, Phase II", "Review"]
     assert packed.segment_cell("News, Letter, Open, Long", automaton=a) == ["News", "Letter, Open, Long"]
     assert packed.segment_cell("XTrial, Phase II", automaton=a) == ["XTrial", "Phase II"]
+    assert packed.segment_cell("x|Protocol; Amended;y", automaton=a) == ["x", "Protocol; Amended", "y"]
+    assert packed.segment_cell("A|B|C", automaton=a) == ["A|B|C"] and packed.segment_cell('A|"B"|C', automaton=a) == ["A", "B", "C"]
 
 
 def frame(spark, data):
@@ -50,11 +52,28 @@ def frame(spark, data):
 
 
 def test_dictionary_is_mined_and_the_join_agrees_with_the_automaton(spark):
-    df = frame(spark, [(1, '"Trial, Phase II"|Review', "clash", 9), (2, "Trial, Phase II, Review", None, None), (3, None, None, None), (4, "  ", None, None), (2, "Trial, Phase II, Review", None, None)])
-    want = [(1, "types", 1, "Trial, Phase II"), (1, "types", 2, "Review")] + 2 * [(2, "types", 1, "Trial, Phase II"), (2, "types", 2, "Review")]
+    df = frame(
+        spark,
+        [
+            (1, '"Trial, Phase II"|Review', "clash", 9), (2, "Trial, Phase II, Review", None, None), (3, None, None, None), (4, "  ", None, None), (2, "Trial, Phase II, Review", None, None),
+            (5, "Pain, Chronic | Cough", None, None), (6, "Cough, Pain, Chronic", None, None), (7, '"Study; Amended"', None, None), (8, "Cough|Study; Amended", None, None),
+            (9, '"Cough, Fever"|Fever', None, None), (10, "Cough, Fever", None, None), (11, "Unknown, Thing", None, None),
+        ],
+    )
+    want = {
+        1: ["Trial, Phase II", "Review"], 2: ["Trial, Phase II", "Review"] * 2, 5: ["Pain, Chronic", "Cough"], 6: ["Cough", "Pain, Chronic"], 7: ["Study; Amended"], 8: ["Cough", "Study; Amended"],
+        9: ["Cough, Fever", "Fever"], 10: ["Cough", "Fever"], 11: ["Unknown", "Thing"],
+    }
     for most in (packed.MAX_DICTIONARY_BYTES, 0):
-        got = packed.split_packed(df, "id", ["types"], max_dictionary_bytes=most)
-        assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+        got = packed.split_packed(df, "id", ["types"], max_dictionary_bytes=most).collect()
+        assert sorted((r.id, r.value) for r in got) == sorted((i, v) for i, vs in want.items() for v in vs)
+        assert all(r.pos == want[r.id].index(r.value) + 1 for r in got)
+
+
+def test_a_given_dictionary_counts_too(spark):
+    df = frame(spark, [(1, "Alpha, Beta, Gamma", None, None)])
+    given = spark.createDataFrame([("types", "Beta, Gamma"), ("other", "Alpha, Beta"), ("types", None)], "field string, value string")
+    assert [r.value for r in packed.split_packed(df, "id", ["types"], dictionary=given).orderBy("pos").collect()] == ["Alpha", "Beta, Gamma"]
 
 
 def test_empty_table(spark):
