@@ -1,16 +1,20 @@
-"""Bibliographic XML records (articles and books) and passage files of a second full-text format."""
+"""Bibliographic XML records (articles and books) and passage files of a second full-text format.
+
+Where a field stands is a table of paths, one per sort of record; the parser only reads them off, and dates and years
+are put together by column expressions.
+"""
 
 from __future__ import annotations
 
-import re
-import xml.etree.ElementTree as ET
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .xml_text import attr, distinct, local, parse, plain_text
+from ..functions import dates
+from .xml_text import NONE, Document, distinct, parse
 
 _S = T.StringType()
 RECORD_COLUMNS = (
@@ -18,100 +22,71 @@ RECORD_COLUMNS = (
     "book_title", "publisher", "record_type", "has_pmc",
 )
 RECORD_TYPE = T.StructType([*[T.StructField(c, _S) for c in RECORD_COLUMNS], T.StructField("source_file", _S), T.StructField("error", _S)])
-_MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec".split()
-
-
-def _at(node: ET.Element | None, path: str) -> str:
-    return plain_text(node.find(path)) if node is not None else ""
-
-
-def partial_date(node: ET.Element | None) -> str:
-    """Year with what is known of month, day or season; else the free text."""
-    year = _at(node, "Year")
-    if not year:
-        return _at(node, "MedlineDate")
-    month, day, season = (_at(node, x) for x in ("Month", "Day", "Season"))
-    key = month[:3].casefold()
-    m = f"{_MONTHS.index(key) + 1:02d}" if key in _MONTHS else month
-    if m.isdigit():
-        return f"{year}-{m}-{int(day):02d}" if day.isdigit() else f"{year}-{m}"
-    return " ".join(x for x in ((year, m, day) if m else (year, season)) if x)
-
-
-def _abstract(node: ET.Element) -> str:
-    lines = []
-    for s in node.findall("Abstract/AbstractText"):
-        if text := plain_text(s):
-            label = (s.get("Label") or "").strip()
-            lines.append(f"{label}: {text}" if label else text)
-    return "\n".join(lines)
-
-
-def _authors(node: ET.Element) -> str:
-    names = (
-        _at(a, "CollectiveName") or " ".join(x for x in (_at(a, "ForeName") or _at(a, "Initials"), _at(a, "LastName"), _at(a, "Suffix")) if x)
-        for a in node.findall("AuthorList/Author")
-    )
-    return "|".join(n for n in names if n)
-
-
-def _mesh(node: ET.Element) -> str:
-    heads = [d for h in node.findall("MeshHeadingList/MeshHeading") if (d := h.find("DescriptorName")) is not None and plain_text(d)]
-    return "|".join(plain_text(d) + (" [major]" if d.get("MajorTopicYN") == "Y" else "") for d in heads)
-
-
-def _ids(listed: list[ET.Element], located: list[ET.Element]) -> tuple[str, str]:
-    pmcid = doi = ""
-    for e in listed:
-        kind, value = (e.get("IdType") or "").casefold(), plain_text(e)
-        if kind == "pmc" and not pmcid:
-            pmcid = value if value.upper().startswith("PMC") else f"PMC{value}"
-        elif kind == "doi":
-            doi = doi or value
-    for e in located:
-        if not doi and (e.get("EIdType") or "").casefold() == "doi":
-            doi = plain_text(e)
-    return pmcid, doi
-
-
-def _row(kind: str, core: ET.Element, pmid: str, ids: tuple[str, str], date: str, **more: str) -> dict:
-    if not pmid:
-        raise ValueError(f"{kind} without an id")
-    year = re.search(r"\b(\d{4})\b", date)
-    types = [plain_text(t) for p in ("PublicationTypeList/PublicationType", "PublicationType") for t in core.findall(p)]
-    row = {
-        "pmid": pmid, "pmcid": ids[0], "doi": ids[1], "title": _at(core, "ArticleTitle"), "abstract": _abstract(core), "publication_date": date,
-        "publication_year": year.group(1) if year else "", "publication_types": "|".join(t for t in types if t),
-        "language": "|".join(t for e in core.findall("Language") if (t := plain_text(e))), "authors": _authors(core), "record_type": kind, "has_pmc": "true" if ids[0] else "false",
-        "journal": "", "mesh_terms": "", "book_title": "", "publisher": "",
-    }
-    return row | more
-
-
-def article_record(node: ET.Element) -> dict:
-    citation = node.find("MedlineCitation")
-    art = citation.find("Article") if citation is not None else None
-    if art is None:
-        raise ValueError("article record without an article")
-    dates = [d for d in (art.find("Journal/JournalIssue/PubDate"), art.find("ArticleDate")) if d is not None]
-    best = next((d for d in dates if _at(d, "Year")), None)
-    date = partial_date(best) if best is not None else next((t for d in dates if (t := _at(d, "MedlineDate"))), "")
-    ids = _ids(node.findall("PubmedData/ArticleIdList/ArticleId"), art.findall("ELocationID"))
-    return _row("pubmed_article", art, _at(citation, "PMID"), ids, date, journal=_at(art, "Journal/Title"), mesh_terms=_mesh(citation))
-
-
-def book_record(node: ET.Element) -> dict:
-    doc = node.find("BookDocument")
-    if doc is None:
-        raise ValueError("book record without a document")
-    book = doc.find("Book")
-    day = book.find("PubDate") if book is not None else None
-    title = _at(book, "BookTitle")
-    ids = _ids(doc.findall("ArticleIdList/ArticleId"), doc.findall(".//ELocationID"))
-    return _row(
-        "pubmed_book_article", doc, _at(doc, "PMID"), ids, partial_date(day if day is not None else doc.find("ArticleDate")),
-        title=_at(doc, "ArticleTitle") or title, book_title=title, publisher=_at(book, "Publisher/PublisherName"), mesh_terms=_mesh(doc),
-    )
+
+# Where the fields of each sort of record stand; of several paths the first with a text counts.
+DATE_PARTS = ("year", "month", "day", "season", "medlinedate")
+PATHS = {
+    "pubmedarticle": {
+        "record_type": "pubmed_article", "needs": "medlinecitation/article", "pmid": ["medlinecitation/pmid"], "title": ["medlinecitation/article/articletitle"],
+        "journal": ["medlinecitation/article/journal/title"], "book_title": [], "publisher": [], "abstract": "medlinecitation/article/abstract/abstracttext",
+        "publication_types": ["medlinecitation/article/publicationtypelist/publicationtype", "medlinecitation/article/publicationtype"],
+        "language": ["medlinecitation/article/language"], "authors": "medlinecitation/article/authorlist/author", "mesh_terms": "medlinecitation/meshheadinglist/meshheading/descriptorname",
+        "ids": ["pubmeddata/articleidlist/articleid", "medlinecitation/article/elocationid"], "dates": ["medlinecitation/article/journal/journalissue/pubdate", "medlinecitation/article/articledate"],
+    },
+    "pubmedbookarticle": {
+        "record_type": "pubmed_book_article", "needs": "bookdocument", "pmid": ["bookdocument/pmid"], "title": ["bookdocument/articletitle", "bookdocument/book/booktitle"],
+        "journal": [], "book_title": ["bookdocument/book/booktitle"], "publisher": ["bookdocument/book/publisher/publishername"], "abstract": "bookdocument/abstract/abstracttext",
+        "publication_types": ["bookdocument/publicationtypelist/publicationtype", "bookdocument/publicationtype"],
+        "language": ["bookdocument/language"], "authors": "bookdocument/authorlist/author", "mesh_terms": "bookdocument/meshheadinglist/meshheading/descriptorname",
+        "ids": ["bookdocument/articleidlist/articleid", "bookdocument/elocationid", "bookdocument/book/elocationid"], "dates": ["bookdocument/book/pubdate", "bookdocument/articledate"],
+    },
+}
+NAME_PATHS = (("forename", "initials"), ("lastname",), ("suffix",))
+_RAW = T.StructType([*[T.StructField(c, _S) for c in RECORD_COLUMNS if not c.startswith("publication_d") and c not in ("publication_year", "has_pmc")], *[T.StructField(p, _S) for p in DATE_PARTS], T.StructField("source_file", _S), T.StructField("error", _S)])
+
+
+def _first(doc: Document, i: int, paths: list[str] | tuple[str, ...]) -> str:
+    return next((t for p in paths if (t := doc.plain(doc.at(i, p)))), "")
+
+
+def _all(doc: Document, i: int, paths: list[str]) -> list[str]:
+    return [t for p in paths for e in doc.along(i, p) if (t := doc.plain(e))]
+
+
+def _labelled(doc: Document, e: int) -> str:
+    text, label = doc.plain(e), doc.attr(e, "label")
+    return f"{label}: {text}" if label and text else text
+
+
+def _name(doc: Document, e: int) -> str:
+    return _first(doc, e, ["collectivename"]) or " ".join(filter(None, (_first(doc, e, p) for p in NAME_PATHS)))
+
+
+def _heading(doc: Document, e: int) -> str:
+    text = doc.plain(e)
+    return text + " [major]" if text and doc.attr(e, "majortopicyn") == "Y" else text
+
+
+def raw_record(doc: Document, i: int) -> dict[str, str]:
+    """The fields of the record element i with the parts of its date; ValueError without the part it needs or an id."""
+    where = PATHS[doc.name[i]]
+    if doc.at(i, where["needs"]) == NONE:
+        raise ValueError(f"{where['record_type']} without {where['needs']}")
+    row = {c: _first(doc, i, where[c]) for c in ("pmid", "title", "journal", "book_title", "publisher")}
+    if not row["pmid"]:
+        raise ValueError(f"{where['record_type']} without an id")
+    row |= {c: "|".join(_all(doc, i, where[c])) for c in ("publication_types", "language")}
+    for column, glue, read in (("abstract", "\n", _labelled), ("authors", "|", _name), ("mesh_terms", "|", _heading)):
+        row[column] = glue.join(filter(None, (read(doc, e) for e in doc.along(i, where[column]))))
+    ids: dict[str, str] = {}
+    for e in (e for p in where["ids"] for e in doc.along(i, p)):
+        sort = (doc.attr(e, "idtype") or doc.attr(e, "eidtype")).casefold()
+        if text := doc.plain(e):
+            ids.setdefault(sort, text)
+    number = ids.get("pmc", "")
+    row |= {"pmcid": number if not number or number.upper().startswith("PMC") else f"PMC{number}", "doi": ids.get("doi", ""), "record_type": where["record_type"]}
+    parts = [{p: _first(doc, e, [p]) for p in DATE_PARTS} for d in where["dates"] for e in doc.along(i, d)[:1]]
+    return row | next((d for sure in ("year", "medlinedate") for d in parts if d[sure]), dict.fromkeys(DATE_PARTS, ""))
 
 
 def _frame(rows: list[dict], names: list[str]) -> pd.DataFrame:
@@ -120,69 +95,67 @@ def _frame(rows: list[dict], names: list[str]) -> pd.DataFrame:
 
 def parse_records(files: DataFrame) -> DataFrame:
     """Rows of RECORD_TYPE from (source_file, content): one per record, or one with the error of a file or record."""
-    readers = {"PubmedArticle": article_record, "PubmedBookArticle": book_record}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = []
+            rows: list[dict] = []
             for name, content in zip(pdf["source_file"], pdf["content"]):
                 try:
-                    found = [(readers[e.tag], e) for e in parse(content).iter() if e.tag in readers]
+                    doc = parse(content)
                 except ValueError as e:
                     rows.append({"source_file": name, "error": str(e)})
                     continue
-                for read, e in found:
+                for i in (i for i, n in enumerate(doc.name) if n in PATHS):
                     try:
-                        rows.append(read(e) | {"source_file": name, "error": None})
-                    except ValueError as x:
-                        rows.append({"source_file": name, "error": str(x)})
-            yield _frame(rows, RECORD_TYPE.names)
+                        rows.append(raw_record(doc, i) | {"source_file": name})
+                    except ValueError as e:
+                        rows.append({"source_file": name, "error": str(e)})
+            yield _frame(rows, _RAW.names)
 
-    return files.select("source_file", "content").mapInPandas(run, RECORD_TYPE)
+    raw = files.select("source_file", "content").mapInPandas(run, _RAW)
+    good = F.col("error").isNull()
+    date = F.when(good, dates.partial_date(*[F.col(p) for p in DATE_PARTS]))
+    out = raw.withColumn("publication_date", date).withColumn("publication_year", F.regexp_extract("publication_date", r"\b(\d{4})\b", 1))
+    out = out.withColumn("has_pmc", F.when(good, F.when(F.col("pmcid") != "", "true").otherwise("false")))
+    return out.select(*RECORD_TYPE.names)
 
 
-def record_kind(root: ET.Element, pmid: str) -> str:
+def record_kind(doc: Document, pmid: str) -> str:
     """article, book, other or not_found: what a response holds for an id."""
-    for tag, kind in (("PubmedArticle", "article"), ("PubmedBookArticle", "book")):
-        if any(plain_text(i) == pmid for e in root.iter(tag) for i in e.iter("PMID")):
+    with_id = [i for i, n in enumerate(doc.name) if n == "pmid" and doc.plain(i) == pmid]
+    for name, kind in (("pubmedarticle", "article"), ("pubmedbookarticle", "book")):
+        if any(i < k <= doc.last[i] for i, n in enumerate(doc.name) if n == name for k in with_id):
             return kind
-    return "other" if any(plain_text(i) == pmid for i in root.iter("PMID")) else "not_found"
+    return "other" if with_id else "not_found"
 
 
 PASSAGE_TYPE = T.StructType(
     [T.StructField(c, _S) for c in ("source_file", "pmcid", "pmid", "title")] + [T.StructField(c, T.BooleanType()) for c in ("has_abstract", "has_body")] + [T.StructField("license", _S), T.StructField("error", _S)]
 )
-# Section kinds of passages.
-_TITLE, _BODY = {"title", "article_title"}, {"body", "results", "introduction", "discussion", "methods"}
+# Section kinds of passages, and the keys of identifiers.
+TITLES, BODIES = {"title", "article_title"}, {"body", "results", "introduction", "discussion", "methods"}
+PMC_KEYS, PMID_KEYS = ("pmcid", "article_id_pmc", "article_id_pmcid"), ("pmid", "article_id_pmid")
 
 
 def passage_document(content: bytes | str) -> dict:
     """Ids, title, licence and which parts a passage file has; ValueError without a document."""
-    docs = [e for e in parse(content).iter() if local(e.tag) == "document"]
-    if not docs:
+    doc = parse(content)
+    tops = [i for i, n in enumerate(doc.name) if n == "document"]
+    if not tops:
         raise ValueError("no document")
-    ids: dict[str, str] = {}
-    licence, titles, kinds = [], [], set()
-    for doc in docs:
-        for e in doc.iter():
-            if local(e.tag) == "infon":
-                key, value = attr(e, "key").casefold().replace("-", "_"), plain_text(e)
-                if key in ("pmcid", "article_id_pmc", "article_id_pmcid") and value:
-                    ids.setdefault("pmcid", f"PMC{value}" if value.isdigit() else value)
-                elif key in ("pmid", "article_id_pmid") and value:
-                    ids.setdefault("pmid", value)
-                elif "license" in key:
-                    licence.append(value)
-            elif local(e.tag) == "passage":
-                text = next((t for c in reversed(e) if local(c.tag) == "text" and (t := plain_text(c))), "")
-                kind = next((plain_text(c).casefold() for c in reversed(e) if local(c.tag) == "infon" and attr(c, "key").casefold() in ("section_type", "type")), "")
-                if text:
-                    kinds.add("title" if kind in _TITLE else "body" if kind in _BODY else kind)
-                    if kind in _TITLE:
-                        titles.append(text)
+    inside = sorted({j for t in tops for j in doc.below(t)})
+    notes = [(doc.attr(i, "key").casefold().replace("-", "_"), doc.plain(i)) for i in inside if doc.name[i] == "infon"]
+    number = next((v for k, v in notes if k in PMC_KEYS and v), "")
+    passages: list[tuple[str, str]] = []
+    for p in (i for i in inside if doc.name[i] == "passage"):
+        kinds = [doc.plain(c).casefold() for c in doc.children(p) if doc.name[c] == "infon" and doc.attr(c, "key").casefold() in ("section_type", "type")]
+        texts = [t for c in doc.children(p) if doc.name[c] == "text" and (t := doc.plain(c))]
+        if texts:
+            passages.append((kinds[-1] if kinds else "", texts[-1]))
     return {
-        "pmcid": ids.get("pmcid", ""), "pmid": ids.get("pmid", ""), "title": " ".join(titles), "has_abstract": "abstract" in kinds, "has_body": "body" in kinds,
-        "license": " | ".join(distinct(licence)),
+        "pmcid": f"PMC{number}" if number.isdigit() else number, "pmid": next((v for k, v in notes if k in PMID_KEYS and v), ""),
+        "title": " ".join(t for k, t in passages if k in TITLES), "has_abstract": any(k == "abstract" for k, _ in passages), "has_body": any(k in BODIES for k, _ in passages),
+        "license": " | ".join(distinct(v for k, v in notes if "license" in k)),
     }
 
 

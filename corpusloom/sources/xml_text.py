@@ -1,107 +1,170 @@
-"""Mixed-content XML text: a flat stream of fragments, joined by one boundary rule."""
+"""XML documents as flat arrays in document order, and the running text of any part of them.
+
+One pass over the parser's events numbers the elements and keeps for each its name, attributes, parent, the last element
+below it and the range of text fragments inside it.  Everything else is a walk over such a range: whatever lies below
+element i is i+1 .. last[i], and a subtree is left out by going on behind its last element.
+"""
 
 from __future__ import annotations
 
-import xml.etree.ElementTree as ET
-from collections.abc import Iterator
+from collections.abc import Collection, Iterable, Iterator
+from xml.parsers import expat
 
-# Subtrees whose text is no running text, and elements that stand apart from their neighbours.
+# Subtrees whose text is no running text, elements that stand apart from their neighbours, subtrees with
+# metadata of other articles, and the names of sections.
 NO_RUNNING_TEXT = frozenset(
-    "back caption fig fig-group fn fn-group graphic inline-graphic media ref ref-list reference-list "
-    "supplementary-material supplementary-material-group table table-wrap table-wrap-group".split()
-)
+    [
+        "back", "caption", "fig", "fig-group", "fn", "fn-group", "graphic", "inline-graphic", "media", "ref", "ref-list", "reference-list",
+        "supplementary-material", "supplementary-material-group", "table", "table-wrap", "table-wrap-group",
+    ]
+)
 APART = frozenset(["disp-quote", "list", "list-item", "p"])
-FOREIGN_METADATA = frozenset("article back ref ref-list related-article related-object sub-article supplementary-material".split())
+FOREIGN_METADATA = frozenset(["article", "back", "ref", "ref-list", "related-article", "related-object", "sub-article", "supplementary-material"])
 SECTION = frozenset(["sec", "abstract-sec", "abstract-section"])
 
-
-def local(tag) -> str:
-    """Lower-case name without name space; "" for comments and instructions."""
-    return tag.rpartition("}")[2].lower() if isinstance(tag, str) else ""
-
-
-def attr(node: ET.Element | None, name: str) -> str:
-    """Value of the first attribute with that local name, stripped."""
-    if node is not None:
-        for k, v in node.attrib.items():
-            if local(k) == name:
-                return v.strip()
-    return ""
-
-
-def child(node: ET.Element | None, name: str) -> ET.Element | None:
-    return next((c for c in node if local(c.tag) == name), None) if node is not None else None
-
-
-def below(node: ET.Element | None, names: frozenset[str] | set[str], stop: frozenset[str] | set[str] = FOREIGN_METADATA) -> Iterator[ET.Element]:
-    """Descendants with one of the names in document order; subtrees of the stop names are not entered."""
-    stack = list(reversed(node)) if node is not None else []
-    while stack:
-        e = stack.pop()
-        name = local(e.tag)
-        if name in stop:
-            continue
-        if name in names:
-            yield e
-        stack.extend(reversed(e))
-
-
-def _fragments(node: ET.Element, skip: frozenset[str] | set[str]) -> Iterator[tuple[str, bool]]:
-    """(text, tight) in document order; a tight fragment begins or follows a cross reference."""
-    work: list[tuple] = [("open", node, False)]
-    while work:
-        what, x, tight = work.pop()
-        if what == "text":
-            yield x, tight
-            continue
-        yield x.text or "", tight
-        later: list[tuple] = []
-        for c in x:
-            name, tail = local(c.tag), c.tail or ""
-            cross = name == "xref"
-            if name and name not in skip:
-                if name in APART:
-                    later.append(("text", " ", False))
-                later.append(("open", c, cross))
-                if name in APART:
-                    later.append(("text", " ", False))
-            later.append(("text", tail, cross))
-        work.extend(reversed(later))
-
-
-def running_text(node: ET.Element | None, skip: frozenset[str] | set[str] = NO_RUNNING_TEXT) -> str:
-    """Text of a node without the skipped subtrees; blanks collapsed.
-
-    Where two fragments meet without a blank, one is put between two letters, and around cross references also between
-    letters and digits.
-    """
-    if node is None:
-        return ""
-    out: list[str] = []
-    last, pending = "", False
-    for text, tight in _fragments(node, skip):
-        pending = pending or tight
-        if not text:
-            continue
-        a, b = last[-1:], text[0]
-        if a and ((a.isalpha() and b.isalpha()) or (pending and a.isalnum() and b.isalnum())):
-            out.append(" ")
-        out.append(text)
-        last, pending = text, False
-    return " ".join("".join(out).split())
-
-
-def plain_text(node: ET.Element | None) -> str:
-    """All text of a node, blanks collapsed."""
-    return " ".join("".join(node.itertext()).split()) if node is not None else ""
-
-
-def distinct(values) -> list[str]:
-    return list(dict.fromkeys(v for v in values if v))
-
-
-def parse(content: bytes | str) -> ET.Element:
+_TEXT, _APART, _CROSS = 0, 1, 2
+NONE = -1
+
+
+def _plain_name(name: str) -> str:
+    return name.rpartition("}")[2].lower()
+
+
+class Document:
+    """Elements 0, 1, ... in document order; NONE stands for an element that is not there."""
+
+    def __init__(self) -> None:
+        self.name: list[str] = []
+        self.attrs: list[dict[str, str]] = []
+        self.up: list[int] = []
+        self.last: list[int] = []
+        self.first_fragment: list[int] = []
+        self.stop_fragment: list[int] = []
+        self.fragments: list[str] = []
+        self.sorts: list[int] = []
+
+    def below(self, i: int, closed: Collection[str] = ()) -> Iterator[int]:
+        """Elements below i; subtrees of closed names are left out whole."""
+        j, end = i + 1, self.last[i] if i >= 0 else NONE
+        while j <= end:
+            if self.name[j] in closed:
+                j = self.last[j] + 1
+            else:
+                yield j
+                j += 1
+
+    def named(self, i: int, names: Collection[str], closed: Collection[str] = FOREIGN_METADATA) -> Iterator[int]:
+        return (j for j in self.below(i, closed) if self.name[j] in names)
+
+    def children(self, i: int) -> Iterator[int]:
+        j, end = i + 1, self.last[i] if i >= 0 else NONE
+        while j <= end:
+            yield j
+            j = self.last[j] + 1
+
+    def along(self, i: int, path: str) -> list[int]:
+        """Elements reached by a path of child names."""
+        level = [i] if i >= 0 else []
+        for step in path.split("/"):
+            level = [c for p in level for c in self.children(p) if self.name[c] == step]
+        return level
+
+    def at(self, i: int, path: str) -> int:
+        return next(iter(self.along(i, path)), NONE)
+
+    def attr(self, i: int, name: str) -> str:
+        """Value of the attribute with that local name, stripped; "" if there is none."""
+        return self.attrs[i].get(name, "").strip() if i >= 0 else ""
+
+    def plain(self, i: int) -> str:
+        """All text inside an element, blanks collapsed."""
+        if i < 0:
+            return ""
+        span = range(self.first_fragment[i], self.stop_fragment[i])
+        return " ".join("".join(self.fragments[k] for k in span if self.sorts[k] == _TEXT).split())
+
+    def running(self, i: int, left_out: Collection[str] = NO_RUNNING_TEXT) -> str:
+        """Text inside an element without the subtrees left out; blanks collapsed.
+
+        Where two fragments meet without a blank, one is put between two letters, and around cross references also
+        between letters and digits.
+        """
+        if i < 0:
+            return ""
+        kept = bytearray(b"\x01") * (self.stop_fragment[i] - self.first_fragment[i])
+        base, j = self.first_fragment[i], i + 1
+        while j <= self.last[i]:
+            if self.name[j] in left_out:
+                lo, hi = self.first_fragment[j] - base, self.stop_fragment[j] - base
+                kept[lo:hi] = bytes(hi - lo)
+                j = self.last[j]
+            j += 1
+        out: list[str] = []
+        before, cross = "", False
+        for k, keep in enumerate(kept, base):
+            if not keep:
+                continue
+            if self.sorts[k] == _CROSS:
+                cross = True
+                continue
+            text = self.fragments[k]
+            if before and ((before.isalpha() and text[0].isalpha()) or (cross and before.isalnum() and text[0].isalnum())):
+                out.append(" ")
+            out.append(text)
+            before, cross = text[-1], False
+        return " ".join("".join(out).split())
+
+
+def parse(content: bytes | str) -> Document:
+    """ValueError if the content is not well-formed."""
+    d = Document()
+    open_: list[int] = []
+
+    def put(text: str, sort: int) -> None:
+        d.fragments.append(text)
+        d.sorts.append(sort)
+
+    def start(name: str, attrs: dict[str, str]) -> None:
+        name = _plain_name(name)
+        if name in APART:
+            put(" ", _APART)
+        if name == "xref":
+            put("", _CROSS)
+        d.name.append(name)
+        # of attributes that differ in their name space only, the first counts
+        d.attrs.append({_plain_name(k): v for k, v in reversed(attrs.items())})
+        d.up.append(open_[-1] if open_ else NONE)
+        d.last.append(NONE)
+        d.first_fragment.append(len(d.fragments))
+        d.stop_fragment.append(NONE)
+        open_.append(len(d.name) - 1)
+
+    def end(_: str) -> None:
+        i = open_.pop()
+        d.last[i], d.stop_fragment[i] = len(d.name) - 1, len(d.fragments)
+        if d.name[i] == "xref":
+            put("", _CROSS)
+        if d.name[i] in APART:
+            put(" ", _APART)
+
+    def skipped(name: str, _: bool) -> None:
+        raise ValueError(f"not well-formed XML: undefined entity {name}")
+
+    reader = expat.ParserCreate(namespace_separator="}")
+    reader.buffer_text = True
+    reader.StartElementHandler, reader.EndElementHandler, reader.SkippedEntityHandler = start, end, skipped
+    reader.CharacterDataHandler = lambda text: put(text, _TEXT)
     try:
-        return ET.fromstring(content)
-    except ET.ParseError as e:
+        reader.Parse(content, True)
+    except expat.ExpatError as e:
         raise ValueError(f"not well-formed XML: {e}") from e
+    return d
+
+
+def running_text(document: Document, i: int = 0) -> str:
+    return document.running(i)
+
+
+def distinct(values: Iterable[str]) -> list[str]:
+    """Values that are not empty, in order of first occurrence."""
+    return list(dict.fromkeys(filter(None, values)))
