@@ -129,6 +129,23 @@ def record_kind(doc: Document, pmid: str) -> str:
     return "other" if with_id else "not_found"
 
 
+def classify_responses(files: DataFrame) -> DataFrame:
+    """(source_file, pmid, kind) of (source_file, pmid, content): what each response holds for the id asked for; invalid if it can't be read."""
+    out = "source_file string, pmid string, kind string"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for name, pmid, content in zip(pdf["source_file"], pdf["pmid"], pdf["content"]):
+                try:
+                    rows.append((name, pmid, record_kind(parse(content), pmid)))
+                except ValueError:
+                    rows.append((name, pmid, "invalid"))
+            yield pd.DataFrame(rows, columns=["source_file", "pmid", "kind"])
+
+    return files.select("source_file", "pmid", "content").mapInPandas(run, out)
+
+
 PASSAGE_TYPE = T.StructType(
     [T.StructField(c, _S) for c in ("source_file", "pmcid", "pmid", "title")] + [T.StructField(c, T.BooleanType()) for c in ("has_abstract", "has_body")] + [T.StructField("license", _S), T.StructField("error", _S)]
 )
