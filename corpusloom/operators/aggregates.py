@@ -73,21 +73,29 @@ def provenance(df: DataFrame, key: str, sets: list[str], least: str | None = Non
     if least:
         aggs.append(F.min(least).alias(least))
     for c, out in (lists or {}).items():
-        pairs = F.array_sort(F.collect_list(F.struct(F.col(seq), F.col(c).cast("string").alias("v"))))
+        # equal pairs say the same, so a set holds them
+        pairs = F.array_sort(F.collect_set(F.struct(F.col(seq), F.col(c).cast("string").alias("v"))))
         aggs.append(F.array_join(F.transform(pairs, lambda p: p["v"]), "|").alias(out))
     return df.groupBy(key).agg(*aggs)
 
 
 def merge_packed(df: DataFrame, key: str, packed: dict[str, str], seq: str, least: str | None = None) -> DataFrame:
-    """Per key: packed cells (column: separator) merged by first occurrence; the least of a digit-only number."""
-    aggs: list[Column] = []
-    for c, sep in packed.items():
-        cells = F.array_sort(F.collect_list(F.struct(F.col(seq).alias("s"), split_list(c, sep).alias("v"))))
-        aggs.append(F.array_join(F.array_distinct(F.flatten(F.transform(cells, lambda x: x["v"]))), sep).alias(c))
+    """Per key: packed cells (column: separator) merged by first occurrence; the least of a digit-only number.
+
+    Rows without a key are a group of their own.  What is gathered per key are its distinct values.
+    """
     if least:
         n = F.when(F.trim(least).rlike("^[0-9]+$"), F.trim(least).try_cast("bigint"))
-        aggs.append(F.min(n).alias(least))
-    return df.groupBy(key).agg(*aggs)
+        out = df.groupBy(key).agg(F.min(n).alias(least))
+    else:
+        out = df.select(key).distinct()
+    for c, sep in packed.items():
+        # each distinct value once, with its first place, before anything is gathered
+        values = df.select(F.col(key).alias("_k"), F.col(seq).alias("_s"), F.posexplode(split_list(c, sep)).alias("_p", "_v"))
+        first = values.groupBy("_k", "_v").agg(F.min(F.struct("_s", "_p")).alias("_at"))
+        one = first.groupBy("_k").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_at", "_v"))), lambda x: x["_v"]), sep).alias(c))
+        out = out.join(one, F.col(key).eqNullSafe(F.col("_k")), "left").drop("_k").na.fill("", [c])
+    return out.select(key, *packed, *([least] if least else []))
 
 
 def keep_first(df: DataFrame, keys: list[str], seq: str) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 def numeric_then_text(c: str) -> list[Column]:
     """Sort keys: numbers first and ascending, then other strings as such."""
@@ -29,13 +31,26 @@ def hash_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
 
 
 def evenly_spaced(df: DataFrame, order: list[Column], count: int = 5) -> DataFrame:
-    """`count` rows at the places round(i * (n - 1) / (count - 1)), halves to even."""
+    """`count` rows at the places round(i * (n - 1) / (count - 1)) of a complete order, halves to even."""
     n = df.count()
     if n == 0 or count < 1:
         return df.limit(0)
     at = sorted({round(i * (n - 1) / (count - 1)) for i in range(count)} if count > 1 else {0})
-    w = Window.orderBy(*order)
-    return df.withColumn("_i", F.row_number().over(w) - 1).where(F.col("_i").isin(at)).drop("_i")
+    return numbered(df, order).where(F.col("_i").isin(at)).drop("_i")
+
+
+def numbered(df: DataFrame, order: list[Column], out: str = "_i") -> DataFrame:
+    """Rows with their place in a complete order, from 0, without a sort in one task.
+
+    Rows are range-partitioned by the order and sorted within; each partition begins where the counts of the ones before
+    it end (one number per partition).
+    """
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(width, *order).sortWithinPartitions(*order)
+    parts = cut_lineage(ranged.select("*", F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().alias("_m")))
+    sizes = parts.groupBy("_p").agg(F.count("*").alias("_n"), F.min("_m").alias("_first"))
+    starts = sizes.select("_p", "_first", (F.sum("_n").over(Window.orderBy("_p")) - F.col("_n")).alias("_start"))
+    return parts.join(F.broadcast(starts), "_p").withColumn(out, F.col("_start") + F.col("_m") - F.col("_first")).drop("_p", "_m", "_first", "_start")
 
 
 def first_of(df: DataFrame, order: list[Column], n: int) -> DataFrame:
@@ -53,8 +68,9 @@ def rank_within(df: DataFrame, group: str, order: list[Column], out: str, only:
     return df.withColumn(out, F.when(F.col(group).isin(*only), r) if only else r)
 
 
-def batch_number(order: list[Column], size: int) -> Column:
-    return F.floor((F.row_number().over(Window.orderBy(*order)) - 1) / size)
+def batch_number(df: DataFrame, order: list[Column], size: int, out: str = "batch") -> DataFrame:
+    """Rows with the number of their batch of `size` rows in a complete order, from 0."""
+    return numbered(df, order, out).withColumn(out, F.floor(F.col(out) / size))
 
 
 def redundant_tail(chunks: DataFrame, group: list[str], index: str, text: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,6 +14,9 @@ from pyspark.sql import types as T
 
 from ..functions.ids import canonical_json, uuid5
 
+EMBED_ROWS = 1024
+_WORD = re.compile("[a-z0-9]+")
+
 
 def dot(a: Column | str, b: Column | str) -> Column:
     a, b = (F.col(x) if isinstance(x, str) else x for x in (a, b))
@@ -40,13 +45,22 @@ def _matrix(col: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
     return good, np.nan_to_num(flat).reshape(len(good), dim)
 
 
-def cosine_top_k(points: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "id", vector: str = "vector", block: int = 2000) -> DataFrame:
+def cosine_top_k(points: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "id", vector: str = "vector", block: int = 2000, tile: int = 1 << 20) -> DataFrame:
     """(query_id, id, score, rank): the k most similar points of every query, exact.
 
     Queries (query_id, vector) are a stated set; they go to the tasks in blocks of `block`, as one matrix, and each
-    batch of points keeps only its k best per query before anything is shuffled.  Ties go to the lesser id; a zero
-    vector scores 0; points without a vector of the queries' dimension are left out.
+    batch of points keeps only its k best per query before anything is shuffled; at most `tile` scores are held at once.
+    Scores are rounded to 12 digits before they are compared, here and in the final order, so ties go to the lesser id
+    however the points are partitioned.  A zero vector scores 0; points without a vector of the queries' dimension are
+    left out.
     """
+    found = _near(points, queries, k, id_col, vector, block, tile)
+    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col(id_col))
+    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def _near(points: DataFrame, queries: DataFrame, k: int, id_col: str = "id", vector: str = "vector", block: int = 2000, tile: int = 1 << 20) -> DataFrame:
+    """(query_id, id, score): the k best of every batch of points, among them the k best of all."""
     check_top_k(k)
     spark = points.sparkSession
     q_rows = queries.select("query_id", "vector").where("query_id is not null and vector is not null")
@@ -72,35 +86,37 @@ def cosine_top_k(points: DataFrame, queries: DataFrame, k: int = 5, id_col: str
                 good, m = _matrix(batch.column(1), dim)
                 if not len(good):
                     continue
-                score = unit @ _unit(m).T
                 keys = batch.column(0).take(pa.array(good))
                 by_id = pa.compute.sort_indices(keys).to_numpy()
                 place = np.empty(len(good), np.int64)
                 place[by_id] = np.arange(len(good))
-                take = min(k, len(good))
-                # everything at or above the k-th best score stays, so ties are settled by the order below
-                kth = np.partition(-score, take - 1, axis=1)[:, take - 1 : take]
-                qi, pi = np.nonzero(-score <= kth + 1e-15)
-                order = np.lexsort((place[pi], -score[qi, pi], qi))
-                qi, pi = qi[order], pi[order]
-                first = np.r_[0, np.flatnonzero(qi[1:] != qi[:-1]) + 1]
-                nth = np.arange(len(qi)) - np.repeat(first, np.diff(np.r_[first, len(qi)]))
-                qi, pi = qi[nth < take], pi[nth < take]
-                yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i in qi]).cast(pa.array(ids).type), keys.take(pa.array(pi)), pa.array(score[qi, pi])], names=out.names)
+                take, points_unit = min(k, len(good)), _unit(m).T
+                for lo in range(0, len(unit), max(1, tile // len(good))):
+                    score = np.round(unit[lo : lo + max(1, tile // len(good))] @ points_unit, 12)
+                    # everything at or above the k-th best score stays, so ties are settled by the order below
+                    kth = np.partition(-score, take - 1, axis=1)[:, take - 1 : take]
+                    qi, pi = np.nonzero(-score <= kth)
+                    order = np.lexsort((place[pi], -score[qi, pi], qi))
+                    qi, pi = qi[order], pi[order]
+                    first = np.r_[0, np.flatnonzero(qi[1:] != qi[:-1]) + 1]
+                    nth = np.arange(len(qi)) - np.repeat(first, np.diff(np.r_[first, len(qi)]))
+                    qi, pi = qi[nth < take], pi[nth < take]
+                    yield pa.RecordBatch.from_arrays([pa.array([ids[lo + i] for i in qi]).cast(pa.array(ids).type), keys.take(pa.array(pi)), pa.array(score[qi, pi])], names=out.names)
 
         got = slim.mapInArrow(run, out)
         found = got if found is None else found.unionByName(got)
     if found is None:
         found = spark.createDataFrame([], out)
-    w = Window.partitionBy("query_id").orderBy(F.round("score", 12).desc(), F.col(id_col))
-    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return found
 
 
 def dual_top_k(first: DataFrame, second: DataFrame, query: DataFrame, k: int = 5, names: tuple[str, str] = ("symptom", "literature"), **kw) -> DataFrame:
     """(evidence_id, source, rank, id, score): k best of each collection, never ranked against each other, the first ahead."""
-    a = cosine_top_k(first, query, k, **kw).withColumn("source", F.lit(names[0])).withColumn("_o", F.lit(0))
-    b = cosine_top_k(second, query, k, **kw).withColumn("source", F.lit(names[1])).withColumn("_o", F.lit(1))
-    both = a.unionByName(b)
+    a = _near(first, query, k, **kw).withColumn("source", F.lit(names[0])).withColumn("_o", F.lit(0))
+    b = _near(second, query, k, **kw).withColumn("source", F.lit(names[1])).withColumn("_o", F.lit(1))
+    # both collections share the exchange by query; each is ranked by itself
+    each = Window.partitionBy("query_id", "_o").orderBy(F.col("score").desc(), F.col(kw.get("id_col", "id")))
+    both = a.unionByName(b).repartition("query_id").withColumn("rank", F.row_number().over(each)).where(F.col("rank") <= k)
     n = F.row_number().over(Window.partitionBy("query_id").orderBy("_o", "rank"))
     return both.withColumn("evidence_id", n).drop("_o")
 
@@ -113,13 +129,33 @@ def point_id(fields: dict[str, Column], spaced: bool = False) -> Column:
 def hashed_embedding(df: DataFrame, key: str, text: str, dimension: int = 64) -> DataFrame:
     """(key, vector): counts of words per hash bucket, scaled to length 1; blank texts have none.
 
-    Bucket of a word: first eight hex digits of its MD5, modulo the dimension.
+    Bucket of a word: first eight hex digits of its MD5, modulo the dimension.  Each row is counted where it is read, so
+    nothing is shuffled.
     """
-    w = df.select(key, F.explode(F.filter(F.split(F.lower(F.col(text)), "[^a-z0-9]+"), lambda x: x != "")).alias("w"))
-    n = w.groupBy(key, F.pmod(F.conv(F.substring(F.md5("w"), 1, 8), 16, 10).cast("bigint"), F.lit(dimension)).cast("int").alias("b")).agg(F.count("*").alias("n"))
-    per = n.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("b", "n"))).alias("m"), F.sqrt(F.sum(F.col("n") * F.col("n"))).alias("len"))
-    buckets = F.sequence(F.lit(0), F.lit(dimension - 1))
-    return per.select(key, F.transform(buckets, lambda i: (F.coalesce(F.try_element_at("m", i), F.lit(0)) / F.col("len")).cast("float")).alias("vector"))
+    out = T.StructType([T.StructField(key, df.schema[key].dataType), T.StructField("vector", T.ArrayType(T.FloatType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, int] = {}  # buckets of the words of one task; dropped when there are many
+        for b in batches:
+            for lo in range(0, b.num_rows, EMBED_ROWS):
+                part = b.slice(lo, EMBED_ROWS)
+                rows, buckets = [], []
+                for i, t in enumerate(part.column(1).to_pylist()):
+                    for w in _WORD.findall(t):
+                        at = known.get(w)
+                        if at is None:
+                            if len(known) > 1_000_000:
+                                known.clear()
+                            at = known[w] = int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % dimension
+                        rows.append(i)
+                        buckets.append(at)
+                n = np.bincount(np.array(rows, np.int64) * dimension + np.array(buckets, np.int64), minlength=part.num_rows * dimension).reshape(part.num_rows, dimension).astype(np.float64)
+                some = np.flatnonzero(n.any(axis=1))
+                m = _unit(n[some]).astype(np.float32)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, m.size + 1, dimension), pa.int32()), pa.array(m.reshape(-1)))
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(some)), lists], names=out.names)
+
+    return df.select(key, F.lower(F.col(text)).alias("t")).where("t is not null").mapInArrow(run, out)
 
 
 def embed(df: DataFrame, key: str, text: str, load, dimension: int, batch: int = 32) -> DataFrame:

@@ -411,7 +411,7 @@ def first_in_scan_order(t: Tables) -> DataFrame:
 @query(f"SELECT disease_id, CAST((row_number() OVER (ORDER BY {s_number('disease_id')}) - 1) // 200 AS BIGINT) AS batch FROM disease_manifest")
 def fixed_batches(t: Tables) -> DataFrame:
     d = t.disease_manifest.select("disease_id", first_bigint("disease_id").alias("o"))
-    return d.select("disease_id", R.batch_number([F.col("o")], 200).alias("batch"))
+    return R.batch_number(d, [F.col("o")], 200).select("disease_id", "batch")
 
 
 @query(

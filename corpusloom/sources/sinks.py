@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -26,7 +27,11 @@ def _filesystem(df: DataFrame, path: str):
 
 
 def replace_table(df: DataFrame, path: str, validate: Callable[[DataFrame], None] | None = None, fmt: str = "parquet") -> None:
-    """Write beside the target, validate what was written, then swap; a failure leaves the old table as it was."""
+    """Write beside the target, validate what was written, then swap; a failure leaves the old table as it was.
+
+    Between the two renames of the swap the old table lies beside the target, where `current_table` finds it; so its
+    readers, and a run after a crash, always see the old or the new table whole.
+    """
     fs, target, Path = _filesystem(df, path)
     staging, old = Path(path.rstrip("/") + "._staging"), Path(path.rstrip("/") + "._old")
     fs.delete(staging, True)
@@ -37,13 +42,22 @@ def replace_table(df: DataFrame, path: str, validate: Callable[[DataFrame], None
     except Exception:
         fs.delete(staging, True)
         raise
-    fs.delete(old, True)
     if fs.exists(target):
+        fs.delete(old, True)
         fs.rename(target, old)
-    fs.rename(staging, target)
+    if not fs.rename(staging, target):
+        raise OSError(f"{staging} could not be renamed to {target}")
     fs.delete(old, True)
 
 
+def current_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """The table that `replace_table` wrote last; during a swap, or after one that broke off, the one before."""
+    fs, target, Path = _filesystem(spark.range(0), path)
+    old = Path(path.rstrip("/") + "._old")
+    there = target if fs.exists(target) or not fs.exists(old) else old
+    return spark.read.format(fmt).option("header", "true").load(there.toString())
+
+
 def append_batch(df: DataFrame, path: str, batch: str, fmt: str = "parquet") -> None:
     """Append under batch=<batch>; writing the same batch again replaces it, so a repeated run adds nothing twice."""
     df.write.format(fmt).mode("overwrite").save(f"{path.rstrip('/')}/batch={batch}")
@@ -89,20 +103,27 @@ def export_shards(df: DataFrame, key: list[str], path: str, shard_size: int = 10
 
 
 def write_payloads(df: DataFrame, folder: str, name: str = "source_file", content: str = "content", valid: Callable[[bytes], bool] | None = None) -> DataFrame:
-    """One file per row under a shared folder; (name, bytes, written) tells which passed the check."""
-    import os
+    """One file per row under a shared folder; (name, bytes, written) tells which passed the check.
+
+    Files are written beside their place and moved, through the file system that the folder's scheme names (local or
+    mounted paths, hdfs, s3, gs, abfs).
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+        store.create_dir(base, recursive=True)
         for pdf in batches:
             rows = []
             for n, data in zip(pdf["n"], pdf["c"]):
                 ok = data is not None and (valid is None or valid(data))
                 if ok:
-                    final = os.path.join(folder, n)
-                    part = f"{final}.{os.getpid()}.part"
-                    with open(part, "wb") as f:
+                    final = f"{base.rstrip('/')}/{n}"
+                    part = f"{final}.{uuid.uuid4().hex}.part"
+                    with store.open_output_stream(part) as f:
                         f.write(data)
-                    os.replace(part, final)
+                    store.move(part, final)
                 rows.append((n, len(data or b""), ok))
             yield pd.DataFrame(rows, columns=["name", "bytes", "written"])
 
