@@ -94,3 +94,15 @@ def multimap(df: DataFrame, key: str, value: str) -> DataFrame:
     """(key, values): sorted distinct non-blank values per non-blank key; a key with blank values only has none."""
     k, v = strip(key), strip(value)
     return df.where(has_value(key)).groupBy(k.alias(key)).agg(F.array_sort(F.collect_set(F.when(has_value(value), v))).alias("values"))
+
+
+def set_relation(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """One row: equal, subset (a in b), superset (b in a) as sets of keys, and same_counts as multisets; null keys don't count.
+
+    Each side is counted per key before the join, so a hot key is one row.
+    """
+    per = lambda d, n: d.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias(n))
+    j = per(a, "_a").join(per(b, "_b"), key, "full")
+    only_a, only_b = F.count(F.when(F.col("_b").isNull(), 1)), F.count(F.when(F.col("_a").isNull(), 1))
+    differ = F.count(F.when(~F.col("_a").eqNullSafe(F.col("_b")), 1))
+    return j.agg(((only_a == 0) & (only_b == 0)).alias("equal"), (only_a == 0).alias("subset"), (only_b == 0).alias("superset"), (differ == 0).alias("same_counts"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import documents, relational, reports, streams, training, xml  # noqa: F401 - importing a module registers its queries
+from . import documents, relational, reports, roundtrips, streams, training, xml  # noqa: F401 - importing a module registers its queries
 from .registry import QUERIES, SQL
 
 

@@ -36,13 +36,16 @@ def query_text(diseases: Column, symptoms: Column) -> Column:
     return F.concat(F.lit("Diseases: "), F.array_join(diseases, ", "), F.lit("\nSymptoms: "), F.array_join(symptoms, ", "))
 
 
+def question_problem() -> Column:
+    """What is wrong with a question (clinical_text, diseases, symptoms, medications, tests); null if nothing is."""
+    missing = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in ("diseases", "symptoms", "medications", "tests")]))
+    return F.when(~has_value("clinical_text"), "no text").when(F.size(missing) > 0, F.concat(F.lit("no list of "), F.array_join(missing, ", ")))
+
+
 def check_question(df: DataFrame) -> DataFrame:
     """Rows (clinical_text, diseases, symptoms, medications, tests); a blank text or a missing list is an error when used."""
-    lists = [F.col(c).isNull() for c in ("diseases", "symptoms", "medications", "tests")]
-    bad = ~has_value("clinical_text")
-    for x in lists:
-        bad = bad | x
-    return df.withColumn("clinical_text", F.when(bad, F.raise_error("a question needs a text and four lists").cast("string")).otherwise(F.col("clinical_text")))
+    p = question_problem()
+    return df.withColumn("clinical_text", F.when(p.isNotNull(), F.raise_error(F.concat(F.lit("a question needs a text and four lists: "), p)).cast("string")).otherwise(F.col("clinical_text")))
 
 
 def retrieve(symptom: DataFrame, literature: DataFrame, query: DataFrame, top_k: int = 5) -> DataFrame:
@@ -119,22 +122,24 @@ def answer_with(prompts: DataFrame, model: Callable[[str], str]) -> DataFrame:
 def parse_answer(answer: Column) -> Column:
     """struct<ok, value, problem>: an object with candidates (texts not blank, whole-number ranks, a list of whole numbers) and limitations.
 
-    JSON numbers only count as numbers, so true is no rank.
+    Types are those of the JSON values themselves, read as variants: true is no rank, and neither is 1.0 or "1".
     """
-    v = F.from_json(answer, ANSWER)
-    raw = F.get_json_object(answer, "$.candidates")
-    bad_rank = raw.rlike(r'"rank"\s*:\s*(true|false|"|null|[0-9]+\.)') | ~raw.rlike(r'^\[\s*(\]|.*"rank".*)')
-    bad_list = raw.rlike(r'"supporting_evidence"\s*:\s*(\[[^\]]*(true|false|"|\.)|[^\[\s])')
-    def lacks(c: Column) -> Column:
-        return ~has_value(c["condition"]) | ~has_value(c["justification"]) | c["rank"].isNull() | c["supporting_evidence"].isNull() | F.exists(F.coalesce(c["supporting_evidence"], F.array().cast("array<int>")), lambda x: x.isNull())
+    v = F.try_parse_json(answer)
+    raw = F.from_json(answer, "candidates array<struct<condition variant, rank variant, justification variant, supporting_evidence variant>>, limitations variant")
+    kind = lambda x: F.coalesce(F.schema_of_variant(x), F.lit("VOID"))
+    whole_kind = lambda path: F.coalesce(F.schema_of_variant(F.try_variant_get(v, path, "variant")), F.lit("VOID"))
+    said = lambda x: (kind(x) == "STRING") & has_value(F.try_variant_get(x, "$", "string"))
+
+    def sound(c: Column) -> Column:
+        return said(c["condition"]) & said(c["justification"]) & (kind(c["rank"]) == "BIGINT") & kind(c["supporting_evidence"]).isin("ARRAY<BIGINT>", "ARRAY<VOID>")
 
     problem = (
-        F.when(answer.isNull() | F.get_json_object(answer, "$").isNull(), "no JSON object")
-        .when(raw.isNull() | v["candidates"].isNull(), "no candidates")
-        .when(v["limitations"].isNull() | ~has_value(v["limitations"]), "no limitations")
-        .when(bad_rank | bad_list | F.exists(v["candidates"], lacks), "a candidate is malformed")
+        F.when(v.isNull() | ~whole_kind("$").startswith("OBJECT"), "no JSON object")
+        .when(~whole_kind("$.candidates").startswith("ARRAY") | raw["candidates"].isNull(), "no candidates")
+        .when(~said(raw["limitations"]), "no limitations")
+        .when(~F.forall(raw["candidates"], lambda c: F.coalesce(sound(c), F.lit(False))), "a candidate is malformed")
     )
-    return F.struct(problem.isNull().alias("ok"), v.alias("value"), problem.alias("problem"))
+    return F.struct(problem.isNull().alias("ok"), F.from_json(answer, ANSWER).alias("value"), problem.alias("problem"))
 
 
 def output_contract(questions: DataFrame, evidence: DataFrame, answers: DataFrame, agent: str = "evidence") -> DataFrame:

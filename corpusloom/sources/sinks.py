@@ -17,7 +17,8 @@ def write_csv(df: DataFrame, path: str, order: list | None = None, mode: str = "
     out = df.orderBy(*order) if order else df
     if files:
         out = out.coalesce(files)
-    out.write.mode(mode).option("header", "true").option("escape", '"').csv(path)
+    kept = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    out.write.mode(mode).options(**kept).csv(path)
 
 
 def _filesystem(df: DataFrame, path: str):
