@@ -132,3 +132,39 @@ def greedy_diverse(df: DataFrame, group: str, item: str, labels: str, prefer: li
         return pd.DataFrame(out, columns=[group, item, "place", "new_labels"])
 
     return cut.groupBy("g").applyInPandas(pick, out)
+
+
+def greedy_balanced(df: DataFrame, group: str, item: str, labels: str, profile: str, prefer: list[tuple[str, bool]], n: int) -> DataFrame:
+    """(group, item, place, label): up to n items per group, each time one for the label that the picked items hold least often.
+
+    Of equally rare labels the first by name counts; of a label's items first one whose profile is not among the picked,
+    then the one first in `prefer` (column, descending), then the least item.  The picks for a smaller n are the first
+    of those for a larger one.  An item without labels is never picked.  Only the first n in preference of those with
+    the same labels and profile can be picked, so the candidates are cut to them before the sequential choice.
+    """
+    import pandas as pd
+
+    slim = df.select(
+        F.col(group).alias("g"), F.col(item).alias("i"), F.array_sort(F.array_distinct(F.coalesce(labels, F.array().cast("array<string>")))).alias("l"), F.coalesce(profile, F.lit("")).alias("f"),
+        *[c for c, _ in prefer if c not in (group, item)],
+    ).where(F.size("l") > 0)
+    order = [F.col(c).desc_nulls_last() if down else F.col(c).asc_nulls_last() for c, down in prefer] + [F.col("i").asc()]
+    cut = slim.withColumn("r", F.row_number().over(Window.partitionBy("g", "l", "f").orderBy(*order))).where(F.col("r") <= n)
+    cut = cut.withColumn("p", F.row_number().over(Window.partitionBy("g").orderBy(*order))).select("g", "i", "l", "f", "p")
+    out = f"{group} {dict(df.dtypes)[group]}, {item} {dict(df.dtypes)[item]}, place int, label string"
+
+    def pick(pdf: pd.DataFrame) -> pd.DataFrame:
+        left = {p: (i, tuple(l), f) for p, i, l, f in zip(pdf["p"], pdf["i"], pdf["l"], pdf["f"])}
+        held: dict[str, int] = {}
+        seen: set[str] = set()
+        out = []
+        while left and len(out) < n:
+            _, label, _, p = min((held.get(x, 0), x, f in seen, p) for p, (_, l, f) in left.items() for x in l)
+            i, l, f = left.pop(p)
+            out.append((pdf["g"].iloc[0], i, len(out) + 1, label))
+            seen.add(f)
+            for x in l:
+                held[x] = held.get(x, 0) + 1
+        return pd.DataFrame(out, columns=[group, item, "place", "label"])
+
+    return cut.groupBy("g").applyInPandas(pick, out)

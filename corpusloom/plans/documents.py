@@ -155,14 +155,31 @@ def chunk_length_stats(t: Tables) -> DataFrame:
     return A.describe(c.select(F.length("chunk_text").cast("bigint").alias("n_chars")), "n_chars")
 
 
-@query()
+def _packed_sql(c: str) -> str:
+    """Paragraphs of a text packed up to 1,000 characters as a list: a fold over (done, cur)."""
+    cuts = "list_transform(generate_series(0, greatest(0, CAST(ceil((length(y.cur) - 1000) / 850.0) AS BIGINT)) * 850, 850), lambda s: substr(y.cur, CAST(s + 1 AS BIGINT), 1000))"
+    flush = "CASE WHEN x.cur = '' THEN x.done ELSE list_concat(x.done, [x.cur]) END"
+    fold = f"""lambda x, y: CASE WHEN length(y.cur) > 1000 THEN {{'done': list_concat({flush}, {cuts}), 'cur': ''}} WHEN x.cur = '' THEN {{'done': x.done, 'cur': y.cur}}
+        WHEN length(x.cur) + 2 + length(y.cur) <= 1000 THEN {{'done': x.done, 'cur': x.cur || E'\\n\\n' || y.cur}} ELSE {{'done': {flush}, 'cur': y.cur}} END"""
+    parts = f"""list_filter(list_transform(regexp_split_to_array({s_text(f"regexp_replace({c}, E'\\r\\n?', E'\\n', 'g')")}, '\\n\\s*\\n+'), lambda p: {s_text("p")}), lambda p: p <> '')"""
+    none = "{'done': CAST([] AS VARCHAR[]), 'cur': ''}"
+    folded = f"list_reduce(list_prepend({none}, list_transform({parts}, lambda p: {{'done': CAST([] AS VARCHAR[]), 'cur': p}})), {fold})"
+    return f"list_transform([{folded}], lambda z: CASE WHEN z.cur = '' THEN z.done ELSE list_concat(z.done, [z.cur]) END)[1]"
+
+
+@query(
+    f"""SELECT doc_id, CAST(i - 1 AS INTEGER) AS chunk_index, l[i] AS chunk_text FROM (SELECT doc_id, l, unnest(generate_series(1, len(l))) AS i FROM (SELECT doc_id, {_packed_sql("text")} AS l FROM documents WHERE {s_text("text")} <> ''))"""
+)
 def chunk_paragraph_pack(t: Tables) -> DataFrame:
-    """Folds paragraphs greedily, which SQL can't; tests hold it against a plain loop."""
     d = t.documents.where(has_value("text")).select("doc_id", F.posexplode(C.packed_paragraphs(F.col("text"))).alias("chunk_index", "chunk_text"))
     return d.select("doc_id", "chunk_index", "chunk_text")
 
 
-@query()
+@query(
+    f"""SELECT source_file, CAST(n AS INTEGER) AS section_no, s.title AS section_title, s.section_path AS section_path, s.source AS source, CAST(i - 1 AS INTEGER) AS chunk_index, l[i] AS chunk_text FROM
+    (SELECT source_file, n, s, l, unnest(generate_series(1, len(l))) AS i FROM (SELECT source_file, n, s, {_packed_sql("s.text")} AS l FROM
+    (SELECT source_file, a[n] AS s, n FROM (SELECT source_file, a, unnest(generate_series(1, len(a))) AS n FROM (SELECT source_file, list_concat(coalesce(abstract_sections, []), coalesce(body_sections, [])) AS a FROM literature_article))) WHERE {s_text("s.text")} <> ''))"""
+)
 def section_chunks(t: Tables) -> DataFrame:
     return C.section_chunks(t.literature_article, ["source_file"])
 
@@ -311,20 +328,37 @@ def evidence_batch_numbering(t: Tables) -> DataFrame:
 
 
 def _evidence(t: Tables) -> DataFrame:
+    """Evidence of every stated search with its text; scores rounded to 6 digits, as they are shown."""
     p = _points(t)
-    rows = evidence.retrieve(p.where("label % 2 = 0"), p.where("label % 2 = 1"), _every(t), 5)
+    rows = evidence.retrieve(p.where("label % 2 = 0"), p.where("label % 2 = 1"), _every(t), 5).withColumn("relevance_score", F.round("relevance_score", 6))
     c = t.literature_chunk.select(F.col("chunk_id").alias("content_id"), F.col("text").alias("content"), F.coalesce("pmcid", "pmid").alias("source"))
     return evidence.attach_content(rows, c)
 
 
-@query()
+_EVIDENCE = f"""(SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY o, rank) AS INTEGER) AS evidence_id, coalesce(c.text, '') AS content, coalesce(c.pmcid, c.pmid, '') AS source, source_type, '' AS location, score AS relevance_score, CAST(rank AS INTEGER) AS retrieval_rank
+    FROM (SELECT 0 AS o, 'symptom' AS source_type, * FROM {_SIDE_EACH.format(c=_COS, k=0)} UNION ALL SELECT 1, 'literature', * FROM {_SIDE_EACH.format(c=_COS, k=1)}) e LEFT JOIN literature_chunk c ON c.chunk_id = e.id WHERE rank <= 5)"""
+_PART = """'{title}' || E'\n\n' || string_agg(item, E'\n\n' ORDER BY evidence_id) FILTER (source_type = '{source}')"""
+
+
+@query(
+    f"""SELECT query_id, concat_ws(E'\n\n', {_PART.format(title="Symptom evidence", source="symptom")}, {_PART.format(title="Literature evidence", source="literature")}) AS context FROM (SELECT *,
+    'Evidence ' || evidence_id || E'\nSource: ' || source || E'\nType: ' || source_type || E'\nLocation: ' || location || E'\nSimilarity: ' || relevance_score || E'\nText: ' || content AS item FROM {_EVIDENCE}) GROUP BY query_id"""
+)
 def evidence_context(t: Tables) -> DataFrame:
     return evidence.context_text(_evidence(t))
 
 
-@query()
+_ITEM = "{'evidence_id': evidence_id, 'content': content, 'source': source, 'source_type': source_type, 'location': location, 'relevance_score': relevance_score, 'retrieval_rank': retrieval_rank}"
+
+
+@query(
+    f"""SELECT query_id, CAST(to_json({{'agent': 'evidence', 'status': 'success', 'query_context': {{'clinical_text': 'persistent cough', 'diseases': ['pneumonia'], 'symptoms': ['cough', 'fever'], 'medications': CAST([] AS VARCHAR[]), 'tests': CAST([] AS VARCHAR[]), 'procedures': CAST([] AS VARCHAR[])}},
+    'diagnostic_candidates': candidates, 'evidence': evidence, 'metadata': {{'symptom_evidence_count': s, 'literature_evidence_count': l, 'total_evidence_count': n, 'retrieval_top_k': greatest(s, l)}}, 'limitations': 'offline stand-in', 'error': NULL}}) AS VARCHAR) AS document
+    FROM (SELECT query_id, list({_ITEM} ORDER BY evidence_id) AS evidence, count(*) AS n, count(*) FILTER (source_type = 'symptom') AS s, count(*) FILTER (source_type = 'literature') AS l,
+    list_transform(list({{'source': source, 'evidence_id': evidence_id}} ORDER BY evidence_id) FILTER (retrieval_rank = 1), lambda x, i: {{'condition': 'see ' || x.source, 'rank': i, 'justification': 'closest evidence', 'supporting_evidence': [x.evidence_id]}}) AS candidates FROM {_EVIDENCE} GROUP BY query_id)"""
+)
 def output_contract(t: Tables) -> DataFrame:
-    """The nested answer document as JSON; its shape is checked by tests."""
+    """The nested answer document as JSON."""
     e = _evidence(t)
     q = _every(t).select(
         "query_id", F.lit("persistent cough").alias("clinical_text"), F.array(F.lit("pneumonia")).alias("diseases"), F.array(F.lit("cough"), F.lit("fever")).alias("symptoms"),

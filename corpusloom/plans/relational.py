@@ -433,15 +433,41 @@ def preference_winner(t: Tables) -> DataFrame:
     return R.winner(b, "disease", [F.col("pm").desc(), F.col("y").desc_nulls_last(), F.col("pmid")]).select("disease", "pmid")
 
 
-@query()
-def greedy_diverse_select(t: Tables) -> DataFrame:
-    """Five articles per disease that cover most query categories, newest first; state depends on earlier picks, so no SQL."""
+_GREEDY = f"""m AS (SELECT {s_number("pmid")} AS pmid, {s_set("query_categories")} AS cats, coalesce({s_year("publication_year")}, {s_year("publication_date")}) AS y, array_to_string(list_sort({s_set("publication_types")}), '|') AS f, unnest({s_set("disease_ids")}) AS x FROM pubmed_complete_metadata),
+    b AS (SELECT {s_number("x")} AS disease, pmid, list_distinct(flatten(list(cats))) AS cats, max(y) AS y, min(f) AS f FROM m WHERE {s_number("x")} IS NOT NULL AND pmid IS NOT NULL GROUP BY 1, 2)"""
+
+
+def _greedy_candidates(t: Tables) -> DataFrame:
     m = t.pubmed_complete_metadata.select(
-        "disease_ids", first_bigint("pmid").alias("pmid"), split_set("query_categories").alias("cats"), dates.publication_year("publication_year", "publication_date").alias("y")
-    )
-    b = J.bridge(m, ["pmid", "cats", "y"], "disease_ids", "x").select(first_bigint("x").alias("disease"), "pmid", "cats", "y").where("disease is not null and pmid is not null")
-    b = b.groupBy("disease", "pmid").agg(F.array_distinct(F.flatten(F.collect_set("cats"))).alias("cats"), F.max("y").alias("y"))
-    return R.greedy_diverse(b, "disease", "pmid", "cats", [("y", True)], 5)
+        "disease_ids", first_bigint("pmid").alias("pmid"), split_set("query_categories").alias("cats"), dates.publication_year("publication_year", "publication_date").alias("y"),
+        F.array_join(F.array_sort(split_set("publication_types")), "|").alias("f"),
+    )
+    b = J.bridge(m, ["pmid", "cats", "y", "f"], "disease_ids", "x").select(first_bigint("x").alias("disease"), "pmid", "cats", "y", "f").where("disease is not null and pmid is not null")
+    return b.groupBy("disease", "pmid").agg(F.array_distinct(F.flatten(F.collect_set("cats"))).alias("cats"), F.max("y").alias("y"), F.min("f").alias("f"))
+
+
+@query(
+    f"""WITH RECURSIVE {_GREEDY}, r AS (SELECT DISTINCT disease AS g, CAST([] AS VARCHAR[]) AS covered, CAST([] AS BIGINT[]) AS picked, 0 AS place, CAST(NULL AS BIGINT) AS item, CAST(0 AS BIGINT) AS new FROM b UNION ALL
+    SELECT g, list_concat(covered, cats), list_append(picked, pmid), place + 1, pmid, new FROM (SELECT *, row_number() OVER (PARTITION BY g ORDER BY new DESC, y DESC NULLS LAST, pmid) AS k FROM
+    (SELECT g, covered, picked, place, b.pmid, b.cats, b.y, len(list_filter(b.cats, lambda c: NOT list_contains(covered, c))) AS new FROM r JOIN b ON b.disease = r.g WHERE place < 5 AND NOT list_contains(picked, b.pmid))) WHERE k = 1)
+    SELECT g AS disease, item AS pmid, CAST(place AS INTEGER) AS place, CAST(new AS INTEGER) AS new_labels FROM r WHERE place > 0"""
+)
+def greedy_diverse_select(t: Tables) -> DataFrame:
+    return R.greedy_diverse(_greedy_candidates(t), "disease", "pmid", "cats", [("y", True)], 5)
+
+
+@query(
+    f"""WITH RECURSIVE {_GREEDY}, e AS (SELECT disease, pmid, cats, y, f, unnest(cats) AS c FROM b),
+    r AS (SELECT DISTINCT disease AS g, CAST([] AS VARCHAR[]) AS held, CAST([] AS BIGINT[]) AS picked, CAST([] AS VARCHAR[]) AS seen, 0 AS place, CAST(NULL AS BIGINT) AS item, CAST(NULL AS VARCHAR) AS label FROM e UNION ALL
+    SELECT g, list_concat(held, cats), list_append(picked, pmid), list_append(seen, f), place + 1, pmid, c FROM (SELECT *, row_number() OVER (PARTITION BY g ORDER BY n, c, old, y DESC NULLS LAST, pmid) AS k FROM
+    (SELECT g, held, picked, seen, place, e.pmid, e.cats, e.y, e.f, e.c, len(list_filter(held, lambda x: x = e.c)) AS n, list_contains(seen, e.f) AS old FROM r JOIN e ON e.disease = r.g WHERE place < 20 AND NOT list_contains(picked, e.pmid))) WHERE k = 1)
+    SELECT cap, count(*) AS n, count(DISTINCT g) AS diseases, CAST(sum(item * place) AS BIGINT) AS check_sum FROM r, (SELECT unnest([5, 10, 15, 20]) AS cap) WHERE place > 0 AND place <= cap GROUP BY cap"""
+)
+def greedy_caps_simulation(t: Tables) -> DataFrame:
+    """Items picked per cap; the picks of a cap are the first of those of the largest."""
+    picked = R.greedy_balanced(_greedy_candidates(t), "disease", "pmid", "cats", "f", [("y", True)], 20)
+    caps = picked.select("*", F.explode(F.array(*[F.lit(c) for c in (5, 10, 15, 20)])).alias("cap")).where("place <= cap")
+    return caps.groupBy("cap").agg(F.count("*").alias("n"), F.count_distinct("disease").alias("diseases"), F.sum(F.col("pmid") * F.col("place")).alias("check_sum"))
 
 
 # --- sets -------------------------------------------------------------------------------------------------------------

@@ -130,12 +130,13 @@ def _form_feed_pages(content: bytes) -> list[str]:
 
 @query(
     """SELECT 'c' || name || '.pdf' AS filename, CAST(p AS INTEGER) AS page_number, l[p] AS text FROM (SELECT name, l, unnest(generate_series(1, len(l))) AS p FROM
-    (SELECT coalesce(category, '') AS name, list(CAST(chunk_id AS VARCHAR) ORDER BY chunk_id) AS l FROM literature_chunk GROUP BY 1))"""
+    (SELECT chunk_id // 100 AS name, list(CAST(chunk_id AS VARCHAR) ORDER BY chunk_id) AS l FROM literature_chunk GROUP BY 1))"""
 )
 def paged_files(t: Tables) -> DataFrame:
-    """One file per category with a page per chunk id, written as files and read page by page with a given extractor."""
+    """One file per hundred chunk ids with a page for each, written as files and read page by page with a given extractor."""
     folder = S.work_folder(t.spark, "pages")
-    pages = t.literature_chunk.groupBy(F.coalesce("category", F.lit("")).alias("c")).agg(F.array_join(F.transform(F.array_sort(F.collect_list("chunk_id")), lambda x: x.cast("string")), "\f").alias("x"))
+    name = F.floor(F.col("chunk_id") / 100).cast("string")
+    pages = t.literature_chunk.groupBy(name.alias("c")).agg(F.array_join(F.transform(F.array_sort(F.collect_list("chunk_id")), lambda x: x.cast("string")), "\f").alias("x"))
     sinks.write_payloads(pages.select(F.concat(F.lit("c"), "c", F.lit(".pdf")).alias("source_file"), F.encode("x", "UTF-8").alias("content")), folder).count()
     return tables.read_pages(t.spark, folder, _form_feed_pages).select("filename", "page_number", "text")
 
