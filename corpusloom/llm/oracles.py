@@ -26,6 +26,13 @@ _P5 = f"""SELECT 'chunk' AS src, chunk_id::VARCHAR AS item FROM literature_chunk
 UNION ALL {_SIDE.format(s="abstract", t=_TRIM, n=CHUNK_CHARS)} UNION ALL {_SIDE.format(s="body", t=_TRIM, n=CHUNK_CHARS)}
 UNION ALL SELECT 'window', window_id::VARCHAR FROM literature_embedding_window WHERE len(regexp_extract_all(text, '[^ \\t\\r\\n]+')) > {WINDOW_TOKENS}"""
 
+_SIDE_TEXT = """SELECT 'section' AS src, source_file || '/{s}/' || i AS item, md5(trim(l[i].text, {t})) AS digest, true AS within FROM (SELECT source_file, {s}_sections AS l, unnest(generate_series(1, len({s}_sections))) AS i FROM literature_article WHERE {s}_sections IS NOT NULL)
+WHERE length(trim(l[i].text, {t})) > {n}"""
+
+_P5_REJOINED = f"""SELECT 'chunk' AS src, chunk_id::VARCHAR AS item, md5(trim(text, {_TRIM})) AS digest, true AS within FROM literature_chunk WHERE length(trim(text, {_TRIM})) > {CHUNK_CHARS}
+UNION ALL {_SIDE_TEXT.format(s="abstract", t=_TRIM, n=CHUNK_CHARS)} UNION ALL {_SIDE_TEXT.format(s="body", t=_TRIM, n=CHUNK_CHARS)}
+UNION ALL SELECT 'window', window_id::VARCHAR, md5(trim(text, {_TRIM})), true FROM literature_embedding_window WHERE len(regexp_extract_all(text, '[^ \\t\\r\\n]+')) > {WINDOW_TOKENS}"""
+
 _P6 = f"""WITH a AS (SELECT selection_run, {_number("disease_id")} AS disease_id, {_number("pmid")} AS pmid, min({_number("selection_rank")}) AS r FROM pubmed_selection_audit GROUP BY ALL),
 m AS (SELECT {_number("pmid")} AS pmid, min({_number("best_rank")}) AS b FROM pubmed_complete_metadata GROUP BY 1)
 SELECT selection_run, disease_id, pmid FROM (SELECT a.*, row_number() OVER (PARTITION BY selection_run, disease_id ORDER BY r, b ASC NULLS LAST, pmid) AS k FROM a LEFT JOIN m USING (pmid)
@@ -76,4 +83,4 @@ FROM f JOIN (SELECT item_id, sum(n) AS n FROM p GROUP BY 1) t USING (item_id) GR
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p4_found": _P4, "p4_groups": _groups(_P4, SEQUENCE), "p4_members": _P4_MEMBERS, "p4_links": _P4_LINKS, "p4_weighted_groups": _groups(_P4_WEIGHTED, WEIGHTED_SEQUENCE), "p5_found": _P5, "p6_found": _P6, "p8_found": f"{_P8} SELECT doc_id, item_id FROM f", "p8_items": _P8_ITEMS}
+    return {"p4_found": _P4, "p4_groups": _groups(_P4, SEQUENCE), "p4_members": _P4_MEMBERS, "p4_links": _P4_LINKS, "p4_weighted_groups": _groups(_P4_WEIGHTED, WEIGHTED_SEQUENCE), "p5_found": _P5, "p5_rejoined": _P5_REJOINED, "p6_found": _P6, "p8_found": f"{_P8} SELECT doc_id, item_id FROM f", "p8_items": _P8_ITEMS}

@@ -16,6 +16,7 @@ an empty table gives an empty assignment.
 from __future__ import annotations
 
 import base64
+import os
 from collections.abc import Iterator
 from functools import cache
 
@@ -31,31 +32,34 @@ CAPACITY = 2048
 SALTS = 64
 
 
-def default_tokenizer() -> str:
-    """Path of the vocabulary file of a public byte-level BPE, as ranks."""
-    import public_tokenizers
+#: where the vocabulary files of public tokenizers lie, if CORPUSLOOM_TOKENIZERS doesn't say otherwise
+TOKENIZERS = "/opt/tokenizers"
+# Fixed value: how the byte-level BPE cuts a text before it merges.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
 
-    return str(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+def default_tokenizer() -> str:
+    """Path of the vocabulary file of a public byte-level BPE, as ranks; the file is part of the cluster's image."""
+    return os.path.join(os.environ.get("CORPUSLOOM_TOKENIZERS", TOKENIZERS), "byte_bpe_50k.tiktoken")
 
 
 @cache
-def _encoding(path: str):
-    import public_tokenizers
+def _encoding(path: str, pattern: str = PATTERN):
     import tiktoken
 
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("corpus", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("corpus", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
-def token_counts(df: DataFrame, key: str, text: str, tokenizer: str | None = None) -> DataFrame:
-    """(key, n_tokens) of every row."""
+def token_counts(df: DataFrame, key: str, text: str, tokenizer: str | None = None, pattern: str = PATTERN) -> DataFrame:
+    """(key, n_tokens) of every row, by the vocabulary file `tokenizer` and its pattern."""
     path = tokenizer or default_tokenizer()
     slim = df.select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text"))
     out = T.StructType([T.StructField("key", T.LongType()), T.StructField("n_tokens", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoding(path).encode_ordinary
+        encode = _encoding(path, pattern).encode_ordinary
         for b in batches:
             n = np.fromiter((len(encode(t)) if t else 0 for t in b.column(1).to_pylist()), np.int32, b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n)], names=out.names)

@@ -73,6 +73,16 @@ def p5_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return _pieces(spark, folder, with_text=True)
 
 
+def p5_rejoined(spark: SparkSession, folder: str) -> DataFrame:
+    """(src, item, digest, within): the texts that the pieces of each item make without their overlaps; whether all pieces keep the limit."""
+    p = _pieces(spark, folder, with_text=True)
+    size = F.when(F.col("src") == "window", F.regexp_count("piece", F.lit("[^ \\t\\r\\n]+")) <= WINDOW_TOKENS).otherwise(F.length("piece") <= CHUNK_CHARS)
+    # the pieces of one text, which was one cell before
+    one = p.groupBy("src", "item").agg(F.array_sort(F.collect_set(F.struct("piece_no", "begin", "end", "piece"))).alias("ps"), F.bool_and(size).alias("within"))
+    fresh = F.transform("ps", lambda x, i: F.when(i == 0, x["piece"]).otherwise(F.substring(x["piece"], F.element_at("ps", i)["end"] - x["begin"] + 1, F.length(x["piece"]))))
+    return one.select("src", "item", F.md5(F.encode(F.array_join(fresh, ""), "UTF-8")).alias("digest"), "within")
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     audit = _table(spark, folder, "pubmed_selection_audit").select(
         "selection_run", first_bigint("disease_id").alias("disease_id"), first_bigint("pmid").alias("pmid"), first_bigint("selection_rank").alias("rank")
@@ -120,4 +130,4 @@ def p9_reasons(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p4_found, p4_members, p4_links, p4_groups, p4_weighted_groups, p5_found, p5_pieces, p6_found, p7_pack, p7_fill, p8_found, p8_items, p9_found, p9_sources, p9_reasons)}
+    return {f.__name__: f for f in (p4_found, p4_members, p4_links, p4_groups, p4_weighted_groups, p5_found, p5_pieces, p5_rejoined, p6_found, p7_pack, p7_fill, p8_found, p8_items, p9_found, p9_sources, p9_reasons)}

@@ -27,6 +27,8 @@ _TOKEN = re.compile(r"[^ \t\r\n]+")
 _SENTENCE = re.compile(r"[.!?…。！？]+[\"'”’)\]]*(?=[ \t\r\n])")
 #: scripts without blanks end sentences with marks of their own; only counted in characters, as they lie inside a token
 _SENTENCE_ANYWHERE = re.compile(_SENTENCE.pattern + r"|[。！？]+[”’」』）]*")
+# Abbreviations behind which a sentence goes on.
+_GOES_ON = re.compile(r"(?:^|[\s(\[])(?:e\.g|i\.e|approx|vs|figs?|nos?|cf|ca|resp|et al|incl|viz|dr|mr|mrs|prof|st|p|pp|vol|eds?|z\.B|bzw|p\.ej)\.$", re.I)
 _PARAGRAPH = re.compile(r"[ \t]*\r?\n[ \t]*(?:\r?\n[ \t]*)+")
 
 CHARS, TOKENS = "chars", "tokens"
@@ -42,7 +44,8 @@ def cut(text: str, limit: int, overlap: int, unit: str = CHARS) -> list[tuple[in
     if (len(spans) if by_token else n) <= limit:
         return [(0, n, "end")]
     words = [e for _, e in spans]
-    sentences = [m.end() for m in (_SENTENCE if by_token else _SENTENCE_ANYWHERE).finditer(text)]
+    ends = (m.end() for m in (_SENTENCE if by_token else _SENTENCE_ANYWHERE).finditer(text))
+    sentences = [e for e in ends if not _GOES_ON.search(text, max(0, e - 12), e)]
     paragraphs = [m.start() for m in _PARAGRAPH.finditer(text)]
     out, begin = [], 0
     while True:

@@ -3,8 +3,9 @@
 Every partition knows a bound from its own rows: the score of its N-th best distinct item of a group, beyond which no
 row of the group can be among the N best anywhere.  Rows beyond the own bound never leave their partition; the
 strictest bound of each group, over all partitions, is joined to what is left and filters it again; the survivors are
-ranked.  The last ranking is limited inside each partition once more before its shuffle, by the full order with ties,
-so groups where millions of items tie on the score stay small too.
+ranked.  Without tie values the bound is that of the whole order, score and item.  The bounds go to all tasks if they
+are few, else into a join salted by item, so a hot group whose items all tie is spread as well.  The last ranking is
+limited inside each partition once more before its shuffle, by the full order with ties, so such groups stay small.
 
 Order: lowest score, then lowest tie value (none last), then lowest item.  An item counts once per group, with its
 lowest score.
@@ -26,9 +27,11 @@ from pyspark.sql import types as T
 from ..session import cut_lineage
 
 BUFFER = 200_000  # rows of a partition that are pruned together; bounds memory, not the result
+BROADCAST_ROWS = 200_000  # bounds of some 50 bytes
+SALTS = 16
 
 
-def _bounded(n: int, names: list[str], groups: int):
+def _bounded(n: int, names: list[str], groups: int, with_ties: bool):
     """mapInArrow function over (group columns, item, score): rows that may be among the n best, with their local bound."""
 
     def prune(table: pa.Table) -> pa.RecordBatch:
@@ -41,13 +44,13 @@ def _bounded(n: int, names: list[str], groups: int):
         order = np.lexsort((score, item, code))
         c, x = code[order], item[order]
         order = order[np.r_[True, (c[1:] != c[:-1]) | (x[1:] != x[:-1])]]  # the best row of each item
-        order = order[np.lexsort((score[order], code[order]))]
+        order = order[np.lexsort((item[order], score[order], code[order]))]
         c, s = code[order], score[order]
         start = np.flatnonzero(np.r_[True, c[1:] != c[:-1]])
         size = np.diff(np.r_[start, len(c)])
         bound = np.where(size >= n, s[np.minimum(start + n - 1, len(c) - 1)], np.iinfo(np.int64).max)
         bound = np.repeat(bound, size)
-        keep = s <= bound
+        keep = s <= bound if with_ties else np.arange(len(c)) - np.repeat(start, size) < n
         out = table.take(pa.array(order[keep])).combine_chunks()
         return pa.RecordBatch.from_arrays([*[k.combine_chunks() if isinstance(k, pa.ChunkedArray) else k for k in out.columns], pa.array(bound[keep])], names=names)
 
@@ -77,13 +80,17 @@ def top_n(df: DataFrame, groups: list[str], item: str, score: str, n: int, ties:
     slim = df.select(*[F.col(c).alias(a) for c, a in zip(groups, g)], F.col(item).cast("bigint").alias("item"), F.col(score).cast("bigint").alias("score"))
     slim = slim.where("item is not null and score is not null")
     out = T.StructType([*slim.schema.fields, T.StructField("bound", T.LongType())])
-    pruned = cut_lineage(slim.mapInArrow(_bounded(n, out.names, len(g)), out))
-    bounds = pruned.groupBy(*g).agg(F.min("bound").alias("best")).select(*[F.col(c).alias(f"b_{c}") for c in g], "best")
-    same = None
+    pruned = cut_lineage(slim.mapInArrow(_bounded(n, out.names, len(g), ties is not None), out))
+    bounds = cut_lineage(pruned.groupBy(*g).agg(F.min("bound").alias("best")).select(*[F.col(c).alias(f"b_{c}") for c in g], "best"))
+    same = F.lit(True)
     for c in g:
-        eq = F.col(c).eqNullSafe(F.col(f"b_{c}"))
-        same = eq if same is None else same & eq
-    survivors = pruned.join(bounds, same).where("score <= best")
+        same = same & F.col(c).eqNullSafe(F.col(f"b_{c}"))
+    if bounds.count() <= BROADCAST_ROWS:
+        survivors = pruned.join(F.broadcast(bounds), same).where("score <= best")
+    else:
+        salted = bounds.withColumn("b_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        mine = pruned.withColumn("salt", F.pmod(F.xxhash64("item"), F.lit(SALTS)).cast("int"))
+        survivors = mine.join(salted, same & (F.col("salt") == F.col("b_salt"))).where("score <= best")
     once = survivors.groupBy(*g, "item").agg(F.min("score").alias("score"))
     if ties is None:
         once = once.withColumn("tie", F.lit(None).cast("bigint"))
