@@ -23,8 +23,38 @@ def collapse_ws(c: Column | str) -> Column:
     return strip(F.regexp_replace(_c(c), rf"(?U){_WS}+", " "))
 
 
+# Characters whose case-folded form is not their lower-case form, by rule; about 100, most of them fold to several.
+_FOLDED = {c: c.casefold() for c in map(chr, range(0x80, 0x1F000)) if c.lower() != c.casefold() and not 0x13A0 <= ord(c) <= 0x13FF and not 0xAB70 <= ord(c) <= 0xABBF}
+
+
 def casefold(c: Column | str) -> Column:
-    return F.lower(_c(c))
+    """Lower case for comparisons: also "\u00df" and "ss", final and other sigma, ligatures and their letters are the same."""
+    x = _c(c)
+    table = F.create_map(*[F.lit(v) for kv in _FOLDED.items() for v in kv])
+    folded = F.array_join(F.transform(F.split(x, ""), lambda ch: F.coalesce(F.try_element_at(table, ch), F.lower(ch))), "")
+    odd = "[" + "".join(f"\\x{{{ord(k):x}}}" for k in _FOLDED) + "]"
+    return F.when(x.rlike(odd), folded).otherwise(F.lower(x))
+
+
+def float_text(c: Column | str) -> Column:
+    """Shortest text of a double: plain between 1e-4 and 1e16, else with an exponent of at least two digits (1e-05).
+
+    The fewest digits that give the same number again; a plain cast sometimes has one too many.
+    """
+    x = _c(c).cast("double")
+    texts = [F.format_string(f"%.{p}e", x) for p in (14, 15, 16)]
+    s = F.when(texts[0].cast("double") == x, texts[0]).when(texts[1].cast("double") == x, texts[1]).otherwise(texts[2])
+    part = lambda i: F.regexp_extract(s, r"^(-?)([0-9])\.([0-9]+)e([+-])([0-9]+)$", i)
+    frac = F.rtrim(F.translate(part(3), "0", " "))
+    frac = F.substring(part(3), F.lit(1), F.length(frac))
+    digits, e = F.concat(part(2), frac), F.concat(part(4), part(5)).cast("int")
+    n = F.length(digits)
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -e - 1), digits)
+    whole = F.concat(digits, F.repeat(F.lit("0"), e + 1 - n), F.lit(".0"))
+    large = F.when(n <= e + 1, whole).otherwise(F.concat(F.substring(digits, F.lit(1), e + 1), F.lit("."), F.substring(digits, e + 2, n)))
+    power = F.concat(part(2), F.when(frac != "", F.concat(F.lit("."), frac)).otherwise(""), F.lit("e"), part(4), F.lpad(part(5), 2, "0"))
+    number = F.concat(part(1), F.when((e < 0) & (e >= -4), small).when((e >= 0) & (e < 16), large).otherwise(power))
+    return F.when(F.isnan(x), "nan").when(F.abs(x) == float("inf"), F.when(x > 0, "inf").otherwise("-inf")).otherwise(number)
 
 
 def text_or_empty(c: Column | str) -> Column:
@@ -130,10 +160,10 @@ def first_bigint(c: Column | str) -> Column:
 
 
 def section_title(c: Column | str) -> Column:
-    """Collapsed title without leading numbering and trailing colons, lower case."""
+    """Collapsed title without leading numbering and trailing colons, case folded."""
     t = collapse_ws(c)
     t = F.regexp_replace(t, r"^[0-9]+(\.[0-9]+)*[.)]?\s+", "")
-    return F.lower(strip(F.regexp_replace(t, ":+$", "")))
+    return casefold(strip(F.regexp_replace(t, ":+$", "")))
 
 
 # Section titles with a category of their own.
@@ -237,8 +267,8 @@ def name_variants(c: Column | str) -> Column:
     return F.filter(every, lambda x, i: (x["term"] != "") & (F.array_position(seen, F.lower(x["term"])) == i + 1))
 
 
-def name_flags(c: Column | str, long_form_marks: tuple[str, ...] = ("(",)) -> Column:
-    """Ordered list of oddities of a name that tend to spoil a literature search."""
+def name_flags(c: Column | str, known_typos: tuple[str, ...] = ()) -> Column:
+    """Ordered list of oddities of a name that tend to spoil a literature search; typos are words the caller knows as wrong."""
     n = F.coalesce(_c(c), F.lit(""))
     checks = [
         ("parentheses", n.rlike(r"[()]")),
@@ -246,5 +276,6 @@ def name_flags(c: Column | str, long_form_marks: tuple[str, ...] = ("(",)) -> Co
         ("apostrophe", n.rlike(APOSTROPHES)),
         ("abbreviation", n.rlike(r"\b[A-Z]{2,}\b")),
         ("very_short", F.length(strip(n)) <= 4),
+        ("typo", F.arrays_overlap(F.split(F.lower(n), r"[^\p{L}\p{N}]+"), F.array(*[F.lit(w.lower()) for w in known_typos]) if known_typos else F.array().cast("array<string>"))),
     ]
     return F.array_compact(F.array(*[F.when(cond, F.lit(name)) for name, cond in checks]))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import has_value, location_text
+from ..functions.text import float_text, has_value, location_text
 from ..operators import vector as V
 
 SOURCES = ("symptom", "literature")
@@ -77,7 +77,7 @@ def context_text(evidence: DataFrame) -> DataFrame:
     e = evidence.where(F.col("source_type").isin(*SOURCES))
     item = F.concat(
         F.lit("Evidence "), F.col("evidence_id").cast("string"), F.lit("\nSource: "), F.col("source"), F.lit("\nType: "), F.col("source_type"), F.lit("\nLocation: "), F.col("location"),
-        F.lit("\nSimilarity: "), F.col("relevance_score").cast("string"), F.lit("\nText: "), F.col("content"),
+        F.lit("\nSimilarity: "), float_text("relevance_score"), F.lit("\nText: "), F.col("content"),
     )
     per = e.select("query_id", F.struct("evidence_id", "source_type", item.alias("item")).alias("x")).groupBy("query_id").agg(F.array_sort(F.collect_list("x")).alias("xs"))
 

@@ -513,3 +513,110 @@ def report_dataset(t: Tables) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+# --- numbers, pluggable parts, more reports ---------------------------------------------------------------------------
+
+_SCALES = ("1e-9", "1e-7", "1e-5", "0.0001", "0.001", "1.0", "1000.0", "1e7", "1e12", "1e15", "1e18")
+
+
+@query(f"SELECT event_id, CAST(value * ([{', '.join(f'CAST({x} AS DOUBLE)' for x in _SCALES)}])[event_id % {len(_SCALES)} + 1] AS VARCHAR) AS text FROM events WHERE value IS NOT NULL")
+def float_texts(t: Tables) -> DataFrame:
+    """Doubles of all sizes in their shortest form."""
+    scale = F.element_at(F.array(*[F.lit(float(x)) for x in _SCALES]), (F.col("event_id") % len(_SCALES) + 1).cast("int"))
+    return t.events.where("value is not null").select("event_id", text.float_text(F.col("value") * scale).alias("text"))
+
+
+def _load_counter():
+    """Stand-in for a model: characters, words between blanks, and a constant."""
+    return lambda texts: [[len(x), len(x.split(" ")), 1.0] for x in texts]
+
+
+@query(f"SELECT chunk_id, CAST(length(text) AS DOUBLE) AS chars, CAST(len(string_split(text, ' ')) AS DOUBLE) AS words FROM literature_chunk WHERE {s_text('text')} <> ''")
+def pluggable_embedding(t: Tables) -> DataFrame:
+    """A model of the caller's, loaded once per worker, over all chunks with text."""
+    v = V.embed(t.literature_chunk.where(has_value("text")), "chunk_id", "text", _load_counter, 3)
+    return v.select("chunk_id", F.col("vector")[0].cast("double").alias("chars"), F.col("vector")[1].cast("double").alias("words"))
+
+
+_ANSWER = '{"candidates":[{"condition":"%d items","rank":1,"justification":"as given","supporting_evidence":[1]}],"limitations":"none"}'
+
+
+def _counting_model(prompt: str) -> str:
+    return _ANSWER % prompt.count("Evidence ")
+
+
+def _one_hot_sql(n: str) -> str:
+    return f"list_transform(generate_series(1, len(a.embedding)), lambda i: CASE WHEN i = CAST({n} AS BIGINT) % len(a.embedding) + 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)"
+
+
+def _hits_sql(side: int) -> str:
+    score = f"round(list_cosine_similarity(a.embedding::DOUBLE[], {_one_hot_sql('q.vec_id // 50')}), 12)"
+    return f"SELECT q.vec_id AS query_id, a.vec_id AS id, row_number() OVER (PARTITION BY q.vec_id ORDER BY {score} DESC, a.vec_id) AS rank FROM embeddings a, (SELECT vec_id FROM embeddings WHERE vec_id % 50 = 0) q WHERE a.label % 2 = {side}"
+
+
+@query(
+    f"""SELECT query_id, 'success' AS status, count(*) || ' items' AS condition, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY o, rank) AS ids FROM (SELECT 0 AS o, * FROM ({_hits_sql(0)}) UNION ALL SELECT 1, * FROM ({_hits_sql(1)})) WHERE rank <= 3 GROUP BY query_id"""
+)
+def engine_documents(t: Tables) -> DataFrame:
+    """Questions through the whole engine with an embedder and a model of the caller's; the model counts the evidence in its prompt."""
+    import json
+
+    size = len(t.embeddings.select("embedding").first()[0]) if not t.embeddings.isEmpty() else 1
+
+    def embed(texts: list[str]) -> list[list[float]]:
+        return [[1.0 if i == int(x.split("\n")[0].removeprefix("Diseases: ")) % size else 0.0 for i in range(size)] for x in texts]
+
+    p = t.embeddings.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"), "label")
+    contents = t.embeddings.select(F.col("vec_id").alias("content_id"), F.lit("text").alias("content"), F.col("vec_id").cast("string").alias("source"))
+    none = F.array().cast("array<string>")
+    q = t.embeddings.where("vec_id % 50 = 0").select(
+        F.col("vec_id").alias("query_id"), F.lit("cough").alias("clinical_text"), F.array(F.floor(F.col("vec_id") / 50).cast("string")).alias("diseases"), none.alias("symptoms"), none.alias("medications"), none.alias("tests")
+    )
+    engine = evidence.Engine(p.where("label % 2 = 0"), p.where("label % 2 = 1"), contents, embed, _counting_model, top_k=3)
+    document = F.from_json("document", "status string, diagnostic_candidates array<struct<condition string>>, evidence array<struct<source string>>")
+    d = engine.analyze(q).select("query_id", document.alias("d"))
+    return d.select("query_id", "d.status", F.col("d.diagnostic_candidates")[0]["condition"].alias("condition"), F.array_join(F.transform("d.evidence", lambda e: e["source"]), " ").alias("ids"))
+
+
+@query(
+    f"""SELECT m.id, m.name, CAST(coalesce(p.n, 0) AS BIGINT) AS pairs, CASE WHEN coalesce(p.n, 0) = 0 THEN 'none' WHEN p.n <= 5 THEN 'low' WHEN p.n <= 20 THEN 'moderate' ELSE 'high' END AS coverage
+    FROM (SELECT {s_number("disease_id")} AS id, max(disease_name) AS name FROM disease_manifest GROUP BY 1) m LEFT JOIN (SELECT id, count(*) AS n FROM (SELECT DISTINCT {s_number("disease_id")} AS id, {s_text("title")} AS t FROM pubmed_selection_audit WHERE {s_text("title")} <> '') GROUP BY 1) p USING (id) WHERE m.id IS NOT NULL"""
+)
+def report_manifest(t: Tables) -> DataFrame:
+    """Every disease of the manifest with its distinct texts and coverage group."""
+    m = t.disease_manifest.groupBy(first_bigint("disease_id").alias("id")).agg(F.max("disease_name").alias("name")).where("id is not null")
+    texts = t.pubmed_selection_audit.select(first_bigint("disease_id").alias("id"), text_or_empty("title").alias("t")).where("t <> ''").distinct()
+    p = m.join(texts.groupBy("id").agg(F.count("*").alias("pairs")), "id", "left").na.fill(0, ["pairs"])
+    return p.select("id", "name", "pairs", A.bucket(F.col("pairs"), [("none", 0, 0), ("low", 1, 5), ("moderate", 6, 20), ("high", 21, None)]).alias("coverage"))
+
+
+@query(
+    f"""SELECT source_file, count(*) AS n_sections, max(length(x)) AS longest, min(length(x)) AS shortest, CAST(sum(1 + greatest(0, CAST(ceil((length(x) - 1000) / 850.0) AS BIGINT))) AS BIGINT) AS n_chunks FROM
+    (SELECT source_file, {s_collapsed("s.text")} AS x FROM (SELECT source_file, unnest(list_concat(coalesce(abstract_sections, []), coalesce(body_sections, []))) AS s FROM literature_article)) WHERE x <> '' GROUP BY 1"""
+)
+def report_xml_sections(t: Tables) -> DataFrame:
+    """Sections of article files against their chunks, to find files whose sections or chunks look wrong."""
+    a = jats.parsed(jats.parse_files(article_files(t)))
+    s = a.select("source_file", F.explode(F.concat("abstract_sections", "body_sections")).alias("s")).groupBy("source_file").agg(F.count("*").alias("n_sections"), F.max(F.length("s.text")).cast("bigint").alias("longest"), F.min(F.length("s.text")).cast("bigint").alias("shortest"))
+    return s.join(C.section_chunks(a, ["source_file"]).groupBy("source_file").agg(F.count("*").alias("n_chunks")), "source_file")
+
+
+_BY_NAME = f"(SELECT lower(x) AS k, pmid FROM (SELECT {s_number('pmid')} AS pmid, unnest({s_list('disease_names')}) AS x FROM pubmed_complete_metadata))"
+_BY_ID = f"(SELECT {s_number('x')} AS k, pmid FROM (SELECT {s_number('pmid')} AS pmid, unnest({s_list('disease_ids')}) AS x FROM pubmed_complete_metadata))"
+
+
+@query(
+    f"""WITH m AS (SELECT {s_number("disease_id")} AS id, lower({s_text("disease_name")}) AS name FROM disease_manifest WHERE {s_text("disease_name")} <> ''),
+    a AS (SELECT DISTINCT m.id, pmid FROM m JOIN {_BY_NAME} x ON x.k = m.name WHERE pmid IS NOT NULL), b AS (SELECT DISTINCT m.id, pmid FROM m JOIN {_BY_ID} x ON x.k = m.id WHERE pmid IS NOT NULL)
+    SELECT id, count(*) FILTER (s = 'name') AS by_name, count(*) FILTER (s = 'id') AS by_id, count(*) FILTER (s = 'both') AS by_both FROM (SELECT id, 'name' AS s FROM a UNION ALL SELECT id, 'id' FROM b UNION ALL SELECT id, 'both' FROM a JOIN b USING (id, pmid)) GROUP BY id"""
+)
+def report_search_strategies(t: Tables) -> DataFrame:
+    """How many articles of each disease three searches find: by name, by id, and by both."""
+    m = t.disease_manifest.where(has_value("disease_name")).select(first_bigint("disease_id").alias("id"), F.lower(text_or_empty("disease_name")).alias("name"))
+    d = t.pubmed_complete_metadata
+    names = J.bridge(d.select(first_bigint("pmid").alias("pmid"), "disease_names"), ["pmid"], "disease_names", "x").select(F.lower("x").alias("name"), "pmid")
+    numbers = J.bridge(d.select(first_bigint("pmid").alias("pmid"), "disease_ids"), ["pmid"], "disease_ids", "x").select(first_bigint("x").alias("id"), "pmid")
+    found = m.join(names, "name").select("id", "pmid", F.lit(True).alias("n"), F.lit(False).alias("i")).unionByName(m.select("id").join(numbers, "id").select("id", "pmid", F.lit(False).alias("n"), F.lit(True).alias("i")))
+    per = found.where("pmid is not null").groupBy("id", "pmid").agg(F.max("n").alias("n"), F.max("i").alias("i"))
+    return per.groupBy("id").agg(F.count(F.when(F.col("n"), 1)).alias("by_name"), F.count(F.when(F.col("i"), 1)).alias("by_id"), F.count(F.when(F.col("n") & F.col("i"), 1)).alias("by_both"))

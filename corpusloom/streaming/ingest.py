@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..session import is_local
 from ..sources.sinks import append_batch
 
+BROADCAST_KEYS = 1_000_000  # keys of a batch that go to all tasks; more are joined by shuffle
 EXAMPLES = 20  # error messages of a batch that Progress holds; all failed rows are in the table of failures
 
 
@@ -85,11 +86,16 @@ def ingest(
         try:
             good = rows.where("error is null").drop("error")
             new = good.where(F.col(key).isNotNull()).dropDuplicates([key])
-            done = stored()
-            if done is not None:
-                new = new.join(done.select(key), key, "left_anti")
             new = new.persist()
             n_all, n_good, n_new = rows.count(), good.count(), new.count()
+            done = stored()
+            if done is not None and n_new:
+                # only the key column of what is stored is read, and it is not shuffled: the batch goes to it
+                asked = F.broadcast(new.select(key)) if n_new <= BROADCAST_KEYS else new.select(key)
+                there = done.select(key).join(asked, key, "left_semi").distinct()
+                first, new = new, new.join(there, key, "left_anti").persist()
+                n_new = new.count()
+                first.unpersist()
             bad = rows.where("error is not null")
             if n_good < n_all:  # Parquet has no columns of nulls only
                 append_batch(bad.select(*[c for c, kind in bad.dtypes if kind != "void"]), progress.failures, str(number))
