@@ -3,9 +3,9 @@
 Every partition knows a bound from its own rows: the score of its N-th best distinct item of a group, beyond which no
 row of the group can be among the N best anywhere.  Rows beyond the own bound never leave their partition; the
 strictest bound of each group, over all partitions, is joined to what is left and filters it again; the survivors are
-ranked.  Without tie values the bound is that of the whole order, score and item.  The bounds go to all tasks if they
-are few, else into a join salted by item, so a hot group whose items all tie is spread as well.  The last ranking is
-limited inside each partition once more before its shuffle, by the full order with ties, so such groups stay small.
+ranked.  Without tie values the bound is that of the whole order, score and item.  The bounds of groups of which many
+rows are left, as their items all tie, go to the rows, so these are not gathered by group.  The last ranking is limited
+inside each partition once more before its shuffle, by the full order with ties, so such groups stay small too.
 
 Order: lowest score, then lowest tie value (none last), then lowest item.  An item counts once per group, with its
 lowest score.
@@ -27,8 +27,7 @@ from pyspark.sql import types as T
 from ..session import cut_lineage
 
 BUFFER = 200_000  # rows of a partition that are pruned together; bounds memory, not the result
-BROADCAST_ROWS = 200_000  # bounds of some 50 bytes
-SALTS = 16
+HOT = 100_000  # rows of a group that partitions leave over, from which on its bound goes to the rows
 
 
 def _bounded(n: int, names: list[str], groups: int, with_ties: bool):
@@ -69,7 +68,7 @@ def _bounded(n: int, names: list[str], groups: int, with_ties: bool):
     return run
 
 
-def top_n(df: DataFrame, groups: list[str], item: str, score: str, n: int, ties: DataFrame | None = None) -> DataFrame:
+def top_n(df: DataFrame, groups: list[str], item: str, score: str, n: int, ties: DataFrame | None = None, hot_rows: int = HOT) -> DataFrame:
     """(groups..., item, score, tie, place) of the n best items per group; item and score are bigint, lower is better.
 
     `ties` (item, tie) breaks equal scores; an item may have several rows there, the lowest counts.
@@ -81,16 +80,17 @@ def top_n(df: DataFrame, groups: list[str], item: str, score: str, n: int, ties:
     slim = slim.where("item is not null and score is not null")
     out = T.StructType([*slim.schema.fields, T.StructField("bound", T.LongType())])
     pruned = cut_lineage(slim.mapInArrow(_bounded(n, out.names, len(g), ties is not None), out))
-    bounds = cut_lineage(pruned.groupBy(*g).agg(F.min("bound").alias("best")).select(*[F.col(c).alias(f"b_{c}") for c in g], "best"))
+    stats = pruned.groupBy(*g).agg(F.min("bound").alias("best"), F.count("*").alias("left")).select(*[F.col(c).alias(f"b_{c}") for c in g], "best", "left")
     same = F.lit(True)
     for c in g:
         same = same & F.col(c).eqNullSafe(F.col(f"b_{c}"))
-    if bounds.count() <= BROADCAST_ROWS:
-        survivors = pruned.join(F.broadcast(bounds), same).where("score <= best")
-    else:
-        salted = bounds.withColumn("b_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        mine = pruned.withColumn("salt", F.pmod(F.xxhash64("item"), F.lit(SALTS)).cast("int"))
-        survivors = mine.join(salted, same & (F.col("salt") == F.col("b_salt"))).where("score <= best")
+    hot = cut_lineage(stats.where(F.col("left") > hot_rows))
+    survivors = pruned.join(stats, same).where("score <= best")
+    if hot.count():
+        # at most one in `hot_rows` rows is here, so these few bounds go to the rows, which stay where they are
+        crowded = pruned.join(F.broadcast(hot), same).where("score <= best")
+        rest = pruned.join(F.broadcast(hot), same, "left_anti").join(stats, same).where("score <= best")
+        survivors = crowded.unionByName(rest)
     once = survivors.groupBy(*g, "item").agg(F.min("score").alias("score"))
     if ties is None:
         once = once.withColumn("tie", F.lit(None).cast("bigint"))

@@ -80,8 +80,11 @@ def test_top_n_with_ties_and_a_hot_group(spark, monkeypatch, buffer):
         if i is not None and s is not None:
             best[run, g][i] = min(best[run, g].get(i, s), s)
     want = {(run, g, i) for (run, g), m in best.items() for i in sorted(m, key=lambda i: (m[i], ties.get(i, 99), i))[:5]}
-    got = topn.top_n(df, ["run", "g"], "item", "score", 5, t)
-    assert {(r.run, r.g, r.item) for r in got.collect()} == want
+    for hot in (3, topn.HOT):
+        got = topn.top_n(df, ["run", "g"], "item", "score", 5, t, hot)
+        assert {(r.run, r.g, r.item) for r in got.collect()} == want
+    plain = {(run, g, i) for (run, g), m in best.items() for i in sorted(m, key=lambda i: (m[i], i))[:5]}
+    assert {(r.run, r.g, r.item) for r in topn.top_n(df, ["run", "g"], "item", "score", 5).collect()} == plain
     assert topn.top_n(df.limit(0), ["run", "g"], "item", "score", 5, t).count() == 0
 
 
