@@ -25,6 +25,7 @@ def collapse_ws(c: Column | str) -> Column:
 
 # Characters whose case-folded form is not their lower-case form, by rule; about 100, most of them fold to several.
 _FOLDED = {c: c.casefold() for c in map(chr, range(0x80, 0x1F000)) if c.lower() != c.casefold() and not 0x13A0 <= ord(c) <= 0x13FF and not 0xAB70 <= ord(c) <= 0xABBF}
+_FOLDED["\u03a3"] = "\u03c3"  # capital sigma, which lower case makes final or not by its place
 
 
 def casefold(c: Column | str) -> Column:
@@ -43,18 +44,18 @@ def float_text(c: Column | str) -> Column:
     """
     x = _c(c).cast("double")
     texts = [F.format_string(f"%.{p}e", x) for p in (14, 15, 16)]
-    s = F.when(texts[0].cast("double") == x, texts[0]).when(texts[1].cast("double") == x, texts[1]).otherwise(texts[2])
+    s = F.when(texts[0].try_cast("double") == x, texts[0]).when(texts[1].try_cast("double") == x, texts[1]).otherwise(texts[2])
     part = lambda i: F.regexp_extract(s, r"^(-?)([0-9])\.([0-9]+)e([+-])([0-9]+)$", i)
     frac = F.rtrim(F.translate(part(3), "0", " "))
     frac = F.substring(part(3), F.lit(1), F.length(frac))
-    digits, e = F.concat(part(2), frac), F.concat(part(4), part(5)).cast("int")
+    digits, e = F.concat(part(2), frac), F.concat(part(4), part(5)).try_cast("int")
     n = F.length(digits)
     small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -e - 1), digits)
     whole = F.concat(digits, F.repeat(F.lit("0"), e + 1 - n), F.lit(".0"))
     large = F.when(n <= e + 1, whole).otherwise(F.concat(F.substring(digits, F.lit(1), e + 1), F.lit("."), F.substring(digits, e + 2, n)))
-    power = F.concat(part(2), F.when(frac != "", F.concat(F.lit("."), frac)).otherwise(""), F.lit("e"), part(4), F.lpad(part(5), 2, "0"))
+    power = F.concat(part(2), F.when(frac != "", F.concat(F.lit("."), frac)).otherwise(""), F.lit("e"), part(4), F.when(F.length(part(5)) < 2, F.concat(F.lit("0"), part(5))).otherwise(part(5)))
     number = F.concat(part(1), F.when((e < 0) & (e >= -4), small).when((e >= 0) & (e < 16), large).otherwise(power))
-    return F.when(F.isnan(x), "nan").when(F.abs(x) == float("inf"), F.when(x > 0, "inf").otherwise("-inf")).otherwise(number)
+    return F.when(x.isNull(), None).when(F.isnan(x), "nan").when(F.abs(x) == float("inf"), F.when(x > 0, "inf").otherwise("-inf")).otherwise(number)
 
 
 def text_or_empty(c: Column | str) -> Column:

@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions.ids import canonical_json, uuid5
 
@@ -79,7 +80,9 @@ def _near(points: DataFrame, queries: DataFrame, k: int, id_col: str = "id", vec
         dim = len(rows[0]["vector"])
         unit = _unit(np.array([r["vector"] for r in rows], np.float64))
 
-        def run(batches: Iterator[pa.RecordBatch], ids=ids, unit=unit, dim=dim) -> Iterator[pa.RecordBatch]:
+        id_type = to_arrow_type(out["query_id"].dataType)
+
+        def run(batches: Iterator[pa.RecordBatch], ids=ids, unit=unit, dim=dim, id_type=id_type) -> Iterator[pa.RecordBatch]:
             import pyarrow.compute  # noqa: F401
 
             for batch in batches:
@@ -101,7 +104,7 @@ def _near(points: DataFrame, queries: DataFrame, k: int, id_col: str = "id", vec
                     first = np.r_[0, np.flatnonzero(qi[1:] != qi[:-1]) + 1]
                     nth = np.arange(len(qi)) - np.repeat(first, np.diff(np.r_[first, len(qi)]))
                     qi, pi = qi[nth < take], pi[nth < take]
-                    yield pa.RecordBatch.from_arrays([pa.array([ids[lo + i] for i in qi]).cast(pa.array(ids).type), keys.take(pa.array(pi)), pa.array(score[qi, pi])], names=out.names)
+                    yield pa.RecordBatch.from_arrays([pa.array([ids[lo + i] for i in qi], id_type), keys.take(pa.array(pi)), pa.array(score[qi, pi])], names=out.names)
 
         got = slim.mapInArrow(run, out)
         found = got if found is None else found.unionByName(got)
