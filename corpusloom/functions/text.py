@@ -43,9 +43,10 @@ def float_text(c: Column | str) -> Column:
     The fewest digits that give the same number again; a plain cast sometimes has one too many.
     """
     x = _c(c).cast("double")
-    texts = [F.format_string(f"%.{p}e", x) for p in (14, 15, 16)]
-    s = F.when(texts[0].try_cast("double") == x, texts[0]).when(texts[1].try_cast("double") == x, texts[1]).otherwise(texts[2])
-    part = lambda i: F.regexp_extract(s, r"^(-?)([0-9])\.([0-9]+)e([+-])([0-9]+)$", i)
+    texts = [F.format_string(f"%.{p}e", x) for p in (0, 14, 15, 16)]
+    same = [t.try_cast("double") == x for t in texts]
+    s = F.when(same[0], texts[0]).when(same[1], texts[1]).when(same[2], texts[2]).otherwise(texts[3])
+    part = lambda i: F.regexp_extract(s, r"^(-?)([0-9])(?:\.([0-9]+))?e([+-])([0-9]+)$", i)
     frac = F.rtrim(F.translate(part(3), "0", " "))
     frac = F.substring(part(3), F.lit(1), F.length(frac))
     digits, e = F.concat(part(2), frac), F.concat(part(4), part(5)).try_cast("int")
