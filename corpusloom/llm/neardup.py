@@ -255,11 +255,13 @@ def near_duplicates(
     members = cut_lineage(sk.select("src", "id", "fp").join(reps, ["src", "fp"]).select("src", "id", "fp", "rep").distinct())
     copies = members.where("id <> rep").select("src", "id", "fp")
     classes = sk.join(_bounded(copies), ["src", "id", "fp"], "left_anti").select("src", "id", "keys")
-    crowded = _bounded(cut_lineage(_hot_bands(classes, hot, hot_sample)))
-    banded = classes.select("src", F.explode("keys").alias("key"), "id").join(crowded, ["src", "key"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    banded = _cells(banded, "id", "blocks")
+    crowded = cut_lineage(_hot_bands(classes, hot, hot_sample))
+    banded, on, meet = classes.select("src", F.explode("keys").alias("key"), "id"), ["src", "key"], "true"
+    if not crowded.isEmpty():
+        banded = banded.join(_bounded(crowded), ["src", "key"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+        banded, on, meet = _cells(banded, "id", "blocks"), ["src", "key", "cell"], _MEET
     # both sides are one and the same plan, so the exchange by band is written once and read twice
-    same = banded.alias("l").join(banded.alias("r"), ["src", "key", "cell"]).where(f"l.id < r.id and ({_MEET})")
+    same = banded.alias("l").join(banded.alias("r"), on).where(f"l.id < r.id and ({meet})")
     candidates = cut_lineage(same.select("src", F.col("l.id").alias("a"), F.col("r.id").alias("b")).distinct())
     if rows == 3:
         touched = _only_touched(classes, candidates)
