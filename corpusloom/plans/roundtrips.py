@@ -12,7 +12,7 @@ from ..operators import chunking as C
 from ..operators import joins as J
 from ..operators import ranking as R
 from ..operators import vector as V
-from ..sources import connectors, jats, sinks, tables
+from ..sources import connectors, jats, services, sinks, tables
 from ..sources.vectors import Collection, check_target, payload
 from ..streaming import ingest as S
 from . import evidence
@@ -183,6 +183,66 @@ def service_batches(t: Tables) -> DataFrame:
     return connectors.fetch(connectors.batches(ids, 200), _recorded_service, attempts=3, base=0.0)
 
 
+def _recorded_answers(url: str, timeout: float) -> bytes:
+    """Recorded answers: a search finds as many articles as its term has letters; records and files repeat their ids; the
+    last digit 3 is not there, and every file whose id ends in 9 is answered by an error."""
+    import json
+    from urllib.parse import parse_qs, urlsplit
+
+    asked = {k: v[0] for k, v in parse_qs(urlsplit(url).query).items()}
+    if "term" in asked:
+        n = len(asked["term"])
+        return json.dumps({"esearchresult": {"count": str(n), "idlist": [str(n * 100 + i) for i in range(min(n, int(asked["retmax"])))]}}).encode()
+    if asked["db"] == "pmc":
+        if asked["id"].endswith("9"):
+            raise connectors.ServiceError("gone", 404)
+        return f"<article>{asked['id']}</article>".encode()
+    one = "<PubmedArticle><MedlineCitation><PMID>{0}</PMID><Article><ArticleTitle>About {0}</ArticleTitle></Article></MedlineCitation></PubmedArticle>"
+    return ("<PubmedArticleSet>" + "".join(one.format(i) for i in asked["id"].split(",") if not i.endswith("3")) + "</PubmedArticleSet>").encode()
+
+
+_RECORDED = services.Client("http://recorded", pause=0.0, opener=_recorded_answers)
+
+
+@query(
+    f"""SELECT CAST(id AS BIGINT) AS query_id, i AS rank, CAST(length(term) * 100 + i - 1 AS VARCHAR) AS id, CAST(length(term) AS BIGINT) AS n_hits FROM (SELECT id, term, CAST(unnest(generate_series(1, least(length(term), 5))) AS INTEGER) AS i FROM
+    (SELECT {s_number("disease_id")} AS id, {s_text("disease_name")} AS term FROM disease_manifest) WHERE id IS NOT NULL AND term <> '')"""
+)
+def service_searches(t: Tables) -> DataFrame:
+    """A search per disease: its first five hits with their place and the number of all."""
+    terms = t.disease_manifest.select(first_bigint("disease_id").alias("query_id"), text_or_empty("disease_name").alias("term")).where("query_id is not null and term <> ''")
+    found = services.search_entities(terms, _RECORDED, 5, base=0.0)
+    hits = connectors.search_hits(found).join(found.select("query_id", "n_hits"), "query_id")
+    return hits.select("query_id", "rank", "id", "n_hits")
+
+
+@query(
+    f"""SELECT id, CASE WHEN ends_with(id, '3') THEN NULL ELSE 'About ' || id END AS title, CASE WHEN ends_with(id, '3') THEN 'not in the answer' END AS error FROM (SELECT DISTINCT {_DIGITS.format(c="pmid")} AS id FROM pubmed_complete_metadata) WHERE id IS NOT NULL"""
+)
+def service_records(t: Tables) -> DataFrame:
+    """Records fetched in batches of 200, cut out of their answers, and parsed."""
+    from ..sources import records
+
+    got = services.fetch_records(t.pubmed_complete_metadata.select(first_number("pmid").alias("id")), _RECORDED, base=0.0)
+    got = _kept(got)
+    parsed = records.parse_records(got.where("content is not null").select(F.col("id").alias("source_file"), F.encode("content", "UTF-8").alias("content")))
+    return got.select("id", "error").join(parsed.select(F.col("source_file").alias("id"), "title"), "id", "left").select("id", "title", "error")
+
+
+_WANTED = f"SELECT DISTINCT upper({s_text('pmcid')}) AS id FROM pubmed_fulltext_manifest WHERE {s_text('pmcid')} <> ''"
+
+
+@query(
+    f"""SELECT id, CASE WHEN good AND NOT ends_with(id, '9') THEN '<article>' || id || '</article>' END AS content, CASE WHEN NOT good THEN 'no PMC id' WHEN ends_with(id, '9') THEN 'status 404: ServiceError: gone' END AS error, CAST(CASE WHEN good THEN 1 ELSE 0 END AS INTEGER) AS attempts
+    FROM (SELECT id, regexp_full_match(id, 'PMC[0-9]+') AS good FROM ({_WANTED}) WHERE NOT (regexp_full_match(id, 'PMC[0-9]+') AND id IN (SELECT upper({s_text("pmcid")}) FROM literature_article)))"""
+)
+def service_full_texts(t: Tables) -> DataFrame:
+    """Full texts of a manifest that are not there yet; ids of another form and failing requests are rows with their error."""
+    wanted = t.pubmed_fulltext_manifest.where(has_value("pmcid")).select(F.col("pmcid").alias("id"))
+    there = t.literature_article.where(has_value("pmcid")).select(F.col("pmcid").alias("id"))
+    return services.fetch_full_texts(wanted, there, _RECORDED, base=0.0)
+
+
 @query(f"SELECT record_id AS query_id, l[i] AS id, CAST(i AS INTEGER) AS rank FROM (SELECT record_id, l, unnest(generate_series(1, len(l))) AS i FROM (SELECT record_id, {s_list('mesh_terms')} AS l FROM pubmed_complete_metadata))")
 def search_hit_ranks(t: Tables) -> DataFrame:
     """Answers of a search as hits with their place."""
@@ -288,7 +348,7 @@ def collection_isolation(t: Tables) -> DataFrame:
     out = None
     for c in _filled(t, S.work_folder(t.spark, "vectors")):
         label = F.get_json_object("payload", "$.metadata.label").cast("bigint")
-        one = c.inspect().crossJoin(c.read().agg(F.sum(label).alias("check_sum")))  # two single rows
+        one = c.inspect().join(c.read().agg(F.lit(c.name).alias("name"), F.sum(label).alias("check_sum")), "name")
         out = one if out is None else out.unionByName(one)
     return out.select("name", "n", F.col("least").cast("bigint").alias("least"), F.col("greatest").cast("bigint").alias("greatest"), "distance", "check_sum")
 

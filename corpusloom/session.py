@@ -9,6 +9,9 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 
 
+CLEAN = "spark.cleaner.referenceTracking.cleanCheckpoints"
+
+
 def build_session(app: str = "corpusloom", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
     """A session with UTC timestamps, adaptive execution and Arrow transfer; cluster settings already given win."""
     b = SparkSession.builder.appName(app)
@@ -36,10 +39,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
     The folder is the one the cluster names in spark.checkpoint.dir.  Only a single-JVM session without that
     setting gets a folder of its own; elsewhere a missing setting is an error, because a machine-local folder
-    would be lost together with its executor.
+    would be lost together with its executor.  Files go as soon as nothing refers to them any more, unless the session
+    says otherwise.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
+    conf = sc._jsc.sc().conf()
+    if not conf.contains(CLEAN):
+        conf.set(CLEAN, "true")
     if sc.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:

@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.ranking import batch_number
+
 RETRYABLE_STATUS = frozenset([408, 429])
 
 
@@ -46,8 +48,7 @@ def safe_message(e: Exception) -> str:
 def batches(ids: DataFrame, size: int, key: str = "id") -> DataFrame:
     """(batch, ids): fixed-size batches in order of the id; one distinct id once."""
     d = ids.select(F.col(key).cast("string").alias("id")).where("id is not null").distinct()
-    w = Window.orderBy("id")  # ids of outstanding requests: bounded by what one run may ask a service for
-    return d.withColumn("batch", F.floor((F.row_number().over(w) - 1) / size)).groupBy("batch").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+    return batch_number(d, [F.col("id")], size).groupBy("batch").agg(F.array_sort(F.collect_list("id")).alias("ids"))
 
 
 def fetch(batched: DataFrame, call: Callable[[list[str]], dict[str, str]], attempts: int = 4, base: float = 1.0, tasks: int = 1) -> DataFrame:

@@ -62,7 +62,10 @@ def test_partial_dates_agree_with_the_record_parser(spark):
     df = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, y string, m string, d string, s string, f string")
     got = [r.v for r in df.select("i", dates.partial_date(*map(F.col, "ymdsf")).alias("v")).orderBy("i").collect()]
     tag = ("Year", "Month", "Day", "Season", "MedlineDate")
-    want = [records.partial_date(records.parse("<d>" + "".join(f"<{t}>{v}</{t}>" for t, v in zip(tag, c) if v) + "</d>")) for c in cases]
+    dated = ["".join(f"<{t}>{v}</{t}>" for t, v in zip(tag, c) if v) for c in cases]
+    record = "<PubmedArticle><MedlineCitation><PMID>{}</PMID><Article><Journal><JournalIssue><PubDate>{}</PubDate></JournalIssue></Journal></Article></MedlineCitation></PubmedArticle>"
+    files = spark.createDataFrame([("f", ("<s>" + "".join(record.format(i, d) for i, d in enumerate(dated, 1)) + "</s>").encode())], "source_file string, content binary")
+    want = [r.publication_date for r in records.parse_records(files).collect()]
     assert got == want == ["2024-03-05", "2024-3", "2024 Spring 2", "2024 Spring", "2024", "1998 Dec-1999 Jan", "2024-09"]
 
 
