@@ -42,6 +42,7 @@ from ..session import cut_lineage
 OFFSET = 150
 ACCIDENTS = 0.05  # share of the texts of a source that break off anywhere, at most
 HABIT_P = 0.01
+BROADCAST_ROWS = 200_000  # of some 60 bytes
 CLOSING_LENGTHS = 5  # different lengths at which closing words must recur
 
 # Marks that readers and feeds put behind a cut.
@@ -179,6 +180,12 @@ def endings(df: DataFrame, key: str = "doc_id", source: str = "source", text: st
     return slim.mapInArrow(run, _SEEN)
 
 
+def _small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """Written out, and marked for broadcast if it has at most that many rows; sources with their lengths or classes are few."""
+    out = cut_lineage(df)
+    return F.broadcast(out) if out.count() <= most else out
+
+
 def _bound(d: Column, e: Column) -> Column:
     """Log10 of the Chernoff bound of P(X >= d) for a Poisson mean e."""
     return F.when(d > e, (d - e + d * F.log(e / d)) / F.log(F.lit(10.0))).otherwise(F.lit(0.0))
@@ -218,7 +225,7 @@ def length_hazards(seen: DataFrame, q: float = 0.001, reach: float = 0.06, least
             "log_p", F.when(F.col("deaths") >= least, _bound(F.col("deaths").cast("double"), F.col("expected"))).otherwise(0.0)
         )
         table = _discoveries(cut_lineage(table.drop("limit")), q)
-    best = table.where("significant").select(F.col("source").alias("s"), F.col("measure").alias("m"), F.col("n").alias("at"), "log_p")
+    best = _small(table.where("significant").select(F.col("source").alias("s"), F.col("measure").alias("m"), F.col("n").alias("at"), "log_p"))
     text = ["doc_id", "source", *_MEASURES, "ending"]
     hits = _lengths(seen).join(best, F.col("source").eqNullSafe(F.col("s")) & (F.col("measure") == F.col("m")) & (F.col("n") == F.col("at")))
     first = hits.groupBy(*text).agg(F.min_by(F.struct("measure", "n"), F.struct(F.col("log_p"), F.col("measure") == "words", F.col("measure") == "bytes")).alias("l"))
@@ -250,11 +257,13 @@ def _discoveries(table: DataFrame, q: float) -> DataFrame:
 
 def with_limits(seen: DataFrame, hazards: DataFrame) -> DataFrame:
     """`seen` with the excess and the expected deaths of the sharpest significant length a text ends at, null elsewhere."""
-    lim = hazards.where("significant").select(F.col("source").alias("s"), F.col("measure").alias("m"), F.col("n").alias("at"), "deaths", "expected")
+    lim = cut_lineage(hazards.where("significant").select(F.col("source").alias("s"), F.col("measure").alias("m"), F.col("n").alias("at"), "deaths", "expected"))
+    few = lim.count() <= BROADCAST_ROWS
     by = []
     for m in _MEASURES:
         one = lim.where(F.col("m") == m).select("s", "at", F.struct(F.greatest(F.col("deaths") - F.col("expected"), F.lit(0.0)).alias("excess"), "expected").alias(f"by_{m}"))
         by.append(f"by_{m}")
+        one = F.broadcast(one) if few else one
         seen = seen.join(one, F.col("source").eqNullSafe(F.col("s")) & (F.col(m) == F.col("at")), "left").drop("s", "at")
     return seen.withColumn("limit", F.greatest(*by)).drop(*by)
 
@@ -295,8 +304,8 @@ def find_truncated(
     seen = cut_lineage(endings(df, key, source, text))
     hazards = length_hazards(seen, q)
     judged = cut_lineage(with_limits(seen, hazards))
-    closings = learned_closings(judged, accidents)
-    habits = ending_habits(judged, closings, accidents)
+    closings = _small(learned_closings(judged, accidents))
+    habits = _small(ending_habits(judged, closings, accidents))
     open_ = judged.where(F.col("ending") != SENTENCE).join(closings, "closing", "left_anti")
     j = open_.join(habits, F.col("source").eqNullSafe(F.col("s")) & (F.col("ending") == F.col("c")), "left")
     cut_here = F.col("limit.excess") * F.col("ref") > F.col("limit.expected") * F.col("own")
