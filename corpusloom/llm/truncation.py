@@ -53,17 +53,14 @@ ABBREVIATION = re.compile(r"(?:^|[\s(\[])(?:e\.g|i\.e|approx|vs|fig|figs|no|nos|
 NUMBER_OPEN = re.compile(r"(?:\([^()]*\b\d+\.|(?:=|<|>|\bat|\bCI|±|≤|≥)\s*\d+\.|\(\s*[A-Za-z]{1,2}\.)$")
 OPEN_MARKUP = re.compile(r"(?:<[/!]?[A-Za-z][^<>\n]{0,200}|</?)$|&#?[A-Za-z0-9]{0,8}$")
 SENTENCE_END = re.compile(r"[.!?。！？؟][\"'”’»)\]}*_]*$")
+MARK_ENDS, SENTENCE_ENDS = frozenset("])>»\ufffd"), frozenset(".!?。！？؟\"'”’»)]}*_")
 TAG = re.compile(r"<(?:/[A-Za-z][\w:-]*\s*|[A-Za-z][^<>]*/|br)>$", re.I)
 IN_TAG = re.compile(r"<[^<>]*>")
 OPENERS = {")": "(", "]": "[", "}": "{", '"': '"', "”": "“„”", "»": "«", "’": "‘"}
-LINE_SHAPES = (
-    ("row", re.compile(r"\t[^\t]*$")),
-    ("bullet", re.compile(r"^\s*(?:\W|\d{1,3}[.)])\s+\S[^.!?]*$")),
-    ("address", re.compile(r"(?:^|\s)(?:\w+://|www\.)\S+$")),
-    ("code", re.compile(r"(?:^|\s)(?=\S*\d)(?=\S*[^\W\d])[\w/-]+$")),
-    ("number", re.compile(r"\d$")),
-    ("key", re.compile(r"(?:^|[.!?>)\]]\s+)[^\W\d_][\w ]{1,30}:\s*\S[^.!?:]*$")),
-)
+BULLET = re.compile(r"\s*(?:\W|\d{1,3}[.)])\s+\S[^.!?]*$")
+ADDRESS = re.compile(r"(?:\w+://|www\.)\S")
+CODE = re.compile(r"(?=\S*\d)(?=\S*[^\W\d])[\w/-]+")
+KEY = re.compile(r"(?:^|[.!?>)\]]\s+)[^\W\d_][\w ]{1,30}:\s*\S[^.!?:]*$")
 SPACES = 256  # characters before the end that hold the last two words of ordinary texts
 SENTENCE, CUT_MARK, MARKUP, WORD = "sentence", "mark", "markup", "word"
 
@@ -84,33 +81,48 @@ def _opening(text: str) -> int:
 def _shape(text: str) -> str:
     """Shape of a text that ends neither a sentence nor in a mark, bracket or tag."""
     line = text[text.rfind("\n") + 1 :]
-    for name, pattern in LINE_SHAPES:
-        if pattern.search(line):
-            return name
+    if "\t" in line:
+        return "row"
+    if BULLET.match(line):
+        return "bullet"
+    token = line.rsplit(None, 1)[-1]
+    if ADDRESS.match(token):
+        return "address"
+    if CODE.fullmatch(token):
+        return "code"
+    if token[-1].isdecimal():
+        return "number"
+    if ":" in line and KEY.search(line):
+        return "key"
     return WORD if text[-1].isalnum() or text[-1] in ",-" else "symbol"
 
 
 def ending(text: str) -> str:
-    """The class of a text's ending."""
+    """The class of a text's ending.
+
+    Every pattern ends at the end of the text, so its last character tells which of them can match.
+    """
     text = text.rstrip()
     behind = ""
     while True:
         if not text:
             return SENTENCE
-        near = text[-SPACES:]
-        if not behind and (MARK.search(near) or ELLIPSIS.search(near)):
+        near, last = text[-SPACES:], text[-1]
+        dots = last in ".…" and ELLIPSIS.search(near) is not None
+        if not behind and (dots or (last in MARK_ENDS and MARK.search(near))):
             return CUT_MARK
-        if ABBREVIATION.search(near):
-            return f"short {behind}".strip()
-        if not behind and NUMBER_OPEN.search(near):
-            return "open number"
-        if ELLIPSIS.search(near) or SENTENCE_END.search(near):
+        if last == ".":
+            if ABBREVIATION.search(near, max(0, len(near) - 12)):
+                return f"short {behind}".strip()
+            if not behind and NUMBER_OPEN.search(near):
+                return "open number"
+        if dots or (last in SENTENCE_ENDS and SENTENCE_END.search(near)):
             return SENTENCE
-        if TAG.search(near):
-            behind, text = "tag", text[: TAG.search(text, max(0, len(text) - SPACES)).start()].rstrip()
-        elif OPEN_MARKUP.search(near):
+        if last == ">" and (tag := TAG.search(near)):
+            behind, text = "tag", text[: len(text) - len(near) + tag.start()].rstrip()
+        elif ("<" in near or "&" in near) and OPEN_MARKUP.search(near):
             return MARKUP
-        elif text[-1] in OPENERS:
+        elif last in OPENERS:
             at = _opening(text)
             if at < 0:
                 return "unopened"
