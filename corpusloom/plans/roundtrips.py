@@ -680,3 +680,57 @@ def report_search_strategies(t: Tables) -> DataFrame:
     found = m.join(names, "name").select("id", "pmid", F.lit(True).alias("n"), F.lit(False).alias("i")).unionByName(m.select("id").join(numbers, "id").select("id", "pmid", F.lit(False).alias("n"), F.lit(True).alias("i")))
     per = found.where("pmid is not null").groupBy("id", "pmid").agg(F.max("n").alias("n"), F.max("i").alias("i"))
     return per.groupBy("id").agg(F.count(F.when(F.col("n"), 1)).alias("by_name"), F.count(F.when(F.col("i"), 1)).alias("by_id"), F.count(F.when(F.col("n") & F.col("i"), 1)).alias("by_both"))
+
+
+# --- ingestion and choices --------------------------------------------------------------------------------------------
+
+
+@query(
+    f"""SELECT source, count(*) AS n FROM (SELECT source, unnest(list_transform(generate_series(0, greatest(0, CAST(ceil((length(x) - 1000) / 850.0) AS BIGINT)) * 850, 850), lambda i: substr(x, CAST(i + 1 AS BIGINT), 1000))) AS chunk FROM
+    (SELECT source, {s_collapsed("s.text")} AS x FROM (SELECT 'abstract' AS source, unnest(abstract_sections) AS s FROM literature_article UNION ALL SELECT 'body', unnest(body_sections) FROM literature_article)) WHERE x <> '') WHERE regexp_matches(lower(chunk), '[a-z0-9]') GROUP BY 1"""
+)
+def article_ingestion(t: Tables) -> DataFrame:
+    """Article files as a stream: parsed, cut into chunks, embedded, and upserted into a collection; a second run adds nothing."""
+    folder = S.work_folder(t.spark, "ingestion")
+    sinks.write_payloads(article_files(t), f"{folder}/in").count()
+    points = Collection(t.spark, folder, "chunks", 64, buckets=8)
+
+    def sink(articles: DataFrame, number: int) -> None:
+        c = C.section_chunks(articles, ["source_file"])
+        key = {k: F.col(k) for k in ("source_file", "section_no", "chunk_index")}
+        c = c.select(V.point_id(key).alias("id"), "chunk_text", payload({"source": F.col("source")} | key).alias("payload"))
+        points.upsert(V.hashed_embedding(c, "id", "chunk_text", 64).join(c.select("id", "payload"), "id"))
+
+    def run() -> S.Progress:
+        return S.ingest(S.stream_files(t.spark, f"{folder}/in"), jats.parse_files, sink, f"{folder}/state", key="source_file")
+
+    first, again = run(), run()
+    if first.failed or again.seen:
+        raise AssertionError("files failed, or were read twice")
+    return points.read().groupBy(F.get_json_object("payload", "$.source").alias("source")).agg(F.count("*").alias("n"))
+
+
+@query(f"SELECT {s_number('disease_id')} AS id, disease_name FROM disease_manifest WHERE {s_number('disease_id')} = (SELECT min({s_number('disease_id')}) FROM disease_manifest)")
+def single_row_lookup(t: Tables) -> DataFrame:
+    """The one row of the least disease id; none or several would be an error."""
+    m = t.disease_manifest.select(first_bigint("disease_id").alias("id"), "disease_name")
+    least = m.agg(F.min("id")).first()[0]
+    return J.exactly_one(m, F.col("id") == least, "disease") if least is not None else m.limit(0)
+
+
+_CASES = (("with doi", f"{s_text('doi')} <> ''"), ("many sections", "len(coalesce(body_sections, [])) > 5"), ("no pmcid", f"{s_text('pmcid')} = ''"), ("any", "true"))
+
+
+def _examples_sql() -> str:
+    picked, parts = "", []
+    for i, (label, condition) in enumerate(_CASES):
+        parts.append(f"e{i} AS (SELECT '{label}' AS label, source_file FROM literature_article WHERE {condition}{picked} ORDER BY source_file LIMIT 1)")
+        picked += f" AND source_file NOT IN (SELECT source_file FROM e{i})"
+    return "WITH " + ", ".join(parts) + " " + " UNION ALL ".join(f"FROM e{i}" for i in range(len(_CASES)))
+
+
+@query(_examples_sql())
+def example_choice(t: Tables) -> DataFrame:
+    """For each condition in turn the first article that fulfils it and was not taken before."""
+    conditions = [has_value("doi"), F.size(F.coalesce("body_sections", F.array().cast(t.literature_article.schema["body_sections"].dataType))) > 5, ~has_value("pmcid"), F.lit(True)]
+    return R.examples(t.literature_article, "source_file", [F.col("source_file")], [(label, c) for (label, _), c in zip(_CASES, conditions)])
