@@ -260,6 +260,7 @@ def near_duplicates(
     if not crowded.isEmpty():
         banded = banded.join(_bounded(crowded), ["src", "key"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
         banded, on, meet = _cells(banded, "id", "blocks"), ["src", "key", "cell"], _MEET
+    banded = banded.hint("merge")  # a hash join holds all pairs of one row of its input at once
     # both sides are one and the same plan, so the exchange by band is written once and read twice
     same = banded.alias("l").join(banded.alias("r"), on).where(f"l.id < r.id and ({meet})")
     candidates = cut_lineage(same.select("src", F.col("l.id").alias("a"), F.col("r.id").alias("b")).distinct())
@@ -305,6 +306,8 @@ def _only_touched(rows: DataFrame, pairs: DataFrame, most_bits: int = TOUCHED_BI
 def pairs_of_rows(members: DataFrame, links: DataFrame, hot: int = HOT) -> DataFrame:
     """(src, id_a, id_b): all pairs of rows that the links and the classes of equal texts stand for.
 
+    The joins are merge joins whatever the sizes: a hash join holds all pairs of one row of its input at once.
+
     This is the expanded form, with the same meaning at every size: the rows of a class are pairs, and so are the rows
     of two linked classes.  It is as long as it has pairs, n * (n - 1) / 2 for n copies; `members` and `links` say the
     same in as many rows as there are texts and links of different texts.
@@ -312,12 +315,12 @@ def pairs_of_rows(members: DataFrame, links: DataFrame, hot: int = HOT) -> DataF
     m = members.select("src", "rep", "id").distinct()
     sizes = m.groupBy("src", "rep").agg(F.count("*").alias("n")).where("n > 1")
     copies = m.join(sizes, ["src", "rep"]).select("src", "rep", "id", F.ceil(F.col("n") / hot).cast("int").alias("blocks"))
-    dealt = _cells(copies, "id", "blocks")
+    dealt = _cells(copies, "id", "blocks").hint("merge")
     within = dealt.alias("l").join(dealt.alias("r"), ["src", "rep", "cell"]).where(f"l.id < r.id and ({_MEET})").select("src", F.col("l.id").alias("id_a"), F.col("r.id").alias("id_b"))
     across = (
         links.select("src", "a", "b")
-        .join(m.select("src", F.col("rep").alias("a"), F.col("id").alias("x")), ["src", "a"])
-        .join(m.select("src", F.col("rep").alias("b"), F.col("id").alias("y")), ["src", "b"])
+        .join(m.select("src", F.col("rep").alias("a"), F.col("id").alias("x")).hint("merge"), ["src", "a"])
+        .join(m.select("src", F.col("rep").alias("b"), F.col("id").alias("y")).hint("merge"), ["src", "b"])
         .select("src", F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
     )
     return within.unionByName(across)
